@@ -12,9 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from applens import functions as fn
 from applens.operators import aggregates as agg
+from applens.operators import encoding as enc
+from applens.operators import filters as flt
+from applens.operators import joins as jn
+from applens.operators import models
+from applens.operators import profiling as prof
+from applens.operators import windows as win
 from applens.plans import catalog_jobs as cj
+from applens.plans import review_jobs as rj
+from applens.sources import catalog as cat_src
 from applens.sources import proxies
+from applens.sources.reviews import split_records
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -25,16 +35,189 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
 
 # ---------------------------------------------------------------- queries
 
+def _clean(spark, sf):
+    return cj.clean_catalog(proxies.apps_raw(spark, sf))
+
+
+def _scored(spark, sf):
+    return rj.review_sentiment(proxies.review_records(spark, sf), proxies.lexicon(spark),
+                               keys=["rid"])
+
+
 def q_clean_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    clean, _ = cj.clean_catalog(proxies.apps_raw(spark, sf))
+    clean, _ = _clean(spark, sf)
     return _r6(clean, "Rating", "Size", "Price")
 
 
 def q_genre_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    _, ranged = cj.clean_catalog(proxies.apps_raw(spark, sf))
+    _, ranged = _clean(spark, sf)
     return _r6(agg.genre_rollup(ranged, top=20), "Rating")
 
 
+def q_genre_rollup_all(spark, sf):
+    _, ranged = _clean(spark, sf)
+    return _r6(agg.genre_rollup(ranged, top=None), "Rating")
+
+
+def q_genre_mean_rating(spark, sf):
+    _, ranged = _clean(spark, sf)
+    return _r6(agg.mean_by_key(ranged, "Genres", "Rating"), "Rating")
+
+
+def q_median_rating(spark, sf):
+    _, ranged = _clean(spark, sf)
+    df = flt.drop_value(ranged, "Category", cj.BAD_CATEGORY)
+    return _r6(df.agg(F.median("Rating").alias("median_rating")), "median_rating")
+
+
+def q_category_counts(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return agg.value_counts(clean, "Category")
+
+
+def q_part_type_counts(spark, sf):
+    return agg.value_counts(spark.read.parquet(f"{sf}/part.parquet"), "p_type")
+
+
+def q_content_ratings(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return agg.distinct_values(clean, "Content Rating")
+
+
+def q_category_labels(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return agg.distinct_values(clean, "Category").select(
+        "Category", fn.category_label("Category").alias("Category_Label"),
+        fn.prefix("Category", "cat_").alias("dummy_name"))
+
+
+def q_describe_part(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    return _r6(prof.describe_exact(part, ["p_partkey", "p_size", "p_retailprice"]),
+               "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def q_profile_apps_raw(spark, sf):
+    return prof.profile(proxies.apps_raw(spark, sf))
+
+
+def q_corr_clean(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return _r6(prof.corr_matrix(clean, ["Rating", "Reviews", "Size", "Installs", "Price"]), "r")
+
+
+def q_category_dummies(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return enc.with_dummies(clean.select("App", "Category"), "Category", "cat").drop("Category")
+
+
+def q_size_histogram(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    return _r6(prof.histogram(part, "p_size", 10), "lo", "hi")
+
+
+def q_size_density(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    return _r6(prof.kde(part, "p_size", 200), "x", "density")
+
+
+def q_part_pair_bins(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    return prof.pair_bins(part, "p_size", "p_retailprice", hue="p_type", bins=20)
+
+
+def q_top_rated_per_category(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return _r6(win.top_n_per_group(clean.select("Category", "App", "Rating"),
+                                   "Category", "Rating", 5, "App"), "Rating")
+
+
+def q_sorted_by_rating(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return _r6(win.sort_desc(clean.select("App", "Rating"), "Rating", "App"), "Rating")
+
+
+def q_catalog_preview(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return _r6(win.preview(clean, 12, "App"), "Rating", "Size", "Price")
+
+
+def q_review_records(spark, sf):
+    return split_records(proxies.review_records(spark, sf), "record", keys=["rid"])
+
+
+def q_review_field_counts(spark, sf):
+    recs = split_records(proxies.review_records(spark, sf), "record", keys=["rid"],
+                         with_rejected=True)
+    return recs.groupBy("n_fields").agg(F.count(F.lit(1)).alias("records"))
+
+
+def q_top_app_reviews(spark, sf):
+    recs = split_records(proxies.review_records(spark, sf), "record", keys=["rid"])
+    return jn.keep_top_keys(recs, "App", 23)
+
+
+def q_review_sentiment(spark, sf):
+    return _r6(_scored(spark, sf), "Polarity", "Subjectivity")
+
+
+def q_polarity_by_app(spark, sf):
+    return rj.sentiment_report(_scored(spark, sf))["by_app"]
+
+
+def q_sentiment_shares(spark, sf):
+    return rj.sentiment_report(_scored(spark, sf))["shares"]
+
+
+def q_subjectivity_histogram(spark, sf):
+    return _r6(rj.sentiment_report(_scored(spark, sf))["subjectivity_hist"], "lo", "hi")
+
+
+def q_sentiment_scatter(spark, sf):
+    return rj.sentiment_report(_scored(spark, sf))["abs_scatter"]
+
+
+def q_split_and_folds(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    k = F.col("p_partkey")
+    return part.select("p_partkey", enc.is_held_out(k, 0.2, 42).alias("is_test"),
+                       enc.fold_of(k, 10, 155).alias("fold"))
+
+
+def q_frequency_index(spark, sf):
+    clean, _ = _clean(spark, sf)
+    parts = [enc.frequency_index(clean, c, "index")
+             .select(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value"), "index")
+             for c in ["App", "Category", "Type", "Content Rating", "Genres"]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_build_features(spark, sf):
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return _r6(feats, "Rating", "Size", "Price")
+
+
+def q_baseline_r2(spark, sf):
+    clean, _ = _clean(spark, sf)
+    means = clean.groupBy("Category").agg(F.avg("Rating").alias("baseline"))
+    return _r6(models.r2(clean.join(means, "Category"), "Rating", "baseline"), "r2")
+
+
+def q_orders_by_month(spark, sf):
+    orders = cat_src.with_run_keys(spark.read.parquet(f"{sf}/orders.parquet"), "o_orderdate", "orders")
+    return orders.groupBy("run_month", "dataset").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_recommendations(spark, sf):
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return cj.rate_and_recommend(feats)["recommendations"]
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top 20 genres by app count, with installs and mean rating."""
     return q_genre_rollup(spark, SMOKE_DIR)
@@ -44,6 +227,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "clean_catalog": q_clean_catalog,
         "genre_rollup": q_genre_rollup,
+        "genre_rollup_all": q_genre_rollup_all,
+        "genre_mean_rating": q_genre_mean_rating,
+        "median_rating": q_median_rating,
+        "category_counts": q_category_counts,
+        "part_type_counts": q_part_type_counts,
+        "content_ratings": q_content_ratings,
+        "category_labels": q_category_labels,
+        "describe_part": q_describe_part,
+        "profile_apps_raw": q_profile_apps_raw,
+        "corr_clean": q_corr_clean,
+        "category_dummies": q_category_dummies,
+        "size_histogram": q_size_histogram,
+        "size_density": q_size_density,
+        "part_pair_bins": q_part_pair_bins,
+        "top_rated_per_category": q_top_rated_per_category,
+        "sorted_by_rating": q_sorted_by_rating,
+        "catalog_preview": q_catalog_preview,
+        "review_records": q_review_records,
+        "review_field_counts": q_review_field_counts,
+        "top_app_reviews": q_top_app_reviews,
+        "review_sentiment": q_review_sentiment,
+        "polarity_by_app": q_polarity_by_app,
+        "sentiment_shares": q_sentiment_shares,
+        "subjectivity_histogram": q_subjectivity_histogram,
+        "sentiment_scatter": q_sentiment_scatter,
+        "split_and_folds": q_split_and_folds,
+        "frequency_index": q_frequency_index,
+        "build_features": q_build_features,
+        "baseline_r2": q_baseline_r2,
+        "orders_by_month": q_orders_by_month,
+        "recommendations": q_recommendations,
     }
 
 
@@ -115,7 +329,166 @@ def _with(*ctes: str) -> str:
 CATALOG = _with(APPS_RAW, RANGED, CLEAN)
 
 
+WS = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\p{Z}]"
+
+REVIEWS = f"""
+r_src AS (
+  SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS rid,
+         'com.' || role || '.app' || CAST(conv_id % 40 AS VARCHAR) AS app, text
+  FROM conversations
+),
+r_raw AS (
+  SELECT rid,
+    CASE WHEN rid % 50 = 7 THEN app || ' @ ' || text || ' @ spam'
+         WHEN rid % 50 = 13 THEN app || ' ' || text
+         ELSE app || ' @ ' || text END AS record
+  FROM r_src
+),
+r_chunks AS (SELECT rid, string_split(replace(record, chr(10), ' '), '#') AS parts FROM r_raw),
+r_pos AS (SELECT rid, parts, unnest(generate_series(1, len(parts))) AS i FROM r_chunks),
+r_all AS (SELECT rid, CAST(i - 1 AS INTEGER) AS seq, string_split(parts[i], '@') AS f FROM r_pos),
+reviews AS (
+  SELECT rid, seq,
+         regexp_replace(f[1], '^{WS}+|{WS}+$', '', 'g') AS "App",
+         regexp_replace(f[2], '^{WS}+|{WS}+$', '', 'g') AS "Review"
+  FROM r_all WHERE len(f) = 2
+)"""
+
+SCORED = """
+top_apps AS (
+  SELECT "App" FROM reviews WHERE "App" IS NOT NULL
+  GROUP BY "App" ORDER BY count(*) DESC, "App" LIMIT 23
+),
+kept AS (SELECT * FROM reviews WHERE "App" IN (SELECT "App" FROM top_apps) OR "App" IS NULL),
+lex(word, polarity, subjectivity) AS (VALUES
+  ('the', 0.5::DOUBLE, 0.4::DOUBLE), ('and', -0.25::DOUBLE, 0.8::DOUBLE),
+  ('of', -0.6::DOUBLE, 0.1::DOUBLE), ('la', 0.3::DOUBLE, 0.9::DOUBLE),
+  ('le', -0.3::DOUBLE, 0.2::DOUBLE), ('der', 0.7::DOUBLE, 0.5::DOUBLE),
+  ('und', -0.45::DOUBLE, 0.6::DOUBLE)),
+toks AS (SELECT rid, seq, string_split_regex(lower("Review"), '[^a-z]+') AS t FROM kept),
+tok AS (SELECT rid, seq, unnest(t) AS word, unnest(generate_series(1, len(t))) AS pos FROM toks),
+sc AS (
+  SELECT rid, seq, list(polarity ORDER BY pos) AS pl, list(subjectivity ORDER BY pos) AS sl
+  FROM tok JOIN lex USING (word) GROUP BY rid, seq
+),
+sc2 AS (
+  SELECT rid, seq,
+         list_reduce(pl, lambda a, b: a + b) / len(pl) AS p,
+         list_reduce(sl, lambda a, b: a + b) / len(sl) AS s
+  FROM sc
+),
+scored AS (
+  SELECT kept.rid, kept.seq, "App", "Review",
+         coalesce(p, 0.0) AS "Polarity", coalesce(s, 0.0) AS "Subjectivity",
+         CASE WHEN coalesce(p, 0.0) < 0 THEN 'Negative'
+              WHEN coalesce(p, 0.0) > 0 THEN 'Positive'
+              WHEN coalesce(p, 0.0) = 0 THEN 'Neutral' END AS "Sentiment"
+  FROM kept LEFT JOIN sc2 ON kept.rid = sc2.rid AND kept.seq = sc2.seq
+)"""
+
+SCORED_ALL = _with(REVIEWS, SCORED)
+
+
+def _hist_sql(source: str, x: str, bins: int) -> str:
+    return f"""
+v AS (SELECT CAST({x} AS DOUBLE) AS x FROM {source} WHERE {x} IS NOT NULL AND NOT isnan(CAST({x} AS DOUBLE))),
+st AS (
+  SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+         CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v
+),
+b AS (SELECT least(CAST(floor({bins} * (x - lo) / (hi - lo)) AS BIGINT) + 1, {bins}) AS bin FROM v, st),
+c AS (SELECT bin, count(*) AS cnt FROM b GROUP BY bin),
+e AS (SELECT CAST(i AS INTEGER) AS bin FROM range(1, {bins + 1}) t(i))
+SELECT e.bin, round(lo + (e.bin - 1) * ((hi - lo) / {bins}), 6) AS lo,
+       round(lo + e.bin * ((hi - lo) / {bins}), 6) AS hi, coalesce(cnt, 0) AS count
+FROM e CROSS JOIN st LEFT JOIN c ON e.bin = c.bin"""
+
+
+def _range_sql(name: str, col: str, source: str) -> str:
+    return f"""
+{name} AS (
+  SELECT CASE WHEN min({col}) = max({col}) THEN min({col}) - 0.5 ELSE min({col}) END AS lo,
+         CASE WHEN min({col}) = max({col}) THEN max({col}) + 0.5 ELSE max({col}) END AS hi
+  FROM {source}
+)"""
+
+
+def _pair_bins_sql(bins: int, hue: str | None) -> str:
+    h = f"{hue}, " if hue else ""
+    return f"""
+SELECT {h}least(CAST(floor({bins} * (x - sx.lo) / (sx.hi - sx.lo)) AS BIGINT) + 1, {bins}) AS bx,
+       least(CAST(floor({bins} * (y - sy.lo) / (sy.hi - sy.lo)) AS BIGINT) + 1, {bins}) AS "by",
+       count(*) AS count
+FROM v, sx, sy GROUP BY ALL"""
+
+
+def _describe_sql(table: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""
+SELECT '{c}' AS "column", count({x}) AS count, round(avg({x}), 6) AS mean,
+       round(stddev_samp({x}), 6) AS std, round(min({x}), 6) AS min,
+       round(quantile_cont({x}, 0.25), 6) AS p25, round(quantile_cont({x}, 0.5), 6) AS p50,
+       round(quantile_cont({x}, 0.75), 6) AS p75, round(max({x}), 6) AS max
+FROM {table}""")
+    return " UNION ALL ".join(parts)
+
+
+RAW_TYPES = [("App", "string"), ("Category", "string"), ("Rating", "double"),
+             ("Reviews", "bigint"), ("Size", "string"), ("Installs", "string"),
+             ("Type", "string"), ("Price", "string"), ("Content Rating", "string"),
+             ("Genres", "string"), ("Last Updated", "string"), ("Current Ver", "string"),
+             ("Android Ver", "string")]
+
+APPS_RAW_FULL = APPS_RAW.replace(
+    """p_type || ' & ' || p_brand || ';Other' AS "Genres"
+  FROM part""",
+    """p_type || ' & ' || p_brand || ';Other' AS "Genres",
+    'January 7, 2018' AS "Last Updated", '1.0.0' AS "Current Ver",
+    '4.0.3 and up' AS "Android Ver"
+  FROM part""")
+
+CLEAN_NUM = ["Rating", "Reviews", "Size", "Installs", "Price"]
+INDEXED = ["App", "Category", "Type", "Content Rating", "Genres"]
+
+
+def _index_sql(src: str, c: str, alias: str) -> str:
+    return (f"""SELECT "{c}" AS v, row_number() OVER (ORDER BY count(*) DESC, "{c}") - 1 AS ix
+FROM {src} WHERE "{c}" IS NOT NULL GROUP BY "{c}" """)
+
+
+def _features_sql() -> str:
+    idx = ",\n".join(f"i{i} AS ({_index_sql('tr', c, f'i{i}')})" for i, c in enumerate(INDEXED))
+    flag = """
+flag AS (SELECT *, substr(md5("App" || ':42'), 1, 8) < '33333333' AS is_test FROM apps_clean),
+tr AS (SELECT * FROM flag WHERE NOT is_test),
+""" + idx
+    joins = " ".join(f'LEFT JOIN i{i} ON f."{c}" = i{i}.v' for i, c in enumerate(INDEXED))
+    slots = ",\n  ".join(
+        f'CAST(coalesce(i{i}.ix, (SELECT count(*) FROM i{i})) AS DOUBLE) AS "{c}"'
+        for i, c in enumerate(INDEXED))
+    return CATALOG + "," + flag + f"""
+SELECT round(f."Rating", 6) AS "Rating",
+  {slots},
+  CAST(f."Reviews" AS DOUBLE) AS "Reviews", round(f."Size", 6) AS "Size",
+  CAST(f."Installs" AS DOUBLE) AS "Installs", round(f."Price", 6) AS "Price",
+  f."App" AS "App_Label", f."Category" AS "Category_Label", f."Genres" AS "Genres_Label"
+FROM flag f {joins}"""
+
+
 def oracle_sql() -> dict[str, str]:
+    corr = " UNION ALL ".join(
+        f"""SELECT '{a}' AS a, '{b}' AS b,
+  round(CASE WHEN isnan(corr("{a}", "{b}")) THEN NULL ELSE corr("{a}", "{b}") END, 6) + 0.0 AS r
+FROM apps_clean""" for a in CLEAN_NUM for b in CLEAN_NUM)
+    profile = " UNION ALL ".join(
+        f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS dtype,
+  count("{c}") AS non_null, count(*) - count("{c}") AS nulls FROM apps_raw"""
+        for i, (c, t) in enumerate(RAW_TYPES))
+    freq = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", v AS value, ix AS index FROM ({_index_sql('apps_clean', c, 'x')})"""
+        for c in INDEXED)
     return {
         "clean_catalog": CATALOG + """
 SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
@@ -128,4 +501,98 @@ SELECT "Genres", count(*) AS "Count",
        round(avg("Rating"), 6) AS "Rating"
 FROM ranged WHERE "Genres" IS NOT NULL
 GROUP BY "Genres" ORDER BY "Count" DESC, "Genres" LIMIT 20""",
+        "genre_rollup_all": _with(APPS_RAW, RANGED) + """
+SELECT "Genres", count(*) AS "Count",
+       CAST(sum(TRY_CAST(replace(rtrim("Installs", '+'), ',', '') AS BIGINT)) AS BIGINT) AS "Installs",
+       round(avg("Rating"), 6) AS "Rating"
+FROM ranged WHERE "Genres" IS NOT NULL GROUP BY "Genres" """,
+        "genre_mean_rating": _with(APPS_RAW, RANGED) + """
+SELECT "Genres", round(avg("Rating"), 6) AS "Rating"
+FROM ranged WHERE "Genres" IS NOT NULL GROUP BY "Genres" """,
+        "median_rating": _with(APPS_RAW, RANGED) + """
+SELECT round(median("Rating"), 6) AS median_rating
+FROM ranged WHERE "Category" IS DISTINCT FROM '1.9'""",
+        "category_counts": CATALOG + """
+SELECT "Category", count(*) AS count FROM apps_clean
+WHERE "Category" IS NOT NULL GROUP BY "Category" """,
+        "part_type_counts": """
+SELECT p_type, count(*) AS count FROM part WHERE p_type IS NOT NULL GROUP BY p_type""",
+        "content_ratings": CATALOG + """
+SELECT DISTINCT "Content Rating" FROM apps_clean""",
+        "category_labels": CATALOG + """
+SELECT DISTINCT "Category", replace("Category", '0', '-') AS "Category_Label",
+       'cat_' || "Category" AS dummy_name FROM apps_clean""",
+        "describe_part": _describe_sql("part", ["p_partkey", "p_size", "p_retailprice"]),
+        "profile_apps_raw": _with(APPS_RAW_FULL) + profile,
+        "corr_clean": CATALOG + corr,
+        "category_dummies": CATALOG + """
+SELECT * FROM (
+  PIVOT (SELECT "App", 'cat_' || "Category" AS c, 1 AS one FROM apps_clean)
+  ON c USING coalesce(max(one), 0) GROUP BY "App")""",
+        "size_histogram": "WITH " + _hist_sql("part", "p_size", 10),
+        "size_density": """
+WITH v AS (SELECT CAST(p_size AS DOUBLE) AS x FROM part WHERE p_size IS NOT NULL),
+st0 AS (SELECT count(x) AS n, stddev_samp(x) * pow(count(x), -0.2) AS bw,
+               min(x) AS mn, max(x) AS mx FROM v),
+st AS (SELECT n, bw, mn - 3.0 * bw AS lo, mx + 3.0 * bw AS hi FROM st0),
+vc AS (SELECT x, count(*) AS c FROM v GROUP BY x),
+g AS (SELECT CAST(j AS INTEGER) AS point, lo + j * ((hi - lo) / 199) AS gx
+      FROM st, range(200) t(j))
+SELECT point, round(gx, 6) AS x,
+       round(sum(c * exp(-0.5 * pow((gx - x) / bw, 2))) / (n * bw * sqrt(2 * pi())), 6) AS density
+FROM g, vc, st GROUP BY point, gx, n, bw""",
+        "part_pair_bins": """
+WITH v AS (SELECT p_type, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y
+           FROM part WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL),""" +
+        _range_sql("sx", "x", "v") + "," + _range_sql("sy", "y", "v") + _pair_bins_sql(20, "p_type"),
+        "top_rated_per_category": CATALOG + """
+SELECT "Category", "App", round("Rating", 6) AS "Rating" FROM (
+  SELECT *, row_number() OVER (PARTITION BY "Category" ORDER BY "Rating" DESC NULLS LAST, "App") AS rn
+  FROM apps_clean WHERE "Category" IS NOT NULL) WHERE rn <= 5""",
+        "sorted_by_rating": CATALOG + """
+SELECT "App", round("Rating", 6) AS "Rating" FROM apps_clean""",
+        "catalog_preview": CATALOG + """
+SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
+       round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
+       "Content Rating", "Genres"
+FROM apps_clean ORDER BY "App" LIMIT 12""",
+        "review_records": _with(REVIEWS) + """
+SELECT rid, seq, "App", "Review" FROM reviews""",
+        "review_field_counts": _with(REVIEWS) + """
+SELECT CAST(len(f) AS INTEGER) AS n_fields, count(*) AS records FROM r_all GROUP BY 1""",
+        "top_app_reviews": _with(REVIEWS, SCORED) + """
+SELECT rid, seq, "App", "Review" FROM kept""",
+        "review_sentiment": SCORED_ALL + """
+SELECT rid, seq, "App", "Review", round("Polarity", 6) + 0.0 AS "Polarity",
+       round("Subjectivity", 6) + 0.0 AS "Subjectivity", "Sentiment" FROM scored""",
+        "polarity_by_app": SCORED_ALL + """
+SELECT "App", array_to_string(string_split("App", '.')[-2:], '-') AS short,
+       count(*) FILTER (WHERE "Polarity" >= 0) AS non_negative,
+       count(*) FILTER (WHERE "Polarity" < 0) AS negative
+FROM scored WHERE "App" IS NOT NULL GROUP BY "App" """,
+        "sentiment_shares": SCORED_ALL + """
+SELECT "Sentiment", count(*) AS count,
+       round(CAST(count(*) AS DOUBLE) * 100.0 /
+             (SELECT count(*) FROM scored WHERE "Sentiment" IS NOT NULL), 2) AS share
+FROM scored WHERE "Sentiment" IS NOT NULL GROUP BY "Sentiment" """,
+        "subjectivity_histogram": SCORED_ALL + "," + _hist_sql("scored", '"Subjectivity"', 10),
+        "sentiment_scatter": SCORED_ALL + """,
+v AS (SELECT abs("Subjectivity") AS x, abs("Polarity") AS y FROM scored
+      WHERE "Subjectivity" IS NOT NULL AND "Polarity" IS NOT NULL),""" +
+        _range_sql("sx", "x", "v") + "," + _range_sql("sy", "y", "v") + _pair_bins_sql(20, None),
+        "split_and_folds": """
+SELECT p_partkey,
+       substr(md5(CAST(p_partkey AS VARCHAR) || ':42'), 1, 8) < '33333333' AS is_test,
+       CAST(('0x' || substr(md5(CAST(p_partkey AS VARCHAR) || ':155'), 1, 8))::BIGINT % 10 AS INTEGER) AS fold
+FROM part""",
+        "frequency_index": CATALOG + freq,
+        "build_features": _features_sql(),
+        "baseline_r2": CATALOG + """,
+m AS (SELECT "Category", avg("Rating") AS baseline FROM apps_clean GROUP BY "Category"),
+j AS (SELECT "Rating", baseline FROM apps_clean JOIN m USING ("Category"))
+SELECT round(1 - sum(pow("Rating" - baseline, 2)) /
+             sum(pow("Rating" - (SELECT avg("Rating") FROM j), 2)), 6) AS r2 FROM j""",
+        "orders_by_month": """
+SELECT strftime(o_orderdate, '%Y-%m') AS run_month, 'orders' AS dataset, count(*) AS rows
+FROM orders GROUP BY 1""",
     }

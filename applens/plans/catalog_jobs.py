@@ -72,3 +72,110 @@ def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     df = df.drop(*DROPPED)
     df = cast_clean(df)
     return complete_rows(df), ranged
+
+
+# ------------------------------------------------------------------ P2
+
+LOW_CARDINALITY = ["Category", "Type", "Content Rating", "Genres"]
+
+
+def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42):
+    """Index and assemble the features of every cleaned row.
+
+    The held-out part is chosen by a hash of App; indexes are learnt on the
+    training part only and unseen labels get the extra index. App is nearly
+    unique, so its index is computed as a distributed frequency rank instead
+    of collecting its labels; the other four go through one StringIndexer.
+    Returns ``(features13, pipeline_model)``; ``features13`` holds all rows
+    (train and held-out) in the exported 13-column layout.
+    """
+    from applens.operators.encoding import apply_index, frequency_index, is_held_out
+    from applens.operators.models import feature_pipeline
+    from applens.schemas import FEATURE_SLOTS
+    from applens.sources.catalog import feature_columns
+
+    flagged = clean.withColumn("_test", is_held_out(F.col("App"), test_fraction, seed))
+    train = flagged.where(~F.col("_test"))
+    app_index = frequency_index(train, "App", "AppIndex")
+    flagged = apply_index(flagged, app_index, "App", "AppIndex")
+    train = flagged.where(~F.col("_test"))
+    model = feature_pipeline(LOW_CARDINALITY, FEATURE_SLOTS).fit(train)
+    return feature_columns(model.transform(flagged)), model
+
+
+# ------------------------------------------------------------------ P3 / P4
+
+def genre_report(ranged: DataFrame, top: int = 20) -> dict[str, DataFrame]:
+    """Genre summaries of the range-filtered catalogue.
+
+    ``rollup`` (every genre), ``top`` (first ``top`` by count), and the
+    describe and density of the per-genre mean ratings.
+    """
+    from applens.operators.aggregates import genre_rollup
+    from applens.operators.profiling import describe_exact, kde
+
+    rollup = genre_rollup(ranged, top=None)
+    return {
+        "rollup": rollup,
+        "top": genre_rollup(ranged, top=top),
+        "rating_describe": describe_exact(rollup, ["Rating"]),
+        "rating_density": kde(rollup, "Rating"),
+    }
+
+
+def profile_report(df: DataFrame, corr_cols: list[str] | None = None) -> dict[str, DataFrame]:
+    """Describe, structure profile and correlation matrix of a table."""
+    from applens.operators.profiling import corr_matrix, describe_exact, numeric_columns, profile
+
+    cols = corr_cols or numeric_columns(df)
+    return {"describe": describe_exact(df), "profile": profile(df),
+            "corr": corr_matrix(df, cols)}
+
+
+# ------------------------------------------------------------------ P5
+
+MODEL_NUMERIC = ["Type", "Genres", "Reviews", "Size", "Installs", "Price"]
+
+
+def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
+                       tune: bool = True, gbt_iter: int = 100, n: int = 5,
+                       parallelism: int = 4) -> dict:
+    """Train the rating models on the feature table and recommend per category.
+
+    Model input: Type, Genres, Reviews, Size, Installs, Price (indexes and
+    numbers) plus a one-hot block of Category. The split is the same hash of
+    the app as ``build_features`` used, so the held-out rows are the same.
+    Returns predictions, recommendations, the tuned penalty and both models'
+    held-out R^2 as DataFrames/values.
+    """
+    from pyspark import StorageLevel
+
+    from applens.operators.encoding import fold_of, is_held_out
+    from applens.operators.models import (
+        ALPHAS, FOLD_SEED, FOLDS, fit_l1, grid_search, lasso, model_features,
+        prediction_table, r2, rating_model, recommend,
+    )
+
+    df = features13.withColumns({
+        "_test": is_held_out(F.col("App_Label"), test_fraction, seed),
+        "fold": fold_of(F.col("App_Label"), FOLDS, FOLD_SEED),
+    })
+    _, pipe = model_features(df, MODEL_NUMERIC, "Category")
+    assembled = pipe.fit(df.where(~F.col("_test"))).transform(df)
+    assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
+    train = assembled.where(~F.col("_test"))
+    test = assembled.where(F.col("_test"))
+
+    out: dict = {}
+    if tune:
+        est = lasso()
+        cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", parallelism=parallelism)
+        best = cvm.bestModel.getOrDefault("regParam")
+        out["best_alpha"] = best
+        tuned = fit_l1(train, best).transform(test)
+        out["tuned_r2"] = r2(tuned, "Rating", "prediction")
+    shown = rating_model(max_iter=gbt_iter).fit(train).transform(test)
+    out["r2"] = r2(shown, "Rating", "prediction")
+    out["predictions"] = prediction_table(shown)
+    out["recommendations"] = recommend(out["predictions"], n)
+    return out
