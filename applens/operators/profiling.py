@@ -104,13 +104,22 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*pairs)))
 
 
-def _range_stats(vals: DataFrame) -> Column:
-    """Scalar struct (lo, hi) widened by 0.5 each way when all values are equal."""
-    st = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    st = st.select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
-    return st.select(F.struct("lo", "hi")).scalar()
+def _widen(lo: Column, hi: Column) -> tuple[Column, Column]:
+    """Widen an empty range [v, v] to [v - 0.5, v + 0.5]."""
+    same = lo == hi
+    return (F.when(same, lo - 0.5).otherwise(lo).alias("lo"),
+            F.when(same, hi + 0.5).otherwise(hi).alias("hi"))
+
+
+def _range_stats(vals: DataFrame, *cols: str) -> dict[str, tuple[Column, Column]]:
+    """One scalar subquery with the (widened) range of every column."""
+    st = vals.agg(*[e for c in cols for e in (F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"))])
+    fields = []
+    for c in cols:
+        lo, hi = _widen(F.col(f"{c}_lo"), F.col(f"{c}_hi"))
+        fields += [lo.alias(f"{c}_lo"), hi.alias(f"{c}_hi")]
+    s = st.select(F.struct(*fields)).scalar()
+    return {c: (s.getField(f"{c}_lo"), s.getField(f"{c}_hi")) for c in cols}
 
 
 def _bucket(x: Column, lo: Column, hi: Column, bins: int) -> Column:
@@ -123,17 +132,16 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
     Every bin is returned, empty ones with count 0. When all values are equal
     the range is widened by 0.5 each way, as the usual plotting default does.
+    Two passes over the data: the range (a scalar subquery), then the counts.
     """
     vals = df.select(_value(df, col).alias("x")).where(F.col("x").isNotNull())
-    st = _range_stats(vals)
-    lo, hi = st.getField("lo"), st.getField("hi")
-    counts = vals.groupBy(_bucket(F.col("x"), lo, hi, bins).alias("bin")).agg(
+    lo, hi = _range_stats(vals, "x")["x"]
+    counts = vals.groupBy(_bucket(F.col("x"), lo, hi, bins).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / bins
-    edges = (vals.agg(F.count(F.lit(1)).alias("_n"))
-             .select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-             .select("bin", (lo + (F.col("bin") - 1) * width).alias("lo"),
-                     (lo + F.col("bin") * width).alias("hi")))
+    numbers = df.sparkSession.range(1, bins + 1, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
+    edges = numbers.select("bin", (lo + (F.col("bin") - 1) * width).alias("lo"),
+                           (lo + F.col("bin") * width).alias("hi"))
     return (edges.join(counts, "bin", "left")
             .select("bin", "lo", "hi", F.coalesce("count", F.lit(0).cast("bigint")).alias("count")))
 
@@ -182,9 +190,8 @@ def pair_bins(df: DataFrame, x: str, y: str, hue: str | None = None,
     keep = [F.col(f"`{hue}`").alias(hue)] if hue else []
     vals = df.select(*keep, _value(df, x).alias("x"), _value(df, y).alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull())
-    sx = _range_stats(vals.select("x"))
-    sy = _range_stats(vals.select(F.col("y").alias("x")))
-    bx = _bucket(F.col("x"), sx.getField("lo"), sx.getField("hi"), bins).alias("bx")
-    by = _bucket(F.col("y"), sy.getField("lo"), sy.getField("hi"), bins).alias("by")
+    r = _range_stats(vals, "x", "y")
+    bx = _bucket(F.col("x"), *r["x"], bins).alias("bx")
+    by = _bucket(F.col("y"), *r["y"], bins).alias("by")
     keys = ([hue] if hue else []) + [bx, by]
     return vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))

@@ -48,16 +48,23 @@ def _score_with_map(df: DataFrame, text: str, lex: DataFrame) -> DataFrame:
     lexmap = F.col("_lexicon")
     hits = F.filter(F.transform(_tokens(text), lambda t: F.try_element_at(lexmap, t)),
                     lambda v: v.isNotNull())
+    # One left-to-right fold over the hits gives both sums and the count, so
+    # tokens are looked up once and the result does not depend on any
+    # engine's summation order.
+    zero = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("s"), F.lit(0).alias("n"))
+    folded = F.aggregate(hits, zero, lambda acc, v: F.struct(
+        (acc.getField("p") + v.getField("polarity")).alias("p"),
+        (acc.getField("s") + v.getField("subjectivity")).alias("s"),
+        (acc.getField("n") + 1).alias("n")))
+    n = F.col("_sums").getField("n")
 
     def mean(field: str):
-        # Summed left to right in text order, so the result does not depend
-        # on any engine's summation order.
-        total = F.aggregate(hits, F.lit(0.0), lambda acc, v: acc + v.getField(field))
-        return F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
+        return F.when(n > 0, F.col("_sums").getField(field) / n).otherwise(F.lit(0.0))
 
     return (df.withColumn("_lexicon", table)
-            .withColumns({"Polarity": mean("polarity"), "Subjectivity": mean("subjectivity")})
-            .drop("_lexicon"))
+            .withColumn("_sums", folded)
+            .withColumns({"Polarity": mean("p"), "Subjectivity": mean("s")})
+            .drop("_lexicon", "_sums"))
 
 
 def _score_with_join(df: DataFrame, text: str, lex: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from applens.functions.numeric import nan_to_null
@@ -43,22 +43,23 @@ def cast_clean(df: DataFrame) -> DataFrame:
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CLEAN.fields])
 
 
-def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Clean a raw catalogue. Returns ``(clean, ranged)``.
+def clean_rows(raw: DataFrame, rating_fill: Column | None) -> DataFrame:
+    """The row-level cleaning steps after the range filter, in order.
 
-    ``ranged`` is the input after the rating range filter only (the table the
-    genre summaries use). ``clean`` follows the application's order of steps:
-    drop ratings > 10 (missing kept), drop Category '1.9', fill missing
-    ratings with the median of what is left, keep letters/digits in App and
-    drop empty names, replace other characters of Category with '0', keep
-    letters/digits in Genres, parse Size/Installs/Price, drop 'Unrated', drop
-    the three unused columns, type the columns, drop rows with any NULL.
+    Drop Category '1.9', fill missing ratings with ``rating_fill`` (None
+    keeps them missing), keep letters/digits in App and drop empty names,
+    replace other characters of Category with '0', keep letters/digits in
+    Genres, parse Size/Installs/Price, drop 'Unrated', drop the three unused
+    columns, type the columns, drop rows with any NULL. Every step is a
+    stateless expression or predicate, so this also runs on streams.
     """
-    if dict(raw.dtypes).get("Rating") == "string":
-        raw = type_raw(raw)
-    ranged = drop_outliers(raw, "Rating", MAX_RATING)
-    df = drop_value(ranged, "Category", BAD_CATEGORY)
-    df = fill_median(df, "Rating")
+    df = drop_value(raw, "Category", BAD_CATEGORY)
+    if rating_fill is not None:
+        df = df.withColumn("Rating", F.coalesce(F.col("Rating"), rating_fill))
+    return _clean_after_fill(df)
+
+
+def _clean_after_fill(df: DataFrame) -> DataFrame:
     df = df.withColumn("App", alnum("App"))
     df = drop_blank(df, "App")
     df = df.withColumns({
@@ -69,9 +70,24 @@ def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "Price": parse_price("Price"),
     })
     df = drop_value(df, "Content Rating", UNRATED)
-    df = df.drop(*DROPPED)
+    df = df.drop(*[c for c in DROPPED if c in df.columns])
     df = cast_clean(df)
-    return complete_rows(df), ranged
+    return complete_rows(df)
+
+
+def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clean a raw catalogue. Returns ``(clean, ranged)``.
+
+    ``ranged`` is the input after the rating range filter only (the table the
+    genre summaries use). ``clean`` then follows the application's order of
+    steps (see ``clean_rows``); the median used for missing ratings is taken
+    after the range and category filters, before names are cleaned.
+    """
+    if dict(raw.dtypes).get("Rating") == "string":
+        raw = type_raw(raw)
+    ranged = drop_outliers(raw, "Rating", MAX_RATING)
+    df = fill_median(drop_value(ranged, "Category", BAD_CATEGORY), "Rating")
+    return _clean_after_fill(df), ranged
 
 
 # ------------------------------------------------------------------ P2
@@ -114,7 +130,8 @@ def genre_report(ranged: DataFrame, top: int = 20) -> dict[str, DataFrame]:
     from applens.operators.aggregates import genre_rollup
     from applens.operators.profiling import describe_exact, kde
 
-    rollup = genre_rollup(ranged, top=None)
+    # One row per genre, read by three tables: computed once and kept.
+    rollup = genre_rollup(ranged, top=None).persist()
     return {
         "rollup": rollup,
         "top": genre_rollup(ranged, top=top),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,9 @@ def sentiment_report(scored: DataFrame, bins: int = 10, scatter_bins: int = 20)
     * ``abs_scatter``: 2-D bins of |Subjectivity| against |Polarity|
     * ``shares``: count and percentage of each Sentiment class
     """
+    # Four tables read the same scored rows: keep them for the report's
+    # duration (spills to disk when large; recomputed from lineage if lost).
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     absolute = scored.select(F.abs("Subjectivity").alias("Subjectivity"),
                              F.abs("Polarity").alias("Polarity"))
     return {

@@ -1,0 +1,6 @@
+"""Streaming forms of the stateless operators (the application has no
+stream processing of its own; its row-level cleaning runs unchanged here)."""
+
+from applens.streaming.cleaning import (  # noqa: F401
+    clean_catalog_stream, rating_median, start_clean_stream,
+)
