@@ -19,6 +19,7 @@ from applens.operators import filters as flt
 from applens.operators import joins as jn
 from applens.operators import models
 from applens.operators import profiling as prof
+from applens.operators.quantiles import exact_quantiles
 from applens.operators import windows as win
 from applens.plans import catalog_jobs as cj
 from applens.plans import review_jobs as rj
@@ -67,7 +68,8 @@ def q_genre_mean_rating(spark, sf):
 def q_median_rating(spark, sf):
     _, ranged = _clean(spark, sf)
     df = flt.drop_value(ranged, "Category", cj.BAD_CATEGORY)
-    return _r6(df.agg(F.median("Rating").alias("median_rating")), "median_rating")
+    med = exact_quantiles(df, ["Rating"], [0.5]).select(F.col("value").alias("median_rating"))
+    return _r6(med, "median_rating")
 
 
 def q_category_counts(spark, sf):

@@ -42,24 +42,37 @@ def quantiles(x: Column, probs, exact: bool = True, accuracy: int = 100_000) ->
 def describe_exact(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 %, max per numeric column.
 
-    One aggregate pass over all columns, then one output row per column
-    (``column, count, mean, std, min, p25, p50, p75, max``).
+    One aggregate pass gives the moments for all columns; the quartiles come
+    from ``exact_quantiles`` (distributed, exact) or, with ``exact=False``,
+    from ``percentile_approx`` in the same pass. One output row per column:
+    ``column, count, mean, std, min, p25, p50, p75, max``.
     """
+    from applens.operators.quantiles import exact_quantiles
+
     cols = cols or numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
         x = _value(df, c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"), quantiles(x, QUARTILES, exact).alias(f"q{i}")]
+                 F.max(x).alias(f"hi{i}")]
+        if not exact:
+            aggs.append(quantiles(x, QUARTILES, exact=False).alias(f"q{i}"))
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                      F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                     F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
-                     F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"),
-                     F.col(f"hi{i}").alias("max"))
+                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
+                     *([F.col(f"q{i}").alias("q")] if not exact else []))
             for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*rows)))
+    moments = wide.select(F.inline(F.array(*rows)))
+    if exact:
+        qs = (exact_quantiles(df, cols, list(QUARTILES)).groupBy("column")
+              .agg(*[F.max(F.when(F.col("q") == i, F.col("value"))).alias(name)
+                     for i, name in enumerate(["p25", "p50", "p75"])]))
+        moments = moments.join(qs, "column", "left")
+    else:
+        moments = moments.select("*", *[F.col("q")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
+    return moments.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -30,12 +30,12 @@ def type_raw(raw: DataFrame) -> DataFrame:
 def fill_median(df: DataFrame, col: str) -> DataFrame:
     """Fill NULLs with the exact, interpolated median of the column.
 
-    The median is a scalar subquery: evaluated once, shipped to every task as
-    a literal-like value. ``percentile`` combines per-partition value counts,
-    so its size is the number of distinct values (small for ratings).
+    The median comes from the distributed exact quantile (no task ever holds
+    all distinct values) and reaches the rows as a scalar subquery.
     """
-    med = df.select(F.median(col)).scalar()
-    return df.withColumn(col, F.coalesce(F.col(col), med))
+    from applens.operators.quantiles import exact_median
+
+    return df.withColumn(col, F.coalesce(F.col(col), exact_median(df, col)))
 
 
 def cast_clean(df: DataFrame) -> DataFrame:

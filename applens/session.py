@@ -38,7 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; create a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a local run without that setting gets a fresh folder under /tmp.
+    is (its absence is an error). Only a local-mode run without that setting
+    gets a fresh folder under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store): "
+                               "checkpoints must survive the loss of an executor")
         configured = tempfile.mkdtemp(prefix="applens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -20,8 +20,11 @@ from applens.operators.filters import drop_outliers, drop_value
 
 def rating_median(batch: DataFrame) -> float | None:
     """Median rating of a batch snapshot after the range and category filters."""
+    from applens.operators.quantiles import exact_quantiles
+
     df = drop_value(drop_outliers(batch, "Rating", MAX_RATING), "Category", BAD_CATEGORY)
-    return df.agg(F.median("Rating")).first()[0]
+    row = exact_quantiles(df, ["Rating"], [0.5]).first()
+    return None if row is None else row.value
 
 
 def clean_catalog_stream(raw: DataFrame, rating_fill: float | Column | None) -> DataFrame:

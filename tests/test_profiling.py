@@ -102,3 +102,28 @@ def test_genre_rollup_text_installs(spark):
     got = {r.Genres: r for r in agg.genre_rollup(df, top=None).collect()}
     assert set(got) == {"G1", "G2"}
     assert (got["G1"].Count, got["G1"].Installs, got["G1"].Rating) == (2, 10500, 4.0)
+
+
+def test_exact_quantiles_match_percentile(spark):
+    import random
+
+    from applens.operators.quantiles import exact_quantiles
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([1.0, 2.0, 2.0, 3.5]) if i % 3 else rnd.random() * 100, float(i),
+             None if i % 5 else 7.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {(r.column, r.q): r.value for r in exact_quantiles(df, ["a", "b", "c"], probs).collect()}
+    ref = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c)
+                   for c in ["a", "b", "c"]]).first()
+    for c in ["a", "b", "c"]:
+        for i in range(len(probs)):
+            assert math.isclose(got[(c, i)], ref[c][i], rel_tol=1e-12), (c, probs[i])
+
+
+def test_exact_quantiles_empty_column(spark):
+    from applens.operators.quantiles import exact_quantiles
+
+    df = spark.createDataFrame([(None,), (float("nan"),)], "a double")
+    assert exact_quantiles(df, ["a"], [0.5]).count() == 0
