@@ -123,6 +123,19 @@ def q_size_density(spark, sf):
     return _r6(prof.kde(part, "p_size", 200), "x", "density")
 
 
+def q_rating_density_by_type(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return _r6(prof.kde(clean, "Rating", 200, by="Type"), "x", "density")
+
+
+def q_catalog_pair_grid(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return prof.pair_grid(clean, PAIR_COLS, hue="Type", bins=20)
+
+
+PAIR_COLS = ["Rating", "Size", "Installs", "Reviews", "Price"]
+
+
 def q_part_pair_bins(spark, sf):
     part = spark.read.parquet(f"{sf}/part.parquet")
     return prof.pair_bins(part, "p_size", "p_retailprice", hue="p_type", bins=20)
@@ -243,6 +256,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "size_histogram": q_size_histogram,
         "size_density": q_size_density,
         "part_pair_bins": q_part_pair_bins,
+        "rating_density_by_type": q_rating_density_by_type,
+        "catalog_pair_grid": q_catalog_pair_grid,
         "top_rated_per_category": q_top_rated_per_category,
         "sorted_by_rating": q_sorted_by_rating,
         "catalog_preview": q_catalog_preview,
@@ -479,6 +494,27 @@ SELECT round(f."Rating", 6) AS "Rating",
 FROM flag f {joins}"""
 
 
+def _pair_grid_sql(cols: list[str], hue: str, bins: int) -> str:
+    v = ", ".join(f'CAST("{c}" AS DOUBLE) AS c{i}' for i, c in enumerate(cols))
+    rng = ", ".join(
+        f"CASE WHEN min(c{i}) = max(c{i}) THEN min(c{i}) - 0.5 ELSE min(c{i}) END AS lo{i}, "
+        f"CASE WHEN min(c{i}) = max(c{i}) THEN max(c{i}) + 0.5 ELSE max(c{i}) END AS hi{i}"
+        for i in range(len(cols)))
+
+    def b(i):
+        return f"least(CAST(floor({bins} * (c{i} - lo{i}) / (hi{i} - lo{i})) AS BIGINT) + 1, {bins})"
+
+    cells = " UNION ALL ".join(
+        f"""SELECT "{hue}", '{cols[i]}' AS x_col, '{cols[j]}' AS y_col, {b(i)} AS bx, {b(j)} AS "by" FROM v, r"""
+        for i in range(len(cols)) for j in range(i + 1, len(cols)))
+    return f""",
+v AS (SELECT "{hue}", {v} FROM apps_clean),
+r AS (SELECT {rng} FROM v),
+cells AS ({cells})
+SELECT "{hue}", x_col, y_col, bx, "by", count(*) AS count FROM cells
+WHERE bx IS NOT NULL AND "by" IS NOT NULL GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
     corr = " UNION ALL ".join(
         f"""SELECT '{a}' AS a, '{b}' AS b,
@@ -543,6 +579,19 @@ g AS (SELECT CAST(j AS INTEGER) AS point, lo + j * ((hi - lo) / 199) AS gx
 SELECT point, round(gx, 6) AS x,
        round(sum(c * exp(-0.5 * pow((gx - x) / bw, 2))) / (n * bw * sqrt(2 * pi())), 6) AS density
 FROM g, vc, st GROUP BY point, gx, n, bw""",
+        "rating_density_by_type": CATALOG + """,
+v AS (SELECT "Type" AS g, "Rating" AS x FROM apps_clean WHERE "Rating" IS NOT NULL AND "Type" IS NOT NULL),
+st0 AS (SELECT g, count(x) AS n, stddev_samp(x) * pow(count(x), -0.2) AS bw,
+               min(x) AS mn, max(x) AS mx FROM v GROUP BY g),
+st AS (SELECT g, n, bw, mn - 3.0 * bw AS lo, mx + 3.0 * bw AS hi FROM st0),
+vc AS (SELECT g, x, count(*) AS c FROM v GROUP BY g, x),
+gr AS (SELECT g, CAST(j AS INTEGER) AS point, lo + j * ((hi - lo) / 199) AS gx
+       FROM st, range(200) t(j))
+SELECT gr.g AS "Type", point, round(gx, 6) AS x,
+       round(sum(c * exp(-0.5 * pow((gx - vc.x) / bw, 2))) / (n * bw * sqrt(2 * pi())), 6) AS density
+FROM gr JOIN vc ON gr.g = vc.g JOIN st ON gr.g = st.g
+GROUP BY gr.g, point, gx, n, bw""",
+        "catalog_pair_grid": CATALOG + _pair_grid_sql(PAIR_COLS, "Type", 20),
         "part_pair_bins": """
 WITH v AS (SELECT p_type, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y
            FROM part WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL),""" +

@@ -67,9 +67,12 @@ def apply_index(df: DataFrame, index: DataFrame, col: str, out: str,
                 unseen: Column | None = None) -> DataFrame:
     """Attach an index table to rows by value; unseen or NULL values get
     ``unseen`` (default: the number of labels, as ``handleInvalid='keep'``)."""
+    from applens.operators.joins import broadcast_if_small
+
     if unseen is None:
         unseen = index.select(F.count(F.lit(1)).cast("double")).scalar()
-    idx = index.select(F.col(f"`{col}`").alias("_key"), F.col(out).cast("double").alias(out))
+    idx = broadcast_if_small(
+        index.select(F.col(f"`{col}`").alias("_key"), F.col(out).cast("double").alias(out)))
     joined = df.join(idx, F.col(f"`{col}`") == F.col("_key"), "left").drop("_key")
     return joined.withColumn(out, F.coalesce(F.col(out), unseen))
 

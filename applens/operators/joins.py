@@ -1,4 +1,4 @@
-"""Joins: keep rows of the most frequent keys."""
+"""Joins: keep rows of the most frequent keys; size-checked broadcasts."""
 
 from __future__ import annotations
 
@@ -24,3 +24,16 @@ def keep_top_keys(df: DataFrame, key: str, k: int = 23, keep_nulls: bool = True)
     out = df.join(top, key, "left")
     cond = F.col("_top") | (F.col(key).isNull() if keep_nulls else F.lit(False))
     return out.where(cond).drop("_top").select(df.columns)
+
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after counting the table (``max_rows + 1`` at most).
+
+    A table over the bound is returned as is, so the join shuffles both sides
+    (and adaptive execution splits skewed partitions).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -160,36 +160,44 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 
 def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
-        bw: float | None = None) -> DataFrame:
-    """Gaussian kernel density on ``grid`` points: ``point, x, density``.
+        bw: float | None = None, by: str | None = None) -> DataFrame:
+    """Gaussian kernel density on ``grid`` points: ``[by,] point, x, density``.
 
     Bandwidth by Scott's rule (sample sd * n^(-1/5)) unless given; the grid
-    spans [min - cut*bw, max + cut*bw]. Values are first reduced to distinct
-    values with counts; each distinct value spreads its kernel over the grid
-    inside its task and the partial sums are combined per grid point, so the
-    shuffle carries grid-sized partials, not rows.
+    spans [min - cut*bw, max + cut*bw], per group when ``by`` is given (NULL
+    groups skipped). Values are first reduced to distinct values with counts;
+    each distinct value spreads its kernel over the grid inside its task and
+    the partial sums are combined per grid point, so the shuffle carries
+    grid-sized partials, not rows.
     """
-    vals = df.select(_value(df, col).alias("x")).where(F.col("x").isNotNull())
-    st = vals.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
-                  F.min("x").alias("mn"), F.max("x").alias("mx"))
+    from applens.operators.joins import broadcast_if_small
+
+    keys = [by] if by else []
+    vals = df.select(*[F.col(f"`{k}`").alias(k) for k in keys], _value(df, col).alias("x"))
+    vals = vals.where(F.col("x").isNotNull() & (F.col(by).isNotNull() if by else F.lit(True)))
+    st = vals.groupBy(*keys).agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
+                                 F.min("x").alias("mn"), F.max("x").alias("mx"))
     bw_col = F.lit(float(bw)) if bw is not None else F.col("sd") * F.pow(F.col("n"), -0.2)
-    st = st.select("n", bw_col.alias("bw"), "mn", "mx")
-    st = st.select("n", "bw", (F.col("mn") - cut * F.col("bw")).alias("lo"),
-                   (F.col("mx") + cut * F.col("bw")).alias("hi"))
-    s = st.select(F.struct("n", "bw", "lo", "hi")).scalar()
-    n, h, lo, hi = (s.getField(k) for k in ("n", "bw", "lo", "hi"))
-    step = (hi - lo) / (grid - 1)
-    # Subquery values cannot appear inside a lambda: bind them to columns first.
-    vc = (vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-          .select("x", "c", lo.alias("_lo"), step.alias("_step"), h.alias("_h")))
-    spread = vc.select(F.posexplode(F.transform(
+    st = st.select(*keys, "n", bw_col.alias("_h"), "mn", "mx")
+    st = st.select(*keys, "n", "_h", (F.col("mn") - cut * F.col("_h")).alias("_lo"),
+                   ((F.col("mx") + cut * F.col("_h")) - (F.col("mn") - cut * F.col("_h"))).alias("_span"))
+    st = st.select(*keys, "n", "_h", "_lo", (F.col("_span") / (grid - 1)).alias("_step"))
+    vc = vals.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+    if by:
+        # One row per group, joined by key; broadcast only behind a size check.
+        vc = vc.join(broadcast_if_small(st), by)
+    else:
+        # Subquery values cannot appear inside a lambda: bind them to columns.
+        s = st.select(F.struct("n", "_h", "_lo", "_step")).scalar()
+        vc = vc.select("x", "c", *[s.getField(k).alias(k) for k in ("n", "_h", "_lo", "_step")])
+    spread = vc.select(*keys, "n", "_h", "_lo", "_step", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(grid - 1)),
         lambda j: F.col("c") * F.exp(
             -0.5 * F.pow((F.col("_lo") + j * F.col("_step") - F.col("x")) / F.col("_h"), 2)),
     )).alias("point", "k"))
-    norm = n * h * math.sqrt(2 * math.pi)
-    return (spread.groupBy("point").agg(F.sum("k").alias("k"))
-            .select("point", (lo + F.col("point") * step).alias("x"),
+    norm = F.col("n") * F.col("_h") * math.sqrt(2 * math.pi)
+    return (spread.groupBy(*keys, "point", "n", "_h", "_lo", "_step").agg(F.sum("k").alias("k"))
+            .select(*keys, "point", (F.col("_lo") + F.col("point") * F.col("_step")).alias("x"),
                     (F.col("k") / norm).alias("density")))
 
 
@@ -208,3 +216,26 @@ def pair_bins(df: DataFrame, x: str, y: str, hue: str | None = None,
     by = _bucket(F.col("y"), *r["y"], bins).alias("by")
     keys = ([hue] if hue else []) + [bx, by]
     return vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+
+
+def pair_grid(df: DataFrame, cols: list[str], hue: str | None = None, bins: int = 20) -> DataFrame:
+    """2-D binned counts of every column pair: ``[hue,] x_col, y_col, bx, by, count``.
+
+    Scatter-matrix data in two passes whatever the number of pairs: one for
+    all column ranges, one that emits each row's bucket for every pair and
+    counts them (partial counts are combined before the shuffle). Each axis
+    uses its column's own range; rows missing either coordinate are skipped
+    for that pair only.
+    """
+    from itertools import combinations
+
+    keep = [F.col(f"`{hue}`").alias(hue)] if hue else []
+    vals = df.select(*keep, *[_value(df, c).alias(c) for c in cols])
+    r = _range_stats(vals, *cols)
+    b = {c: _bucket(F.col(c), *r[c], bins) for c in cols}
+    pairs = [F.struct(F.lit(x).alias("x_col"), F.lit(y).alias("y_col"), b[x].alias("bx"),
+                      b[y].alias("by")) for x, y in combinations(cols, 2)]
+    cells = vals.select(*([hue] if hue else []), F.inline(F.array(*pairs)))
+    cells = cells.where(F.col("bx").isNotNull() & F.col("by").isNotNull())
+    return cells.groupBy(*([hue] if hue else []), "x_col", "y_col", "bx", "by").agg(
+        F.count(F.lit(1)).alias("count"))

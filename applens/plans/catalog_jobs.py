@@ -93,17 +93,32 @@ def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ------------------------------------------------------------------ P2
 
 LOW_CARDINALITY = ["Category", "Type", "Content Rating", "Genres"]
+MAX_COLLECTED_LABELS = 50_000
 
 
-def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42):
+def _route_by_cardinality(df: DataFrame, cols: list[str],
+                          max_labels: int = MAX_COLLECTED_LABELS) -> tuple[list[str], list[str]]:
+    """Split columns into (few labels, many labels) by approximate distinct
+    counts, all taken in one pass. Few-label columns may have their labels
+    collected by StringIndexer; the others are indexed without collecting."""
+    est = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"c{i}")
+                   for i, c in enumerate(cols)]).first()
+    few = [c for i, c in enumerate(cols) if est[f"c{i}"] <= max_labels]
+    return few, [c for c in cols if c not in few]
+
+
+def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42,
+                   max_labels: int = MAX_COLLECTED_LABELS):
     """Index and assemble the features of every cleaned row.
 
     The held-out part is chosen by a hash of App; indexes are learnt on the
-    training part only and unseen labels get the extra index. App is nearly
-    unique, so its index is computed as a distributed frequency rank instead
-    of collecting its labels; the other four go through one StringIndexer.
-    Returns ``(features13, pipeline_model)``; ``features13`` holds all rows
-    (train and held-out) in the exported 13-column layout.
+    training part only and unseen labels get the extra index (as
+    ``handleInvalid='keep'``). App is nearly unique, so it is always indexed
+    by the distributed frequency rank (no label list on the driver); the other
+    categoricals go through one multi-column StringIndexer unless their
+    estimated label count exceeds ``max_labels``. Returns
+    ``(features13, pipeline_model)``; ``features13`` holds all rows (train
+    and held-out) in the exported 13-column layout.
     """
     from applens.operators.encoding import apply_index, frequency_index, is_held_out
     from applens.operators.models import feature_pipeline
@@ -112,10 +127,12 @@ def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42)
 
     flagged = clean.withColumn("_test", is_held_out(F.col("App"), test_fraction, seed))
     train = flagged.where(~F.col("_test"))
-    app_index = frequency_index(train, "App", "AppIndex")
-    flagged = apply_index(flagged, app_index, "App", "AppIndex")
+    few, many = _route_by_cardinality(train, LOW_CARDINALITY, max_labels)
+    for c in ["App"] + many:
+        index = frequency_index(train, c, c + "Index")
+        flagged = apply_index(flagged, index, c, c + "Index")
     train = flagged.where(~F.col("_test"))
-    model = feature_pipeline(LOW_CARDINALITY, FEATURE_SLOTS).fit(train)
+    model = feature_pipeline(few, FEATURE_SLOTS).fit(train)
     return feature_columns(model.transform(flagged)), model
 
 
@@ -140,13 +157,25 @@ def genre_report(ranged: DataFrame, top: int = 20) -> dict[str, DataFrame]:
     }
 
 
-def profile_report(df: DataFrame, corr_cols: list[str] | None = None) -> dict[str, DataFrame]:
-    """Describe, structure profile and correlation matrix of a table."""
-    from applens.operators.profiling import corr_matrix, describe_exact, numeric_columns, profile
+def profile_report(df: DataFrame, corr_cols: list[str] | None = None,
+                   hue: str | None = None) -> dict[str, DataFrame]:
+    """Describe, structure profile and correlation matrix of a table; with
+    ``hue``, also the scatter-matrix data (pair grid plus per-hue densities
+    of every column, the grid's diagonal)."""
+    from functools import reduce
+
+    from applens.operators.profiling import (
+        corr_matrix, describe_exact, kde, numeric_columns, pair_grid, profile,
+    )
 
     cols = corr_cols or numeric_columns(df)
-    return {"describe": describe_exact(df), "profile": profile(df),
-            "corr": corr_matrix(df, cols)}
+    out = {"describe": describe_exact(df), "profile": profile(df),
+           "corr": corr_matrix(df, cols)}
+    if hue:
+        out["pairs"] = pair_grid(df, cols, hue)
+        out["diagonal"] = reduce(lambda a, b: a.unionByName(b), [
+            kde(df, c, by=hue).select(F.lit(c).alias("column"), "*") for c in cols])
+    return out
 
 
 # ------------------------------------------------------------------ P5
