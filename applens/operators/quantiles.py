@@ -36,37 +36,42 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     counts = _long_values(df, cols).groupBy("column", "x").agg(F.count(F.lit(1)).alias("c"))
     ranked = counts.orderBy("column", "x").checkpoint(eager=True)
     part = ranked.withColumn("_p", F.spark_partition_id())
-    running = part.withColumn("_cum", F.sum("c").over(
-        Window.partitionBy("column", "_p").orderBy("x")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # One row per (column, partition): the counts before each partition.
-    sizes = part.groupBy("column", "_p").agg(F.sum("c").alias("_s"))
+    # One row per (column, partition); small, read by three derived tables.
+    sizes = part.groupBy("column", "_p").agg(F.sum("c").alias("_s")).cache()
     offsets = sizes.select("column", "_p", (F.sum("_s").over(
         Window.partitionBy("column").orderBy("_p")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_s")).alias("_off"))
-    totals = sizes.groupBy("column").agg(F.sum("_s").alias("n"))
     # Wanted ranks (0-based): floor and ceil of p * (n - 1).
-    targets = totals.select("column", F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
-                            .alias("q", "p"), "n")
+    targets = (sizes.groupBy("column").agg(F.sum("_s").alias("n"))
+               .select("column", "n", F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
+                       .alias("q", "p")))
     targets = targets.withColumn("pos", F.col("p") * (F.col("n") - 1)).select(
         "column", "q", "p", "pos",
         F.floor("pos").cast("bigint").alias("lower"), F.ceil("pos").cast("bigint").alias("higher"))
     probes = targets.select(F.col("column").alias("_pc"), F.col("q").alias("_pq"),
+                            F.col("pos").alias("_pos"), F.col("p").alias("_pp"),
+                            F.col("lower").alias("_lower"), F.col("higher").alias("_higher"),
                             F.explode(F.array_distinct(F.array("lower", "higher"))).alias("_rank"))
+    # Rank range [from, to) of every distinct value: running count inside its
+    # sorted partition plus the counts of the partitions before it.
+    running = part.withColumn("_cum", F.sum("c").over(
+        Window.partitionBy("column", "_p").orderBy("x")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     ranged = (running.join(F.broadcast(offsets), ["column", "_p"])
               .select("column", "x", (F.col("_off") + F.col("_cum") - F.col("c")).alias("_from"),
                       (F.col("_off") + F.col("_cum")).alias("_to")))
     hits = ranged.join(F.broadcast(probes), (F.col("column") == F.col("_pc"))
                        & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    hits = hits.select(F.col("_pc").alias("column"), F.col("_pq").alias("q"),
-                       F.col("_rank").alias("rank"), "x")
-    lo = hits.select(F.col("column"), F.col("q"), F.col("rank").alias("lower"), F.col("x").alias("x_lo"))
-    hi = hits.select(F.col("column"), F.col("q"), F.col("rank").alias("higher"), F.col("x").alias("x_hi"))
-    out = targets.join(lo, ["column", "q", "lower"]).join(hi, ["column", "q", "higher"])
-    value = F.when((F.col("lower") == F.col("higher")) | (F.col("x_lo") == F.col("x_hi")), F.col("x_lo")) \
-        .otherwise((F.col("higher") - F.col("pos")) * F.col("x_lo")
-                   + (F.col("pos") - F.col("lower")) * F.col("x_hi"))
-    return out.select("column", "q", "p", value.alias("value"))
+    # Both neighbours of each wanted position in one small aggregate.
+    picked = hits.groupBy("_pc", "_pq", "_pp", "_pos", "_lower", "_higher").agg(
+        F.max(F.when(F.col("_rank") == F.col("_lower"), F.col("x"))).alias("x_lo"),
+        F.max(F.when(F.col("_rank") == F.col("_higher"), F.col("x"))).alias("x_hi"))
+    value = F.when((F.col("_lower") == F.col("_higher")) | (F.col("x_lo") == F.col("x_hi")),
+                   F.col("x_lo")) \
+        .otherwise((F.col("_higher") - F.col("_pos")) * F.col("x_lo")
+                   + (F.col("_pos") - F.col("_lower")) * F.col("x_hi"))
+    return picked.select(F.col("_pc").alias("column"), F.col("_pq").alias("q"),
+                         F.col("_pp").alias("p"), value.alias("value"))
 
 
 def exact_median(df: DataFrame, col: str) -> Column:
