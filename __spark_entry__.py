@@ -40,6 +40,10 @@ def _clean(spark, sf):
     return cj.clean_catalog(proxies.apps_raw(spark, sf))
 
 
+def _ranged(spark, sf):
+    return cj.ranged_catalog(proxies.apps_raw(spark, sf))
+
+
 def _scored(spark, sf):
     return rj.review_sentiment(proxies.review_records(spark, sf), proxies.lexicon(spark),
                                keys=["rid"])
@@ -51,22 +55,22 @@ def q_clean_catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_genre_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    _, ranged = _clean(spark, sf)
+    ranged = _ranged(spark, sf)
     return _r6(agg.genre_rollup(ranged, top=20), "Rating")
 
 
 def q_genre_rollup_all(spark, sf):
-    _, ranged = _clean(spark, sf)
+    ranged = _ranged(spark, sf)
     return _r6(agg.genre_rollup(ranged, top=None), "Rating")
 
 
 def q_genre_mean_rating(spark, sf):
-    _, ranged = _clean(spark, sf)
+    ranged = _ranged(spark, sf)
     return _r6(agg.mean_by_key(ranged, "Genres", "Rating"), "Rating")
 
 
 def q_median_rating(spark, sf):
-    _, ranged = _clean(spark, sf)
+    ranged = _ranged(spark, sf)
     df = flt.drop_value(ranged, "Category", cj.BAD_CATEGORY)
     med = exact_quantiles(df, ["Rating"], [0.5]).select(F.col("value").alias("median_rating"))
     return _r6(med, "median_rating")
@@ -502,7 +506,8 @@ def _pair_grid_sql(cols: list[str], hue: str, bins: int) -> str:
         for i in range(len(cols)))
 
     def b(i):
-        return f"least(CAST(floor({bins} * (c{i} - lo{i}) / (hi{i} - lo{i})) AS BIGINT) + 1, {bins})"
+        return (f"CASE WHEN c{i} IS NOT NULL THEN "
+                f"least(CAST(floor({bins} * (c{i} - lo{i}) / (hi{i} - lo{i})) AS BIGINT) + 1, {bins}) END")
 
     cells = " UNION ALL ".join(
         f"""SELECT "{hue}", '{cols[i]}' AS x_col, '{cols[j]}' AS y_col, {b(i)} AS bx, {b(j)} AS "by" FROM v, r"""

@@ -124,20 +124,30 @@ def _widen(lo: Column, hi: Column) -> tuple[Column, Column]:
             F.when(same, hi + 0.5).otherwise(hi).alias("hi"))
 
 
-def _range_stats(vals: DataFrame, *cols: str) -> dict[str, tuple[Column, Column]]:
-    """One scalar subquery with the (widened) range of every column."""
+def _range_stats(vals: DataFrame, *cols: str) -> Column:
+    """One scalar subquery: a struct with the (widened) range of every column,
+    fields ``<col>_lo`` / ``<col>_hi``. Bind it to a column once and read the
+    fields from that column: every separate reference to a subquery is
+    planned (and run) as a separate subquery."""
     st = vals.agg(*[e for c in cols for e in (F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"))])
     fields = []
     for c in cols:
         lo, hi = _widen(F.col(f"{c}_lo"), F.col(f"{c}_hi"))
         fields += [lo.alias(f"{c}_lo"), hi.alias(f"{c}_hi")]
-    s = st.select(F.struct(*fields)).scalar()
-    return {c: (s.getField(f"{c}_lo"), s.getField(f"{c}_hi")) for c in cols}
+    return st.select(F.struct(*fields)).scalar()
+
+
+def _range_of(bound: str, c: str) -> tuple[Column, Column]:
+    r = F.col(bound)
+    return r.getField(f"{c}_lo"), r.getField(f"{c}_hi")
 
 
 def _bucket(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """1..bins equal-width bucket; the top edge belongs to the last bucket."""
-    return F.least(F.width_bucket(x, lo, hi, F.lit(bins)), F.lit(bins))
+    """1..bins equal-width bucket; the top edge belongs to the last bucket.
+
+    NULL stays NULL (``least`` alone would skip it and answer ``bins``).
+    """
+    return F.when(x.isNotNull(), F.least(F.width_bucket(x, lo, hi, F.lit(bins)), F.lit(bins)))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
@@ -148,11 +158,14 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     Two passes over the data: the range (a scalar subquery), then the counts.
     """
     vals = df.select(_value(df, col).alias("x")).where(F.col("x").isNotNull())
-    lo, hi = _range_stats(vals, "x")["x"]
-    counts = vals.groupBy(_bucket(F.col("x"), lo, hi, bins).cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("count"))
+    rng = _range_stats(vals, "x")
+    lo, hi = _range_of("_r", "x")
+    counts = (vals.withColumn("_r", rng)
+              .groupBy(_bucket(F.col("x"), lo, hi, bins).cast("int").alias("bin"))
+              .agg(F.count(F.lit(1)).alias("count")))
     width = (hi - lo) / bins
-    numbers = df.sparkSession.range(1, bins + 1, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
+    numbers = (df.sparkSession.range(1, bins + 1, numPartitions=1)
+               .select(F.col("id").cast("int").alias("bin")).withColumn("_r", rng))
     edges = numbers.select("bin", (lo + (F.col("bin") - 1) * width).alias("lo"),
                            (lo + F.col("bin") * width).alias("hi"))
     return (edges.join(counts, "bin", "left")
@@ -187,9 +200,11 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
         # One row per group, joined by key; broadcast only behind a size check.
         vc = vc.join(broadcast_if_small(st), by)
     else:
-        # Subquery values cannot appear inside a lambda: bind them to columns.
+        # Subquery values cannot appear inside a lambda, and each reference
+        # to a subquery runs it again: bind it to one column, then read it.
         s = st.select(F.struct("n", "_h", "_lo", "_step")).scalar()
-        vc = vc.select("x", "c", *[s.getField(k).alias(k) for k in ("n", "_h", "_lo", "_step")])
+        vc = vc.withColumn("_s", s).select(
+            "x", "c", *[F.col("_s").getField(k).alias(k) for k in ("n", "_h", "_lo", "_step")])
     spread = vc.select(*keys, "n", "_h", "_lo", "_step", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(grid - 1)),
         lambda j: F.col("c") * F.exp(
@@ -211,11 +226,11 @@ def pair_bins(df: DataFrame, x: str, y: str, hue: str | None = None,
     keep = [F.col(f"`{hue}`").alias(hue)] if hue else []
     vals = df.select(*keep, _value(df, x).alias("x"), _value(df, y).alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull())
-    r = _range_stats(vals, "x", "y")
-    bx = _bucket(F.col("x"), *r["x"], bins).alias("bx")
-    by = _bucket(F.col("y"), *r["y"], bins).alias("by")
+    bound = vals.withColumn("_r", _range_stats(vals, "x", "y"))
+    bx = _bucket(F.col("x"), *_range_of("_r", "x"), bins).alias("bx")
+    by = _bucket(F.col("y"), *_range_of("_r", "y"), bins).alias("by")
     keys = ([hue] if hue else []) + [bx, by]
-    return vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    return bound.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
 def pair_grid(df: DataFrame, cols: list[str], hue: str | None = None, bins: int = 20) -> DataFrame:
@@ -231,11 +246,16 @@ def pair_grid(df: DataFrame, cols: list[str], hue: str | None = None, bins: int
 
     keep = [F.col(f"`{hue}`").alias(hue)] if hue else []
     vals = df.select(*keep, *[_value(df, c).alias(c) for c in cols])
-    r = _range_stats(vals, *cols)
-    b = {c: _bucket(F.col(c), *r[c], bins) for c in cols}
-    pairs = [F.struct(F.lit(x).alias("x_col"), F.lit(y).alias("y_col"), b[x].alias("bx"),
-                      b[y].alias("by")) for x, y in combinations(cols, 2)]
-    cells = vals.select(*([hue] if hue else []), F.inline(F.array(*pairs)))
+    bound = vals.withColumn("_r", _range_stats(vals, *cols))
+    # Bucket every column once, then pair the buckets.
+    bucketed = bound.select(*([hue] if hue else []),
+                            *[_bucket(F.col(c), *_range_of("_r", c), bins).alias(f"_b{i}")
+                              for i, c in enumerate(cols)])
+    idx = {c: i for i, c in enumerate(cols)}
+    pairs = [F.struct(F.lit(x).alias("x_col"), F.lit(y).alias("y_col"),
+                      F.col(f"_b{idx[x]}").alias("bx"), F.col(f"_b{idx[y]}").alias("by"))
+             for x, y in combinations(cols, 2)]
+    cells = bucketed.select(*([hue] if hue else []), F.inline(F.array(*pairs)))
     cells = cells.where(F.col("bx").isNotNull() & F.col("by").isNotNull())
     return cells.groupBy(*([hue] if hue else []), "x_col", "y_col", "bx", "by").agg(
         F.count(F.lit(1)).alias("count"))

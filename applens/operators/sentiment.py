@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from applens.session import ensure_checkpoint_dir
 
 TOKEN_SPLIT = "[^a-z]+"
-MAX_MAP_WORDS = 200_000
+# The map travels inside each task (as a subquery result), so it is kept to
+# a size that is cheap to ship per task; larger lexicons are joined instead
+# (a broadcast join ships them once per executor).
+MAX_MAP_WORDS = 50_000
 
 
 def _lexicon_unique(lexicon: DataFrame) -> DataFrame:

@@ -75,6 +75,14 @@ def _clean_after_fill(df: DataFrame) -> DataFrame:
     return complete_rows(df)
 
 
+def ranged_catalog(raw: DataFrame) -> DataFrame:
+    """The raw catalogue typed and range-filtered (ratings > 10 dropped,
+    missing kept): the table the genre summaries read."""
+    if dict(raw.dtypes).get("Rating") == "string":
+        raw = type_raw(raw)
+    return drop_outliers(raw, "Rating", MAX_RATING)
+
+
 def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean a raw catalogue. Returns ``(clean, ranged)``.
 
@@ -83,9 +91,7 @@ def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     steps (see ``clean_rows``); the median used for missing ratings is taken
     after the range and category filters, before names are cleaned.
     """
-    if dict(raw.dtypes).get("Rating") == "string":
-        raw = type_raw(raw)
-    ranged = drop_outliers(raw, "Rating", MAX_RATING)
+    ranged = ranged_catalog(raw)
     df = fill_median(drop_value(ranged, "Category", BAD_CATEGORY), "Rating")
     return _clean_after_fill(df), ranged
 
@@ -185,7 +191,7 @@ MODEL_NUMERIC = ["Type", "Genres", "Reviews", "Size", "Installs", "Price"]
 
 def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
                        tune: bool = True, gbt_iter: int = 100, n: int = 5,
-                       parallelism: int = 4) -> dict:
+                       parallelism: int | None = None) -> dict:
     """Train the rating models on the feature table and recommend per category.
 
     Model input: Type, Genres, Reviews, Size, Installs, Price (indexes and
@@ -214,6 +220,9 @@ def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed:
 
     out: dict = {}
     if tune:
+        # Concurrent fits per fold: the whole grid when the cluster has room.
+        if parallelism is None:
+            parallelism = max(1, min(len(ALPHAS), features13.sparkSession.sparkContext.defaultParallelism))
         est = lasso()
         cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", parallelism=parallelism)
         best = cvm.bestModel.getOrDefault("regParam")

@@ -56,3 +56,24 @@ def test_rate_and_recommend_shapes(spark):
 def test_r2_formula(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0), (3.0, 2.5)], "y double, p double")
     assert abs(M.r2(df, "y", "p").first().r2 - (1 - 0.5 / 2.0)) < 1e-12
+
+
+def test_pipeline_model_save_load(spark, tmp_dir):
+    from pyspark.ml import PipelineModel
+
+    clean, _ = cj.clean_catalog(proxies.apps_raw(spark, SF_SMALL))
+    feats, model = cj.build_features(clean)
+    path = tmp_dir + "/pipeline"
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    sample = clean.withColumn("AppIndex", F.lit(0.0))
+    a = model.transform(sample).select("features").collect()
+    b = again.transform(sample).select("features").collect()
+    assert a == b
+
+
+def test_cardinality_routing(spark):
+    df = spark.range(300).select((F.col("id") % 3).cast("string").alias("few"),
+                                 F.col("id").cast("string").alias("many"))
+    few, many = cj._route_by_cardinality(df, ["few", "many"], max_labels=50)
+    assert few == ["few"] and many == ["many"]

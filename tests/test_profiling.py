@@ -127,3 +127,31 @@ def test_exact_quantiles_empty_column(spark):
 
     df = spark.createDataFrame([(None,), (float("nan"),)], "a double")
     assert exact_quantiles(df, ["a"], [0.5]).count() == 0
+
+
+def test_kde_by_group_matches_per_group(spark):
+    df = part(spark)
+    grouped = {(r.p_type, r.point): r.density for r in prof.kde(df, "p_size", 50, by="p_type").collect()}
+    for t in [r.p_type for r in df.select("p_type").distinct().limit(2).collect()]:
+        one = prof.kde(df.where(F.col("p_type") == t), "p_size", 50).collect()
+        for r in one:
+            a, b = grouped[(t, r.point)], r.density
+            assert (a is None and b is None) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-15)
+
+
+def test_pair_grid_counts(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None, "a"), (2.0, 4.0, 1.0, "b"), (3.0, 8.0, 2.0, "a")],
+                               "x double, y double, z double, h string")
+    out = prof.pair_grid(df, ["x", "y", "z"], hue="h", bins=4)
+    totals = {(r.x_col, r.y_col): r.n for r in out.groupBy("x_col", "y_col").agg(F.sum("count").alias("n")).collect()}
+    assert totals == {("x", "y"): 3, ("x", "z"): 2, ("y", "z"): 2}
+
+
+def test_broadcast_if_small(spark):
+    from applens.operators.joins import broadcast_if_small
+
+    small = spark.range(10)
+    big = spark.range(1000)
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(broadcast_if_small(small, 100)).lower()
+    assert "broadcast" not in plan(broadcast_if_small(big, 100)).lower()
