@@ -54,6 +54,15 @@ def q_clean_catalog(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(clean, "Rating", "Size", "Price")
 
 
+def q_clean_catalog_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The row-level cleaning run as a stream (median from the batch table)."""
+    from applens.streaming import clean_catalog_stream, rating_median, run_to_table
+
+    med = rating_median(proxies.apps_raw(spark, sf))
+    stream = clean_catalog_stream(proxies.apps_raw(spark, sf, stream=True), med)
+    return _r6(run_to_table(stream, "clean_catalog_stream"), "Rating", "Size", "Price")
+
+
 def q_genre_rollup(spark: SparkSession, sf: str) -> DataFrame:
     ranged = _ranged(spark, sf)
     return _r6(agg.genre_rollup(ranged, top=20), "Rating")
@@ -245,6 +254,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "clean_catalog": q_clean_catalog,
+        "clean_catalog_stream": q_clean_catalog_stream,
         "genre_rollup": q_genre_rollup,
         "genre_rollup_all": q_genre_rollup_all,
         "genre_mean_rating": q_genre_mean_rating,
@@ -537,6 +547,11 @@ FROM apps_clean""" for a in CLEAN_NUM for b in CLEAN_NUM)
 SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
        round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
        "Content Rating", "Genres"
+FROM apps_clean""",
+        "clean_catalog_stream": CATALOG + """
+SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
+       round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
+       "Content Rating", "Genres"
 FROM apps_clean""",
         "genre_rollup": _with(APPS_RAW, RANGED) + """
 SELECT "Genres", count(*) AS "Count",

@@ -17,14 +17,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def apps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def apps_raw(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Catalogue rows as a CSV reader with inference would type them.
 
     App, Category, Size, Installs, Type, Price, Content Rating and Genres are
     text; Rating is a double with gaps and outliers; Reviews is a bigint.
     Bad values are planted by key so every cleaning rule has rows to act on.
+    ``stream=True`` reads the same rows as a file stream.
     """
     p = _table(spark, sf_dir, "part")
+    if stream:
+        # A file stream watches a folder or glob; this glob matches the one file.
+        p = spark.readStream.schema(p.schema).parquet(f"{sf_dir}/[p]art.parquet")
     k = F.col("p_partkey")
     size = F.col("p_size")
     return p.select(

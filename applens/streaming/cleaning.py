@@ -48,3 +48,22 @@ def start_clean_stream(raw: DataFrame, rating_fill, path: str, checkpoint: str,
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def run_to_table(stream: DataFrame, name: str, checkpoint_root: str | None = None) -> DataFrame:
+    """Run a streaming DataFrame over everything available now into an
+    in-memory table and return that table (for checks and small results).
+
+    The stream's checkpoint goes under the session's checkpoint folder.
+    """
+    import uuid
+
+    from applens.session import ensure_checkpoint_dir
+
+    spark = stream.sparkSession
+    root = checkpoint_root or ensure_checkpoint_dir(spark)
+    q = (stream.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", f"{root}/streams/{name}-{uuid.uuid4().hex}")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.table(name)
