@@ -114,7 +114,7 @@ def test_exact_quantiles_match_percentile(spark):
              None if i % 5 else 7.0) for i in range(3000)]
     df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {(r.column, r.q): r.value for r in exact_quantiles(df, ["a", "b", "c"], probs).collect()}
+    got = {(r.column, r.q): r.value for r in exact_quantiles(df, ["a", "b", "c"], probs, 0).collect()}
     ref = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c)
                    for c in ["a", "b", "c"]]).first()
     for c in ["a", "b", "c"]:
@@ -155,3 +155,20 @@ def test_broadcast_if_small(spark):
     plan = lambda d: d._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(broadcast_if_small(small, 100)).lower()
     assert "broadcast" not in plan(broadcast_if_small(big, 100)).lower()
+
+
+def test_exact_quantiles_both_strategies_agree(spark):
+    import random
+
+    from applens.operators.quantiles import exact_quantiles
+
+    rnd = random.Random(5)
+    rows = [(rnd.random() * 10, float(rnd.randint(0, 20))) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(4)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    ranked = {(r.column, r.q): (r.p, r.value) for r in exact_quantiles(df, ["a", "b"], probs, 0).collect()}
+    mapped = {(r.column, r.q): (r.p, r.value) for r in exact_quantiles(df, ["a", "b"], probs, 10 ** 6).collect()}
+    assert ranked.keys() == mapped.keys()
+    for k in ranked:
+        assert ranked[k][0] == mapped[k][0]
+        assert math.isclose(ranked[k][1], mapped[k][1], rel_tol=1e-12)
