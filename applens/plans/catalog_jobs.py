@@ -30,12 +30,17 @@ def type_raw(raw: DataFrame) -> DataFrame:
 def fill_median(df: DataFrame, col: str) -> DataFrame:
     """Fill NULLs with the exact, interpolated median of the column.
 
-    The median comes from the distributed exact quantile (no task ever holds
-    all distinct values) and reaches the rows as a scalar subquery.
+    The median is computed once, when the plan is built (one number reaches
+    the driver), and embedded as a literal, so every later pass over the
+    cleaned table re-runs only row-level steps. No task ever holds all
+    distinct values (see ``operators.quantiles``).
     """
-    from applens.operators.quantiles import exact_median
+    from applens.operators.quantiles import exact_quantiles
 
-    return df.withColumn(col, F.coalesce(F.col(col), exact_median(df, col)))
+    row = exact_quantiles(df, [col], [0.5]).first()
+    if row is None:  # no values at all: nothing to fill with
+        return df
+    return df.withColumn(col, F.coalesce(F.col(col), F.lit(float(row.value))))
 
 
 def cast_clean(df: DataFrame) -> DataFrame:
