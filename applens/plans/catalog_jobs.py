@@ -158,11 +158,11 @@ def genre_report(ranged: DataFrame, top: int = 20) -> dict[str, DataFrame]:
     from applens.operators.aggregates import genre_rollup
     from applens.operators.profiling import describe_exact, kde
 
-    # One row per genre, read by three tables: computed once and kept.
+    # One row per genre, read by four tables: computed once and kept.
     rollup = genre_rollup(ranged, top=None).persist()
     return {
         "rollup": rollup,
-        "top": genre_rollup(ranged, top=top),
+        "top": rollup.orderBy(F.desc("Count"), F.asc("Genres")).limit(top),
         "rating_describe": describe_exact(rollup, ["Rating"]),
         "rating_density": kde(rollup, "Rating"),
     }
@@ -234,6 +234,7 @@ def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed:
         out["best_alpha"] = best
         tuned = fit_l1(train, best).transform(test)
         out["tuned_r2"] = r2(tuned, "Rating", "prediction")
+        out["tuned_predictions"] = prediction_table(tuned)
     shown = rating_model(max_iter=gbt_iter).fit(train).transform(test)
     out["r2"] = r2(shown, "Rating", "prediction")
     out["predictions"] = prediction_table(shown)

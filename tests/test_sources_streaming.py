@@ -66,3 +66,19 @@ def test_stream_clean_equals_batch(spark, tmp_dir):
     q.stop()
     batch, _ = cj.clean_catalog(raw)
     assert rows(spark.table("clean_stream_test")) == rows(batch)
+
+
+def test_stream_to_parquet_restarts_exactly_once(spark, tmp_dir):
+    from applens.streaming import start_clean_stream
+
+    raw = proxies.apps_raw(spark, SF_SMALL)
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    raw.where(F.col("Reviews") % 2 == 0).write.parquet(src)
+    med = rating_median(raw)
+    q = start_clean_stream(spark.readStream.schema(raw.schema).parquet(src), med, out, ck, trigger_once=True)
+    q.awaitTermination()
+    raw.where(F.col("Reviews") % 2 == 1).write.mode("append").parquet(src)
+    q = start_clean_stream(spark.readStream.schema(raw.schema).parquet(src), med, out, ck, trigger_once=True)
+    q.awaitTermination()
+    batch, _ = cj.clean_catalog(raw)
+    assert rows(spark.read.parquet(out)) == rows(batch)
