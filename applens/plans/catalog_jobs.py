@@ -191,7 +191,9 @@ def profile_report(df: DataFrame, corr_cols: list[str] | None = None,
 
 # ------------------------------------------------------------------ P5
 
-MODEL_NUMERIC = ["Type", "Genres", "Reviews", "Size", "Installs", "Price"]
+# Columns the model never sees: names, labels and the dropped categoricals.
+NOT_MODEL_INPUT = ("App", "Content Rating", "Category", "App_Label", "Category_Label",
+                   "Genres_Label")
 
 
 def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
@@ -213,11 +215,16 @@ def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed:
         prediction_table, r2, rating_model, recommend,
     )
 
+    from applens.operators.filters import xy
+
+    # Model input by name: every feature column except names and labels
+    # (Type, Genres, Reviews, Size, Installs, Price), plus one-hot Category.
+    numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT + ("_test", "fold"))
     df = features13.withColumns({
         "_test": is_held_out(F.col("App_Label"), test_fraction, seed),
         "fold": fold_of(F.col("App_Label"), FOLDS, FOLD_SEED),
     })
-    _, pipe = model_features(df, MODEL_NUMERIC, "Category")
+    _, pipe = model_features(df, numeric, "Category")
     assembled = pipe.fit(df.where(~F.col("_test"))).transform(df)
     assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
     train = assembled.where(~F.col("_test"))
@@ -229,7 +236,8 @@ def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed:
         if parallelism is None:
             parallelism = max(1, min(len(ALPHAS), features13.sparkSession.sparkContext.defaultParallelism))
         est = lasso()
-        cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", parallelism=parallelism)
+        cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", label=label,
+                          parallelism=parallelism)
         best = cvm.bestModel.getOrDefault("regParam")
         out["best_alpha"] = best
         tuned = fit_l1(train, best).transform(test)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from applens.functions.numeric import sign_label
 from applens.operators.aggregates import class_share, polarity_by_app
+from applens.operators.filters import keep_present
 from applens.operators.joins import keep_top_keys
 from applens.operators.profiling import histogram, pair_bins
 from applens.operators.sentiment import score_sentiment
@@ -47,7 +48,7 @@ def sentiment_report(scored: DataFrame, bins: int = 10, scatter_bins: int = 20)
                              F.abs("Polarity").alias("Polarity"))
     return {
         "by_app": polarity_by_app(scored),
-        "subjectivity_hist": histogram(scored, "Subjectivity", bins),
+        "subjectivity_hist": histogram(keep_present(scored, "Subjectivity"), "Subjectivity", bins),
         "abs_scatter": pair_bins(absolute, "Subjectivity", "Polarity", bins=scatter_bins),
         "shares": class_share(scored, "Sentiment"),
     }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from applens.functions.text import literal_split, remove_newlines, strip
+from applens.operators.filters import keep_field_count
 
 RECORD_SEP = "#"
 FIELD_SEP = "@"
@@ -25,12 +26,12 @@ def split_records(df: DataFrame, text: str, keys: list[str] | None = None,
     recs = df.select(*keys, F.posexplode(literal_split(remove_newlines(text, newline), RECORD_SEP))
                      .alias("seq", "_rec"))
     recs = recs.withColumn("_f", literal_split("_rec", FIELD_SEP))
+    if not with_rejected:
+        recs = keep_field_count(recs, "_f", 2)
     out = recs.select(*keys, "seq", strip(F.col("_f")[0]).alias("App"),
                       strip(F.try_element_at("_f", F.lit(2))).alias("Review"),
                       F.size("_f").alias("n_fields"))
-    if with_rejected:
-        return out
-    return out.where(F.col("n_fields") == 2).drop("n_fields")
+    return out if with_rejected else out.drop("n_fields")
 
 
 def read_reviews(spark: SparkSession, path: str, newline: str = " ",
