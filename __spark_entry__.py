@@ -112,6 +112,20 @@ def q_describe_part(spark, sf):
                "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def q_describe_clean(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return _r6(prof.describe_exact(clean), "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def q_describe_reviews(spark, sf):
+    return _r6(prof.describe_exact(_scored(spark, sf), ["Polarity", "Subjectivity"]),
+               "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def q_profile_reviews(spark, sf):
+    return prof.profile(_scored(spark, sf))
+
+
 def q_profile_apps_raw(spark, sf):
     return prof.profile(proxies.apps_raw(spark, sf))
 
@@ -265,6 +279,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_labels": q_category_labels,
         "describe_part": q_describe_part,
         "profile_apps_raw": q_profile_apps_raw,
+        "describe_clean": q_describe_clean,
+        "describe_reviews": q_describe_reviews,
+        "profile_reviews": q_profile_reviews,
         "corr_clean": q_corr_clean,
         "category_dummies": q_category_dummies,
         "size_histogram": q_size_histogram,
@@ -457,6 +474,7 @@ def _describe_sql(table: str, cols: list[str]) -> str:
     parts = []
     for c in cols:
         x = f"CAST({c} AS DOUBLE)"
+        c = c.strip('"')
         parts.append(f"""
 SELECT '{c}' AS "column", count({x}) AS count, round(avg({x}), 6) AS mean,
        round(stddev_samp({x}), 6) AS std, round(min({x}), 6) AS min,
@@ -481,6 +499,8 @@ APPS_RAW_FULL = APPS_RAW.replace(
   FROM part""")
 
 CLEAN_NUM = ["Rating", "Reviews", "Size", "Installs", "Price"]
+SCORED_TYPES = [("rid", "bigint"), ("seq", "int"), ("App", "string"), ("Review", "string"),
+                ("Polarity", "double"), ("Subjectivity", "double"), ("Sentiment", "string")]
 INDEXED = ["App", "Category", "Type", "Content Rating", "Genres"]
 
 
@@ -582,6 +602,12 @@ SELECT DISTINCT "Category", replace("Category", '0', '-') AS "Category_Label",
        'cat_' || "Category" AS dummy_name FROM apps_clean""",
         "describe_part": _describe_sql("part", ["p_partkey", "p_size", "p_retailprice"]),
         "profile_apps_raw": _with(APPS_RAW_FULL) + profile,
+        "describe_clean": CATALOG + _describe_sql("apps_clean", [f'"{c}"' for c in CLEAN_NUM]),
+        "describe_reviews": SCORED_ALL + _describe_sql("scored", ['"Polarity"', '"Subjectivity"']),
+        "profile_reviews": SCORED_ALL + " UNION ALL ".join(
+            f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS dtype,
+  count("{c}") AS non_null, count(*) - count("{c}") AS nulls FROM scored"""
+            for i, (c, t) in enumerate(SCORED_TYPES)),
         "corr_clean": CATALOG + corr,
         "category_dummies": CATALOG + """
 SELECT * FROM (
