@@ -243,6 +243,24 @@ def q_build_features(spark, sf):
     return _r6(feats, "Rating", "Size", "Price")
 
 
+HEATMAP_COLS = ["Rating", "Size", "Installs", "Reviews", "Price", "Type", "Category", "Genres"]
+
+
+def q_corr_features(spark, sf):
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return _r6(prof.corr_matrix(feats, HEATMAP_COLS), "r")
+
+
+def q_genre_rating_density(spark, sf):
+    return _r6(cj.genre_report(_ranged(spark, sf))["rating_density"], "x", "density")
+
+
+def q_genre_rating_describe(spark, sf):
+    return _r6(cj.genre_report(_ranged(spark, sf))["rating_describe"],
+               "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
 def q_baseline_r2(spark, sf):
     clean, _ = _clean(spark, sf)
     means = clean.groupBy("Category").agg(F.avg("Rating").alias("baseline"))
@@ -304,6 +322,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "frequency_index": q_frequency_index,
         "build_features": q_build_features,
         "baseline_r2": q_baseline_r2,
+        "corr_features": q_corr_features,
+        "genre_rating_density": q_genre_rating_density,
+        "genre_rating_describe": q_genre_rating_describe,
         "orders_by_month": q_orders_by_month,
         "recommendations": q_recommendations,
     }
@@ -519,13 +540,15 @@ tr AS (SELECT * FROM flag WHERE NOT is_test),
     slots = ",\n  ".join(
         f'CAST(coalesce(i{i}.ix, (SELECT count(*) FROM i{i})) AS DOUBLE) AS "{c}"'
         for i, c in enumerate(INDEXED))
-    return CATALOG + "," + flag + f"""
-SELECT round(f."Rating", 6) AS "Rating",
+    return CATALOG + "," + flag + f""",
+feats AS (
+SELECT f."Rating" AS "Rating",
   {slots},
-  CAST(f."Reviews" AS DOUBLE) AS "Reviews", round(f."Size", 6) AS "Size",
-  CAST(f."Installs" AS DOUBLE) AS "Installs", round(f."Price", 6) AS "Price",
+  CAST(f."Reviews" AS DOUBLE) AS "Reviews", f."Size" AS "Size",
+  CAST(f."Installs" AS DOUBLE) AS "Installs", f."Price" AS "Price",
   f."App" AS "App_Label", f."Category" AS "Category_Label", f."Genres" AS "Genres_Label"
-FROM flag f {joins}"""
+FROM flag f {joins})
+"""
 
 
 def _pair_grid_sql(cols: list[str], hue: str, bins: int) -> str:
@@ -683,7 +706,28 @@ SELECT p_partkey,
        CAST(('0x' || substr(md5(CAST(p_partkey AS VARCHAR) || ':155'), 1, 8))::BIGINT % 10 AS INTEGER) AS fold
 FROM part""",
         "frequency_index": CATALOG + freq,
-        "build_features": _features_sql(),
+        "build_features": _features_sql() + """
+SELECT * REPLACE (round("Rating", 6) AS "Rating", round("Size", 6) AS "Size",
+                  round("Price", 6) AS "Price") FROM feats""",
+        "corr_features": _features_sql() + " UNION ALL ".join(
+            f"""SELECT '{a}' AS a, '{b}' AS b,
+  round(CASE WHEN isnan(corr("{a}", "{b}")) THEN NULL ELSE corr("{a}", "{b}") END, 6) + 0.0 AS r
+FROM feats""" for a in HEATMAP_COLS for b in HEATMAP_COLS),
+        "genre_rating_density": _with(APPS_RAW, RANGED) + """,
+v AS (SELECT avg("Rating") AS x FROM ranged WHERE "Genres" IS NOT NULL GROUP BY "Genres"),
+v2 AS (SELECT x FROM v WHERE x IS NOT NULL AND NOT isnan(x)),
+st0 AS (SELECT count(x) AS n, stddev_samp(x) * pow(count(x), -0.2) AS bw,
+               min(x) AS mn, max(x) AS mx FROM v2),
+st AS (SELECT n, bw, mn - 3.0 * bw AS lo, mx + 3.0 * bw AS hi FROM st0),
+vc AS (SELECT x, count(*) AS c FROM v2 GROUP BY x),
+g AS (SELECT CAST(j AS INTEGER) AS point, lo + j * ((hi - lo) / 199) AS gx
+      FROM st, range(200) t(j))
+SELECT point, round(gx, 6) AS x,
+       round(sum(c * exp(-0.5 * pow((gx - x) / bw, 2))) / (n * bw * sqrt(2 * pi())), 6) AS density
+FROM g, vc, st GROUP BY point, gx, n, bw""",
+        "genre_rating_describe": _with(APPS_RAW, RANGED) + """,
+rollup AS (SELECT avg("Rating") AS "Rating" FROM ranged WHERE "Genres" IS NOT NULL GROUP BY "Genres")
+""" + _describe_sql("rollup", ['"Rating"']),
         "baseline_r2": CATALOG + """,
 m AS (SELECT "Category", avg("Rating") AS baseline FROM apps_clean GROUP BY "Category"),
 j AS (SELECT "Rating", baseline FROM apps_clean JOIN m USING ("Category"))
