@@ -17,14 +17,17 @@ from applens.schemas import CLEAN, FEATURE_SLOTS, FEATURES13, RAW_TEXT
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Catalogue CSV with a header row; RFC-4180 quoting; numbers typed.
 
-    Columns are read as text and Rating/Reviews typed as a CSV reader with
-    inference would (bad text -> NULL, 'NaN' -> NULL). Columns missing from
-    the file are NULL.
+    Every field is read as text (no inference pass) and the catalogue
+    columns are taken by header name, so the file's column order does not
+    matter and a missing column is NULL. Rating and Reviews are then typed as
+    a CSV reader with inference would (bad text -> NULL, 'NaN' -> NULL).
     """
     raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-           .option("multiLine", False).option("enforceSchema", False)
-           .schema(RAW_TEXT).csv(path))
-    return type_raw(raw)
+           .option("inferSchema", False).csv(path))
+    present = set(raw.columns)
+    cols = [F.col(f"`{c}`").alias(c) if c in present else F.lit(None).cast("string").alias(c)
+            for c in RAW_TEXT.names]
+    return type_raw(raw.select(cols))
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:

@@ -82,3 +82,17 @@ def test_stream_to_parquet_restarts_exactly_once(spark, tmp_dir):
     q.awaitTermination()
     batch, _ = cj.clean_catalog(raw)
     assert rows(spark.read.parquet(out)) == rows(batch)
+
+
+def test_read_catalog_by_header_name(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "cat.csv")
+    with open(p, "w") as f:
+        f.write('Genres,App,Rating,Reviews,Size,Installs,Type,Price,Content Rating,Category\n')
+        f.write('"Art;Design","My, App",4.1,10,19M,"10,000+",Free,0,Everyone,ART_AND_DESIGN\n')
+        f.write('Tools,Other,NaN,x,8.5k,500+,Paid,$1.99,Teen,TOOLS\n')
+    df = cat.read_catalog(spark, p)
+    assert df.columns == RAW_COLUMNS
+    got = {r.App: r for r in df.collect()}
+    assert got["My, App"].Genres == "Art;Design" and got["My, App"].Rating == 4.1
+    assert got["My, App"].Installs == "10,000+" and got["My, App"]["Last Updated"] is None
+    assert got["Other"].Rating is None and got["Other"].Reviews is None
