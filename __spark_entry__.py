@@ -7,9 +7,16 @@ bigint in both.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+
+# The package lives next to this file; make it importable from any cwd.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 from pyspark.sql import functions as F
 
 from applens import functions as fn
