@@ -92,6 +92,14 @@ def q_median_rating(spark, sf):
     return _r6(med, "median_rating")
 
 
+def q_rating_value_counts(spark, sf):
+    return agg.value_counts(_ranged(spark, sf), "Rating")
+
+
+def q_distinct_ratings(spark, sf):
+    return agg.distinct_values(_ranged(spark, sf), "Rating")
+
+
 def q_category_counts(spark, sf):
     clean, _ = _clean(spark, sf)
     return agg.value_counts(clean, "Category")
@@ -210,6 +218,10 @@ def q_review_sentiment(spark, sf):
     return _r6(_scored(spark, sf), "Polarity", "Subjectivity")
 
 
+def q_reviews_preview(spark, sf):
+    return _r6(win.preview(_scored(spark, sf), 10, "rid", "seq"), "Polarity", "Subjectivity")
+
+
 def q_polarity_by_app(spark, sf):
     return rj.sentiment_report(_scored(spark, sf))["by_app"]
 
@@ -298,6 +310,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "genre_rollup_all": q_genre_rollup_all,
         "genre_mean_rating": q_genre_mean_rating,
         "median_rating": q_median_rating,
+        "rating_value_counts": q_rating_value_counts,
+        "distinct_ratings": q_distinct_ratings,
         "category_counts": q_category_counts,
         "part_type_counts": q_part_type_counts,
         "content_ratings": q_content_ratings,
@@ -321,6 +335,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "review_field_counts": q_review_field_counts,
         "top_app_reviews": q_top_app_reviews,
         "review_sentiment": q_review_sentiment,
+        "reviews_preview": q_reviews_preview,
         "polarity_by_app": q_polarity_by_app,
         "sentiment_shares": q_sentiment_shares,
         "subjectivity_histogram": q_subjectivity_histogram,
@@ -620,6 +635,10 @@ FROM ranged WHERE "Genres" IS NOT NULL GROUP BY "Genres" """,
         "median_rating": _with(APPS_RAW, RANGED) + """
 SELECT round(median("Rating"), 6) AS median_rating
 FROM ranged WHERE "Category" IS DISTINCT FROM '1.9'""",
+        "rating_value_counts": _with(APPS_RAW, RANGED) + """
+SELECT "Rating", count(*) AS count FROM ranged WHERE "Rating" IS NOT NULL GROUP BY "Rating" """,
+        "distinct_ratings": _with(APPS_RAW, RANGED) + """
+SELECT DISTINCT "Rating" FROM ranged""",
         "category_counts": CATALOG + """
 SELECT "Category", count(*) AS count FROM apps_clean
 WHERE "Category" IS NOT NULL GROUP BY "Category" """,
@@ -692,6 +711,10 @@ SELECT rid, seq, "App", "Review" FROM kept""",
         "review_sentiment": SCORED_ALL + """
 SELECT rid, seq, "App", "Review", round("Polarity", 6) + 0.0 AS "Polarity",
        round("Subjectivity", 6) + 0.0 AS "Subjectivity", "Sentiment" FROM scored""",
+        "reviews_preview": SCORED_ALL + """
+SELECT rid, seq, "App", "Review", round("Polarity", 6) + 0.0 AS "Polarity",
+       round("Subjectivity", 6) + 0.0 AS "Subjectivity", "Sentiment"
+FROM scored ORDER BY rid, seq LIMIT 10""",
         "polarity_by_app": SCORED_ALL + """
 SELECT "App", array_to_string(string_split("App", '.')[-2:], '-') AS short,
        count(*) FILTER (WHERE "Polarity" >= 0) AS non_negative,
