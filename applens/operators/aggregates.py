@@ -69,10 +69,11 @@ def polarity_by_app(df: DataFrame, app: str = "App", polarity: str = "Polarity")
 def class_share(df: DataFrame, col: str) -> DataFrame:
     """Count and percentage (2 decimals) of each non-null class.
 
-    The total is a scalar subquery over the same input, so no window over a
-    single partition is needed; every class keeps its own label.
+    The total is a scalar subquery summing the per-class counts (Spark reuses
+    the same aggregate for it), so the data is read once and no window over
+    a single partition is needed; every class keeps its own label.
     """
-    present = df.where(F.col(col).isNotNull())
-    total = present.select(F.count(F.lit(1))).scalar()
-    return (present.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-            .select(col, "count", F.round(F.col("count") * 100.0 / total, 2).alias("share")))
+    counts = (df.where(F.col(col).isNotNull())
+              .groupBy(col).agg(F.count(F.lit(1)).alias("count")))
+    total = counts.select(F.sum("count")).scalar()
+    return counts.select(col, "count", F.round(F.col("count") * 100.0 / total, 2).alias("share"))

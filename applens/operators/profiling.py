@@ -197,8 +197,9 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
     st = st.select(*keys, "n", "_h", "_lo", (F.col("_span") / (grid - 1)).alias("_step"))
     vc = vals.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
     if by:
-        # One row per group, joined by key; broadcast only behind a size check.
-        vc = vc.join(broadcast_if_small(st), by)
+        # One row per group, kept (the size check counts it), joined by key;
+        # broadcast only behind that size check.
+        vc = vc.join(broadcast_if_small(st.cache()), by)
     else:
         # Subquery values cannot appear inside a lambda, and each reference
         # to a subquery runs it again: bind it to one column, then read it.
