@@ -41,17 +41,16 @@ def feature_pipeline(indexed: list[str], slots: list[str], out: str = "features"
     return Pipeline(stages=stages)
 
 
-def model_features(df: DataFrame, numeric: list[str], onehot: str | None,
-                   out: str = "features") -> tuple[DataFrame, Pipeline]:
-    """Assemble numeric columns and a one-hot block (all levels kept) of an
-    already indexed column; returns the input and the unfitted pipeline."""
+def model_features(numeric: list[str], onehot: str | None, out: str = "features") -> Pipeline:
+    """Unfitted pipeline: numeric columns plus a one-hot block (all levels
+    kept) of an already indexed column, assembled into ``out``."""
     stages, cols = [], list(numeric)
     if onehot:
         stages.append(OneHotEncoder(inputCols=[onehot], outputCols=[onehot + "_vec"],
                                     dropLast=False, handleInvalid="keep"))
         cols.append(onehot + "_vec")
     stages.append(VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error"))
-    return df, Pipeline(stages=stages)
+    return Pipeline(stages=stages)
 
 
 def lasso(reg: float = 0.0, label: str = "Rating", features: str = "features") -> LinearRegression:

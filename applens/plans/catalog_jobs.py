@@ -1,16 +1,30 @@
-"""Composite catalogue jobs."""
+"""Composite catalogue jobs: clean (P1), features (P2), genre report (P3),
+profile report (P4), rating models and recommendations (P5)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from applens.functions.numeric import nan_to_null
-from applens.functions.text import (
-    alnum, parse_count, parse_price, parse_size_mb, to_double, to_long,
+from applens.functions.text import alnum, parse_count, parse_price, parse_size_mb
+from applens.operators.aggregates import genre_rollup
+from applens.operators.encoding import apply_index, fold_of, frequency_index, is_held_out
+from applens.operators.filters import (
+    complete_rows, drop_blank, drop_outliers, drop_value, xy,
+)
+from applens.operators.models import (
+    ALPHAS, FOLD_SEED, FOLDS, feature_pipeline, fit_l1, grid_search, lasso,
+    model_features, prediction_table, r2, rating_model, recommend,
 )
-from applens.operators.filters import complete_rows, drop_blank, drop_outliers, drop_value
-from applens.schemas import CLEAN
+from applens.operators.profiling import (
+    corr_matrix, describe_exact, kde, numeric_columns, pair_grid, profile,
+)
+from applens.operators.quantiles import exact_quantiles
+from applens.schemas import CLEAN, FEATURE_SLOTS
+from applens.sources.catalog import feature_columns, type_raw
 
 DROPPED = ["Last Updated", "Current Ver", "Android Ver"]
 MAX_RATING = 10.0
@@ -18,15 +32,6 @@ BAD_CATEGORY = "1.9"
 UNRATED = "Unrated"
 
 
-def type_raw(raw: DataFrame) -> DataFrame:
-    """Give the text catalogue the types a CSV reader would infer for the
-    numeric columns: Rating double (NaN as NULL), Reviews bigint."""
-    return raw.withColumns({
-        "Rating": nan_to_null(to_double("Rating")),
-        "Reviews": to_long("Reviews"),
-    })
-
-
 def fill_median(df: DataFrame, col: str) -> DataFrame:
     """Fill NULLs with the exact, interpolated median of the column.
 
@@ -35,8 +40,6 @@ def fill_median(df: DataFrame, col: str) -> DataFrame:
     cleaned table re-runs only row-level steps. No task ever holds all
     distinct values (see ``operators.quantiles``).
     """
-    from applens.operators.quantiles import exact_quantiles
-
     row = exact_quantiles(df, [col], [0.5]).first()
     if row is None:  # no values at all: nothing to fill with
         return df
@@ -131,11 +134,6 @@ def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42,
     ``(features13, pipeline_model)``; ``features13`` holds all rows (train
     and held-out) in the exported 13-column layout.
     """
-    from applens.operators.encoding import apply_index, frequency_index, is_held_out
-    from applens.operators.models import feature_pipeline
-    from applens.schemas import FEATURE_SLOTS
-    from applens.sources.catalog import feature_columns
-
     flagged = clean.withColumn("_test", is_held_out(F.col("App"), test_fraction, seed))
     train = flagged.where(~F.col("_test"))
     few, many = _route_by_cardinality(train, LOW_CARDINALITY, max_labels)
@@ -155,9 +153,6 @@ def genre_report(ranged: DataFrame, top: int = 20) -> dict[str, DataFrame]:
     ``rollup`` (every genre), ``top`` (first ``top`` by count), and the
     describe and density of the per-genre mean ratings.
     """
-    from applens.operators.aggregates import genre_rollup
-    from applens.operators.profiling import describe_exact, kde
-
     # One row per genre, read by four tables: computed once and kept.
     rollup = genre_rollup(ranged, top=None).persist()
     return {
@@ -173,12 +168,6 @@ def profile_report(df: DataFrame, corr_cols: list[str] | None = None,
     """Describe, structure profile and correlation matrix of a table; with
     ``hue``, also the scatter-matrix data (pair grid plus per-hue densities
     of every column, the grid's diagonal)."""
-    from functools import reduce
-
-    from applens.operators.profiling import (
-        corr_matrix, describe_exact, kde, numeric_columns, pair_grid, profile,
-    )
-
     cols = corr_cols or numeric_columns(df)
     out = {"describe": describe_exact(df), "profile": profile(df),
            "corr": corr_matrix(df, cols)}
@@ -207,24 +196,14 @@ def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed:
     Returns predictions, recommendations, the tuned penalty and both models'
     held-out R^2 as DataFrames/values.
     """
-    from pyspark import StorageLevel
-
-    from applens.operators.encoding import fold_of, is_held_out
-    from applens.operators.models import (
-        ALPHAS, FOLD_SEED, FOLDS, fit_l1, grid_search, lasso, model_features,
-        prediction_table, r2, rating_model, recommend,
-    )
-
-    from applens.operators.filters import xy
-
     # Model input by name: every feature column except names and labels
     # (Type, Genres, Reviews, Size, Installs, Price), plus one-hot Category.
-    numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT + ("_test", "fold"))
+    numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT)
     df = features13.withColumns({
         "_test": is_held_out(F.col("App_Label"), test_fraction, seed),
         "fold": fold_of(F.col("App_Label"), FOLDS, FOLD_SEED),
     })
-    _, pipe = model_features(df, numeric, "Category")
+    pipe = model_features(numeric, "Category")
     assembled = pipe.fit(df.where(~F.col("_test"))).transform(df)
     assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
     train = assembled.where(~F.col("_test"))
@@ -235,16 +214,16 @@ def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed:
         # Concurrent fits per fold: the whole grid when the cluster has room.
         if parallelism is None:
             parallelism = max(1, min(len(ALPHAS), features13.sparkSession.sparkContext.defaultParallelism))
-        est = lasso()
+        est = lasso(label=label)
         cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", label=label,
                           parallelism=parallelism)
         best = cvm.bestModel.getOrDefault("regParam")
         out["best_alpha"] = best
         tuned = fit_l1(train, best).transform(test)
-        out["tuned_r2"] = r2(tuned, "Rating", "prediction")
+        out["tuned_r2"] = r2(tuned, label, "prediction")
         out["tuned_predictions"] = prediction_table(tuned)
-    shown = rating_model(max_iter=gbt_iter).fit(train).transform(test)
-    out["r2"] = r2(shown, "Rating", "prediction")
+    shown = rating_model(label=label, max_iter=gbt_iter).fit(train).transform(test)
+    out["r2"] = r2(shown, label, "prediction")
     out["predictions"] = prediction_table(shown)
     out["recommendations"] = recommend(out["predictions"], n)
     return out

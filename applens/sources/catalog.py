@@ -10,10 +10,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applens.plans.catalog_jobs import type_raw
+from applens.functions.numeric import nan_to_null
+from applens.functions.text import to_double, to_long
 from applens.schemas import CLEAN, FEATURE_SLOTS, FEATURES13, RAW_TEXT
 
 
+def type_raw(raw: DataFrame) -> DataFrame:
+    """Give the text catalogue the types a CSV reader would infer for the
+    numeric columns: Rating double (NaN as NULL), Reviews bigint."""
+    return raw.withColumns({
+        "Rating": nan_to_null(to_double("Rating")),
+        "Reviews": to_long("Reviews"),
+    })
+
+
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Catalogue CSV with a header row; RFC-4180 quoting; numbers typed.
 

@@ -8,20 +8,21 @@ median of a batch snapshot, from ``rating_median``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from applens.plans.catalog_jobs import (
-    BAD_CATEGORY, MAX_RATING, clean_rows, type_raw,
-)
 from applens.operators.filters import drop_outliers, drop_value
+from applens.operators.quantiles import exact_quantiles
+from applens.plans.catalog_jobs import BAD_CATEGORY, MAX_RATING, clean_rows
+from applens.session import ensure_checkpoint_dir
+from applens.sources.catalog import type_raw
 
 
 def rating_median(batch: DataFrame) -> float | None:
     """Median rating of a batch snapshot after the range and category filters."""
-    from applens.operators.quantiles import exact_quantiles
-
     df = drop_value(drop_outliers(batch, "Rating", MAX_RATING), "Category", BAD_CATEGORY)
     row = exact_quantiles(df, ["Rating"], [0.5]).first()
     return None if row is None else row.value
@@ -56,10 +57,6 @@ def run_to_table(stream: DataFrame, name: str, checkpoint_root: str | None = Non
 
     The stream's checkpoint goes under the session's checkpoint folder.
     """
-    import uuid
-
-    from applens.session import ensure_checkpoint_dir
-
     spark = stream.sparkSession
     root = checkpoint_root or ensure_checkpoint_dir(spark)
     q = (stream.writeStream.format("memory").queryName(name).outputMode("append")
