@@ -179,7 +179,8 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
 
     Bandwidth by Scott's rule (sample sd * n^(-1/5)) unless given; the grid
     spans [min - cut*bw, max + cut*bw], per group when ``by`` is given (NULL
-    groups skipped). Values are first reduced to distinct values with counts;
+    groups skipped). A group with zero variance has no bandwidth: its
+    densities are NULL (plotting libraries skip such a curve). Values are first reduced to distinct values with counts;
     each distinct value spreads its kernel over the grid inside its task and
     the partial sums are combined per grid point, so the shuffle carries
     grid-sized partials, not rows.
@@ -207,13 +208,14 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
             "x", "c", *[F.col("_s").getField(k).alias(k) for k in ("n", "_h", "_lo", "_step")])
     spread = vc.select(*keys, "n", "_h", "_lo", "_step", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(grid - 1)),
+        # A zero bandwidth (constant values) has no density: NULL, not an error.
         lambda j: F.col("c") * F.exp(
-            -0.5 * F.pow((F.col("_lo") + j * F.col("_step") - F.col("x")) / F.col("_h"), 2)),
+            -0.5 * F.pow(F.try_divide(F.col("_lo") + j * F.col("_step") - F.col("x"), F.col("_h")), 2)),
     )).alias("point", "k"))
     norm = F.col("n") * F.col("_h") * math.sqrt(2 * math.pi)
     return (spread.groupBy(*keys, "point", "n", "_h", "_lo", "_step").agg(F.sum("k").alias("k"))
             .select(*keys, "point", (F.col("_lo") + F.col("point") * F.col("_step")).alias("x"),
-                    (F.col("k") / norm).alias("density")))
+                    F.try_divide(F.col("k"), norm).alias("density")))
 
 
 def pair_bins(df: DataFrame, x: str, y: str, hue: str | None = None,

@@ -17,20 +17,29 @@ from applens.sources.reviews import split_records
 TOP_APPS = 23
 
 
+def score_reviews(reviews: DataFrame, lexicon: DataFrame,
+                  top_apps: int | None = TOP_APPS) -> DataFrame:
+    """Split review records -> scored reviews of the busiest apps.
+
+    Adds ``Polarity, Subjectivity, Sentiment``. The top-apps filter runs
+    before scoring (it depends on App only), so the scorer never sees rows
+    that would be dropped.
+    """
+    if top_apps is not None:
+        reviews = keep_top_keys(reviews, "App", top_apps)
+    scored = score_sentiment(reviews, "Review", lexicon)
+    return scored.withColumn("Sentiment", sign_label("Polarity"))
+
+
 def review_sentiment(records: DataFrame, lexicon: DataFrame, text: str = "record",
                      keys: list[str] | None = None, top_apps: int | None = TOP_APPS,
                      newline: str = " ") -> DataFrame:
     """Delimited text -> scored reviews of the busiest apps.
 
     Output: ``keys..., seq, App, Review, Polarity, Subjectivity, Sentiment``.
-    The top-apps filter is applied before scoring (it only depends on App),
-    so the scorer never sees rows that would be dropped.
     """
     reviews = split_records(records, text, keys=keys, newline=newline)
-    if top_apps is not None:
-        reviews = keep_top_keys(reviews, "App", top_apps)
-    scored = score_sentiment(reviews, "Review", lexicon)
-    return scored.withColumn("Sentiment", sign_label("Polarity"))
+    return score_reviews(reviews, lexicon, top_apps)
 
 
 def sentiment_report(scored: DataFrame, bins: int = 10, scatter_bins: int = 20) -> dict[str, DataFrame]:

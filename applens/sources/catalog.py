@@ -65,8 +65,13 @@ def feature_columns(df: DataFrame, features: str = "features") -> DataFrame:
 
 
 def write_features(df: DataFrame, path: str, features: str = "features") -> None:
-    """Write ``Rating, f1..f9, App, Category, Genres`` lines (quoted as needed)."""
-    feature_columns(df, features).write.mode("overwrite").csv(path, header=False)
+    """Write ``Rating, f1..f9, App, Category, Genres`` lines (quoted as needed).
+
+    ``df`` is either a table with a features vector or the flat 13-column
+    table ``build_features`` returns.
+    """
+    flat = feature_columns(df, features) if features in df.columns else df.select(FEATURES13.names)
+    flat.write.mode("overwrite").csv(path, header=False)
 
 
 def with_run_keys(df: DataFrame, ts: str, dataset: str) -> DataFrame:

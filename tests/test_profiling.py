@@ -172,3 +172,10 @@ def test_exact_quantiles_both_strategies_agree(spark):
     for k in ranked:
         assert ranked[k][0] == mapped[k][0]
         assert math.isclose(ranked[k][1], mapped[k][1], rel_tol=1e-12)
+
+
+def test_kde_constant_group_is_null_not_error(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", 0.0), ("b", 1.0), ("b", 3.0)], "g string, x double")
+    rows = prof.kde(df, "x", 20, by="g").collect()
+    assert all(r.density is None for r in rows if r.g == "a")
+    assert all(r.density is not None for r in rows if r.g == "b")
