@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from applens.operators.filters import keep_present
 from applens.operators.joins import keep_top_keys
 from applens.operators.profiling import histogram, pair_bins
 from applens.operators.sentiment import score_sentiment
+from applens.session import ensure_checkpoint_dir
 from applens.sources.reviews import split_records
 
 TOP_APPS = 23
@@ -50,9 +50,11 @@ def sentiment_report(scored: DataFrame, bins: int = 10, scatter_bins: int = 20)
     * ``abs_scatter``: 2-D bins of |Subjectivity| against |Polarity|
     * ``shares``: count and percentage of each Sentiment class
     """
-    # Four tables read the same scored rows: keep them for the report's
-    # duration (spills to disk when large; recomputed from lineage if lost).
-    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    # Four tables read the same scored rows: score once and write them to the
+    # checkpoint folder (durable, and the report plans start from a plain scan
+    # instead of re-analysing the scoring lineage).
+    ensure_checkpoint_dir(scored.sparkSession)
+    scored = scored.checkpoint(eager=True)
     absolute = scored.select(F.abs("Subjectivity").alias("Subjectivity"),
                              F.abs("Polarity").alias("Polarity"))
     return {
