@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from applens.operators.joins import broadcast_if_small
+from applens.operators.joins import MAX_BROADCAST_ROWS
 from applens.session import ensure_checkpoint_dir
 
 MAX_DUMMY_LEVELS = 1000
@@ -39,7 +39,8 @@ def with_dummies(df: DataFrame, col: str, prefix: str = "cat",
     })
 
 
-def frequency_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
+def frequency_index(df: DataFrame, col: str, out: str = "index",
+                    count: str | None = None) -> DataFrame:
     """Index every distinct non-null value by descending frequency, ties by value.
 
     Returns ``(col, out)`` with ``out`` = 0, 1, 2, ... as StringIndexer's
@@ -47,7 +48,8 @@ def frequency_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
     counts are sorted across the cluster and checkpointed (which fixes their
     partitioning and order), each row's position inside its partition comes
     from ``monotonically_increasing_id`` and each partition's offset from the
-    sizes of the partitions before it (one row per partition).
+    sizes of the partitions before it (one row per partition). ``count``
+    names an extra output column with each value's frequency.
     """
     ensure_checkpoint_dir(df.sparkSession)
     c = F.col(f"`{col}`")
@@ -55,25 +57,50 @@ def frequency_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
               .agg(F.count(F.lit(1)).alias("_n"))
               .orderBy(F.desc("_n"), F.asc("_v"))
               .checkpoint(eager=True))
-    pos = ranked.select("_v", F.spark_partition_id().alias("_p"),
+    pos = ranked.select("_v", "_n", F.spark_partition_id().alias("_p"),
                         F.monotonically_increasing_id().alias("_m"))
-    pos = pos.select("_v", "_p", (F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)).alias("_i"))
+    pos = pos.select("_v", "_n", "_p",
+                     (F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)).alias("_i"))
     sizes = pos.groupBy("_p").agg(F.count(F.lit(1)).alias("_s"))
     offsets = sizes.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_o"))
+    extra = [F.col("_n").alias(count)] if count else []
     return (pos.join(F.broadcast(offsets), "_p")
-            .select(F.col("_v").alias(col), (F.col("_o") + F.col("_i")).alias(out)))
+            .select(F.col("_v").alias(col), (F.col("_o") + F.col("_i")).alias(out), *extra))
+
+
+MAX_HOT_KEYS = 1000
 
 
 def apply_index(df: DataFrame, index: DataFrame, col: str, out: str,
-                unseen: Column | None = None) -> DataFrame:
+                unseen: Column | None = None, count: str | None = None,
+                max_broadcast: int = MAX_BROADCAST_ROWS, hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Attach an index table to rows by value; unseen or NULL values get
-    ``unseen`` (default: the number of labels, as ``handleInvalid='keep'``)."""
+    ``unseen`` (default: the number of labels, as ``handleInvalid='keep'``).
+
+    A small index (checked) is broadcast. A large one is shuffle-joined, but
+    when the index carries value frequencies (``count``) the ``hot_keys``
+    most frequent values are first matched through a broadcast join: any
+    value with at least 1/``hot_keys`` of the rows is among them, so no key
+    can load one shuffle task with a large share of the table.
+    """
     if unseen is None:
         unseen = index.select(F.count(F.lit(1)).cast("double")).scalar()
-    idx = broadcast_if_small(
-        index.select(F.col(f"`{col}`").alias("_key"), F.col(out).cast("double").alias(out)))
-    joined = df.join(idx, F.col(f"`{col}`") == F.col("_key"), "left").drop("_key")
-    return joined.withColumn(out, F.coalesce(F.col(out), unseen))
+    idx = index.select(F.col(f"`{col}`").alias("_key"), F.col(out).cast("double").alias(out),
+                       *([F.col(count).alias("_cnt")] if count else []))
+    key = F.col(f"`{col}`")
+    small = idx.limit(max_broadcast + 1).count() <= max_broadcast
+    if small or not count:
+        side = F.broadcast(idx.drop("_cnt")) if small else idx.drop("_cnt")
+        joined = df.join(side, key == F.col("_key"), "left").drop("_key")
+        return joined.withColumn(out, F.coalesce(F.col(out), unseen))
+    hot = (idx.orderBy(F.desc("_cnt"), F.asc("_key")).limit(hot_keys)
+           .select(F.col("_key").alias("_hkey"), F.col(out).alias("_hot")))
+    tagged = df.join(F.broadcast(hot), key == F.col("_hkey"), "left").drop("_hkey")
+    hot_rows = tagged.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", out)
+    cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
+    cold_rows = (cold.join(idx.drop("_cnt"), key == F.col("_key"), "left").drop("_key")
+                 .withColumn(out, F.coalesce(F.col(out), unseen)))
+    return hot_rows.unionByName(cold_rows)
 
 
 def _hash8(key: Column, seed: int) -> Column:

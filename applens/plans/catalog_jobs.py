@@ -138,8 +138,8 @@ def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42,
     train = flagged.where(~F.col("_test"))
     few, many = _route_by_cardinality(train, LOW_CARDINALITY, max_labels)
     for c in ["App"] + many:
-        index = frequency_index(train, c, c + "Index")
-        flagged = apply_index(flagged, index, c, c + "Index")
+        index = frequency_index(train, c, c + "Index", count="_count")
+        flagged = apply_index(flagged, index, c, c + "Index", count="_count")
     train = flagged.where(~F.col("_test"))
     model = feature_pipeline(few, FEATURE_SLOTS).fit(train)
     return feature_columns(model.transform(flagged)), model

@@ -81,3 +81,18 @@ def test_keep_top_keys(spark):
     assert got == ["", "a", "a", "a", "b", "b"]
     got = sorted(r.App for r in jn.keep_top_keys(df, "App", 2, keep_nulls=False).collect())
     assert got == ["a", "a", "a", "b", "b"]
+
+
+def test_apply_index_hot_key_split_equals_plain_join(spark):
+    # One key holds a third of the rows; the index is "large" (no broadcast).
+    hot = spark.range(3000).select(F.lit("hot").alias("v"))
+    rest = spark.range(6000).select((F.col("id") % 500).cast("string").alias("v"))
+    df = hot.unionByName(rest).unionByName(spark.createDataFrame([(None,), ("new",)], "v string"))
+    train = df.where(F.col("v") != "new")
+    idx = enc.frequency_index(train, "v", "i", count="n")
+    split = enc.apply_index(df, idx, "v", "i", count="n", max_broadcast=10, hot_keys=5)
+    plain = enc.apply_index(df, idx.drop("n"), "v", "i", max_broadcast=10)
+    key = lambda r: (r.v is None, r.v or "", r.i)
+    assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
+    assert split.where(F.col("v") == "hot").select("i").distinct().first().i == 0.0
+    assert split.where(F.col("v") == "new").first().i == 501.0
