@@ -26,14 +26,15 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def genre_rollup(df: DataFrame, key: str = "Genres", installs: str = "Installs",
-                 rating: str = "Rating", top: int | None = 20) -> DataFrame:
+                 rating: str = "Rating", top: int | None = 20, ordered: bool = True) -> DataFrame:
     """Per genre: number of apps, total installs, mean rating.
 
     One aggregate replaces the count table and the two inner joins with the
     install sum and the mean rating: the joins only ever kept the non-null
     keys, which the filter does here. Installs may be text ('10,000+'); it is
     summed as a number. Ordered by count descending, then genre; ``top`` keeps
-    the first rows of that order (None keeps all).
+    the first rows of that order (None keeps all). ``ordered=False`` skips the
+    sort (for tables that only feed further aggregates).
     """
     inst = F.col(installs)
     inst = parse_count(inst) if dict(df.dtypes)[installs] == "string" else inst.cast("bigint")
@@ -41,8 +42,10 @@ def genre_rollup(df: DataFrame, key: str = "Genres", installs: str = "Installs",
            .groupBy(key)
            .agg(F.count(F.lit(1)).alias("Count"),
                 F.sum(inst).alias("Installs"),
-                F.avg(rating).alias("Rating"))
-           .orderBy(F.desc("Count"), F.asc(key)))
+                F.avg(rating).alias("Rating")))
+    if top is None and not ordered:
+        return out
+    out = out.orderBy(F.desc("Count"), F.asc(key))
     return out.limit(top) if top is not None else out
 
 
