@@ -144,3 +144,30 @@ def test_size_fractional_kilo_is_decimal_half_even(spark):
     # the catalogue's form, agree exactly (test_size_integer_k_matches_python).
     assert one(spark, fn.parse_size_mb, "153.6k") == 0.2
     assert py_size("153.6k") == 0.1
+
+
+ws_text = st.text(alphabet=st.sampled_from(
+    [chr(c) for c in list(range(0, 0x30)) + [0x85, 0xA0, 0x1680, 0x180E, 0x2000, 0x2007, 0x200B,
+                                             0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]]
+    + list("ab é")), max_size=10)
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ws_text, min_size=1, max_size=20))
+def test_strip_property(spark, values):
+    assert many(spark, fn.strip, values) == [v.strip() for v in values]
+
+
+def py_price(x):
+    try:
+        return float(x.lstrip("$").rstrip())
+    except ValueError:
+        return None
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.builds(lambda d, c, t: f"{'$' if d else ''}{c / 100:.2f}{t}",
+                          st.booleans(), st.integers(0, 100000), st.sampled_from(["", " ", "\t", "  "])),
+                min_size=1, max_size=20))
+def test_price_property(spark, values):
+    assert many(spark, fn.parse_price, values) == [py_price(v) for v in values]
