@@ -199,6 +199,12 @@ def q_catalog_preview(spark, sf):
     return _r6(win.preview(clean, 12, "App"), "Rating", "Size", "Price")
 
 
+def q_raw_preview(spark, sf):
+    # Names repeat in the raw table ('#$%'): Reviews breaks the ties.
+    return win.preview(_ranged(spark, sf), 12, "App", "Reviews").drop(
+        "Last Updated", "Current Ver", "Android Ver")
+
+
 def q_review_records(spark, sf):
     return split_records(proxies.review_records(spark, sf), "record", keys=["rid"])
 
@@ -331,6 +337,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_rated_per_category": q_top_rated_per_category,
         "sorted_by_rating": q_sorted_by_rating,
         "catalog_preview": q_catalog_preview,
+        "raw_preview": q_raw_preview,
         "review_records": q_review_records,
         "review_field_counts": q_review_field_counts,
         "top_app_reviews": q_top_app_reviews,
@@ -702,6 +709,8 @@ SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
        round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
        "Content Rating", "Genres"
 FROM apps_clean ORDER BY "App" LIMIT 12""",
+        "raw_preview": _with(APPS_RAW, RANGED) + """
+SELECT * FROM ranged ORDER BY "App", "Reviews" LIMIT 12""",
         "review_records": _with(REVIEWS) + """
 SELECT rid, seq, "App", "Review" FROM reviews""",
         "review_field_counts": _with(REVIEWS) + """
