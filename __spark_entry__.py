@@ -298,9 +298,21 @@ def q_orders_by_month(spark, sf):
 
 
 def q_recommendations(spark, sf):
+    """Top 5 apps per category by the boosted model (model output: rows-only).
+
+    The lasso grid search does not feed the recommendations, so it is its own
+    query (``lasso_cv``)."""
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return cj.rate_and_recommend(feats, tune=False)["recommendations"]
+
+
+def q_lasso_cv(spark, sf):
+    """Tuned L1 penalty and its held-out R^2 (model output: rows-only)."""
     clean, _ = _clean(spark, sf)
     feats, _ = cj.build_features(clean)
-    return cj.rate_and_recommend(feats)["recommendations"]
+    out = cj.tune_lasso(feats)
+    return out["tuned_r2"].select(F.lit(out["best_alpha"]).alias("best_alpha"), "r2")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -356,6 +368,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "genre_rating_describe": q_genre_rating_describe,
         "orders_by_month": q_orders_by_month,
         "recommendations": q_recommendations,
+        "lasso_cv": q_lasso_cv,
     }
 
 

@@ -186,19 +186,11 @@ NOT_MODEL_INPUT = ("App", "Content Rating", "Category", "App_Label", "Category_L
                    "Genres_Label")
 
 
-def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
-                       tune: bool = True, gbt_iter: int = 100, n: int = 5,
-                       parallelism: int | None = None) -> dict:
-    """Train the rating models on the feature table and recommend per category.
-
-    Model input: Type, Genres, Reviews, Size, Installs, Price (indexes and
-    numbers) plus a one-hot block of Category. The split is the same hash of
-    the app as ``build_features`` used, so the held-out rows are the same.
-    Returns predictions, recommendations, the tuned penalty and both models'
-    held-out R^2 as DataFrames/values.
-    """
-    # Model input by name: every feature column except names and labels
-    # (Type, Genres, Reviews, Size, Installs, Price), plus one-hot Category.
+def _model_input(features13: DataFrame, test_fraction: float, seed: int):
+    """Assembled, kept model input and its label: every feature column except
+    names and labels (Type, Genres, Reviews, Size, Installs, Price), plus a
+    one-hot block of Category; held-out rows by the same hash of the app as
+    ``build_features`` used, CV folds by another hash of it."""
     numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT)
     df = features13.withColumns({
         "_test": is_held_out(F.col("App_Label"), test_fraction, seed),
@@ -206,23 +198,50 @@ def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed:
     })
     pipe = model_features(numeric, "Category")
     assembled = pipe.fit(df.where(~F.col("_test"))).transform(df)
-    assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
+    return assembled.persist(StorageLevel.MEMORY_AND_DISK), label
+
+
+def tune_lasso(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
+               parallelism: int | None = None, assembled: DataFrame | None = None,
+               label: str = "Rating") -> dict:
+    """Cross-validated L1 penalty (10 hash folds, R^2), refit, held-out scores.
+
+    Returns ``best_alpha``, ``tuned_predictions`` and ``tuned_r2``.
+    """
+    if assembled is None:
+        assembled, label = _model_input(features13, test_fraction, seed)
     train = assembled.where(~F.col("_test"))
     test = assembled.where(F.col("_test"))
+    # Concurrent fits per fold: the whole grid when the cluster has room.
+    if parallelism is None:
+        parallelism = max(1, min(len(ALPHAS), features13.sparkSession.sparkContext.defaultParallelism))
+    est = lasso(label=label)
+    cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", label=label,
+                      parallelism=parallelism)
+    best = cvm.bestModel.getOrDefault("regParam")
+    tuned = fit_l1(train, best, label=label).transform(test)
+    return {"best_alpha": best, "tuned_predictions": prediction_table(tuned),
+            "tuned_r2": r2(tuned, label, "prediction")}
 
+
+def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
+                       tune: bool = True, gbt_iter: int = 100, n: int = 5,
+                       parallelism: int | None = None) -> dict:
+    """Train the rating models on the feature table and recommend per category.
+
+    The boosted model (the one whose scores are shown and recommended) is
+    trained on the same assembled input as the tuned lasso (``tune=True``,
+    see ``tune_lasso``); the lasso's results are returned alongside, as in
+    the application they never feed the recommendations. Returns
+    predictions, recommendations and the held-out R^2 (plus the lasso's
+    ``best_alpha``, ``tuned_predictions`` and ``tuned_r2``).
+    """
+    assembled, label = _model_input(features13, test_fraction, seed)
     out: dict = {}
     if tune:
-        # Concurrent fits per fold: the whole grid when the cluster has room.
-        if parallelism is None:
-            parallelism = max(1, min(len(ALPHAS), features13.sparkSession.sparkContext.defaultParallelism))
-        est = lasso(label=label)
-        cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", label=label,
-                          parallelism=parallelism)
-        best = cvm.bestModel.getOrDefault("regParam")
-        out["best_alpha"] = best
-        tuned = fit_l1(train, best).transform(test)
-        out["tuned_r2"] = r2(tuned, label, "prediction")
-        out["tuned_predictions"] = prediction_table(tuned)
+        out.update(tune_lasso(features13, parallelism=parallelism, assembled=assembled, label=label))
+    train = assembled.where(~F.col("_test"))
+    test = assembled.where(F.col("_test"))
     shown = rating_model(label=label, max_iter=gbt_iter).fit(train).transform(test)
     out["r2"] = r2(shown, label, "prediction")
     out["predictions"] = prediction_table(shown)

@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 entry = importlib.import_module("__spark_entry__")
 from tools.oracle_check import check, duck  # noqa: E402
 
-SLOW = {"recommendations"}
+SLOW = {"recommendations", "lasso_cv"}
 
 
 @pytest.fixture(scope="module")
