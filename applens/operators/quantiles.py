@@ -57,12 +57,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
 
 def _percentile_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """``percentile`` over pre-aggregated (value, count) rows.
+
+    Reducing to distinct values first (a distributed shuffle with map-side
+    combine) means the one task per column that merges the percentile maps
+    receives each distinct value once (bounded by the distinct-count check),
+    instead of one partial map per input partition.
+    """
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.agg(*[F.percentile(nan_to_null(F.col(f"`{c}`").cast("double")), arr).alias(f"q{i}")
-                    for i, c in enumerate(cols)])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("v"))
-                     for i, c in enumerate(cols)])
-    return (wide.select(F.inline(rows)).where(F.col("v").isNotNull())
+    counts = _long_values(df, cols).groupBy("column", "x").agg(F.count(F.lit(1)).alias("c"))
+    per_col = counts.groupBy("column").agg(F.percentile("x", arr, F.col("c")).alias("v"))
+    return (per_col.where(F.col("v").isNotNull())
             .select("column", F.posexplode("v").alias("q", "value"))
             .select("column", "q", F.element_at(arr, F.col("q") + 1).alias("p"), "value"))
 
