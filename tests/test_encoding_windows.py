@@ -96,3 +96,20 @@ def test_apply_index_hot_key_split_equals_plain_join(spark):
     assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
     assert split.where(F.col("v") == "hot").select("i").distinct().first().i == 0.0
     assert split.where(F.col("v") == "new").first().i == 501.0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(min_size=1, max_size=6), min_size=1, max_size=40), st.integers(1, 6))
+def test_hash_split_property(spark, keys, parts):
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    a = sorted(r.k for r in enc.hash_split(df, "k")[1].collect())
+    b = sorted(r.k for r in enc.hash_split(df.repartition(parts), "k")[1].collect())
+    assert a == b
+    # Equal keys always land on the same side: every copy of a held-out key
+    # is held out.
+    held = set(a)
+    assert len(a) == sum(k in held for k in keys)

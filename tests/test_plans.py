@@ -42,3 +42,12 @@ def test_genre_rollup_single_aggregate(spark):
     plan = physical(entry.queries()["genre_rollup"](spark, SF_SMALL))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
     assert "TakeOrderedAndProject" in plan
+
+
+def test_percentile_path_has_no_single_partition_funnel(spark):
+    from applens.operators.quantiles import exact_quantiles
+
+    df = spark.range(1000).selectExpr("cast(id % 37 as double) as a")
+    plan = physical(exact_quantiles(df, ["a"], [0.5]))
+    assert "SinglePartition" not in plan
+    assert "percentile" in plan
