@@ -7,6 +7,7 @@ bigint in both.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -34,6 +35,12 @@ from applens.sources import catalog as cat_src
 from applens.sources import proxies
 from applens.sources.reviews import split_records
 
+# The training-data operators are an optional part of the installation.
+if importlib.util.find_spec("applens.llm") is not None:
+    from applens.llm import registry as llm_registry
+else:
+    llm_registry = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -369,7 +376,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orders_by_month": q_orders_by_month,
         "recommendations": q_recommendations,
         "lasso_cv": q_lasso_cv,
-    }
+    } | (llm_registry.queries() if llm_registry else {})
 
 
 # ---------------------------------------------------------------- oracles
@@ -788,4 +795,4 @@ SELECT round(1 - sum(pow("Rating" - baseline, 2)) /
         "orders_by_month": """
 SELECT strftime(o_orderdate, '%Y-%m') AS run_month, 'orders' AS dataset, count(*) AS rows
 FROM orders GROUP BY 1""",
-    }
+    } | (llm_registry.oracle_sql() if llm_registry else {})
