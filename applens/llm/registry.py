@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 
 import applens
-from applens.llm import suffix_dedup
+from applens.llm import jaccard_join, suffix_dedup
 from applens.llm.common import documents
 
 
+def op9_jaccard_join(spark, sf):
+    return jaccard_join.jaccard_groups(documents(spark, sf))
+
+
 def op10_suffix_dedup(spark, sf):
     return suffix_dedup.remove_repeats(documents(spark, sf), with_text=False)
 
@@ -27,8 +31,11 @@ def _with_code(query):
     return run
 
 
+QUERIES = (op9_jaccard_join, op10_suffix_dedup)
+
+
 def queries():
-    return {f.__name__: _with_code(f) for f in (op10_suffix_dedup,)}
+    return {f.__name__: _with_code(f) for f in QUERIES}
 
 
 def oracle_sql():
