@@ -15,12 +15,15 @@ Partners differ in size by a factor of 1.25 at most, so sets up to 1.25 times th
 boundary are entered in both. The boundary is the size that makes entries
 and list scans cheapest for the table's histogram of sizes.
 
-Lists are scanned in two steps. First every set is compared with the smallest
-set of its list: a large group of near copies costs one comparison each. Then,
-in lists whose sets are still in several components, the pairs across
-components are compared, where sizes and places in the order allow the
-threshold at all. Sets of one component need no more comparisons. Every
-comparison is exact, on the shingles of whole texts.
+Lists are scanned in steps. First every set is compared with one set of its list,
+the same one in most lists of a group: near copies cost a comparison or two each.
+In lists whose sets are still in several components, every set is then compared
+with a set of another component, chosen by hash for each list.
+At last, all pairs across components of a list are compared, where sizes, places in
+the order and parity sketches (each set's shingles counted modulo 2 in 1024 bins:
+two sets differ by at least as many shingles as bins) allow the threshold at all.
+Sets of one component need no more comparisons. Every comparison is exact, on the
+shingles of whole texts.
 
 A NULL or word-free text has an empty set and no links. A NULL doc_id takes no
 part (its component is NULL). Shingles are compared by 64-bit hashes.
@@ -41,9 +44,14 @@ SKETCH_PARTS = 64
 SCAN_COST = 3.0       # of a list entry, against one to make it
 MAX_BOUNDARY = 256
 PAIRS_AT_ONCE = 200   # texts compared with one copy of the other text
+ROUNDS = 1            # of comparisons with a set chosen by hash
+WORDS = 16            # 64-bit words of a parity sketch
 SLICE = 512
 
 
+PARITY = [f"k{i}" for i in range(WORDS)]
+
+
 def _texts(batches, *columns: str):
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE):
@@ -54,14 +62,15 @@ def _texts(batches, *columns: str):
 def _signatures(width: int):
     def run(batches):
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-        rows: dict[str, list] = {"doc_id": [], "n": [], "a": [], "b": []}
+        rows: dict[str, list] = {"doc_id": [], "n": [], "a": [], "b": [], "parity": []}
 
         def table():
             n = len(rows["n"])
             return pa.RecordBatch.from_pydict({
                 "part": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
                 "doc_id": pa.array(rows["doc_id"], pa.int64()), "n": pa.array(rows["n"], pa.int64()),
-                "a": pa.array(rows["a"], pa.int64()), "b": pa.array(rows["b"], pa.int64())})
+                "a": pa.array(rows["a"], pa.int64()), "b": pa.array(rows["b"], pa.int64()),
+                **{f"k{i}": pa.array([p[i] for p in rows["parity"]], pa.int64()) for i in range(WORDS)}})
 
         for doc_id, text in _texts(batches, "doc_id", "text"):
             h = shingle_hashes(text, width)
@@ -71,6 +80,8 @@ def _signatures(width: int):
             rows["n"].append(len(h))
             rows["a"].append(int(mix(h).sum(dtype=np.uint64).view(np.int64)))
             rows["b"].append(int(mix(h ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).view(np.int64)))
+            odd = np.bincount((h & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+            rows["parity"].append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             if len(rows["n"]) >= 4096:
                 yield table()
                 rows = {k: [] for k in rows}
@@ -79,7 +90,7 @@ def _signatures(width: int):
         if sketch.any():
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array(range(SKETCH_PARTS), pa.int32()), "counts": pa.array(parts, pa.binary()),
-                **{k: pa.nulls(SKETCH_PARTS, pa.int64()) for k in rows}})
+                **{k: pa.nulls(SKETCH_PARTS, pa.int64()) for k in ("doc_id", "n", "a", "b", *PARITY)}})
 
     return run
 
@@ -109,6 +120,7 @@ def _entries(width: int, sketch, limit: int):
     def run(batches):
         counts = sketch.value
         buffer, held = [], 0
+        seen_here: set[int] = set()  # copies are entered once a task, before they are dealt
 
         def table():
             entry, sid, n, place = (np.concatenate(x) for x in zip(*buffer, strict=True))
@@ -122,6 +134,9 @@ def _entries(width: int, sketch, limit: int):
             if n < 2 or doc_id is None:
                 continue
             sid = int(mix(h).sum(dtype=np.uint64).view(np.int64))
+            if sid in seen_here:
+                continue
+            seen_here.add(sid)
             first = n - least_common(n) + 2
             seen = counts[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
             head = np.argsort(seen, kind="stable")[:first]  # equal counts: by hash, as h is in order
@@ -182,6 +197,13 @@ def _can_reach(n, m, i, j, percent: int):
     return 100 * F.least(F.col(n) - F.col(i), F.col(m) - F.col(j)) * (100 + percent) >= percent * 100 * (F.col(n) + F.col(m))
 
 
+def _may_reach(percent: int):
+    """Whether the sketches of x and y leave a Jaccard similarity of the threshold possible."""
+    differ = sum((F.bit_count(F.col(f"x_{k}").bitwiseXOR(F.col(f"y_{k}"))) for k in PARITY[1:]),
+                 F.bit_count(F.col("x_k0").bitwiseXOR(F.col("y_k0"))))
+    return differ * (100 + percent) <= (100 - percent) * (F.col("x_n") + F.col("y_n"))
+
+
 def jaccard_groups(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id linked with it, directly or through others).
 
@@ -192,8 +214,9 @@ def jaccard_groups(docs: DataFrame, width: int = 5) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     signed = write_shared(docs.mapInArrow(
-        _signatures(width), "part int, counts binary, doc_id bigint, n bigint, a bigint, b bigint"), "signatures")
-    sets = signed.filter("part IS NULL").drop("part", "counts")
+        _signatures(width), "part int, counts binary, doc_id bigint, n bigint, a bigint, b bigint, "
+        + ", ".join(f"{k} bigint" for k in PARITY)), "signatures")
+    sets = signed.filter("part IS NULL").select("doc_id", "n", "a", "b")
     counts = dict(signed.filter("part IS NOT NULL").select("part", "counts")
                   .groupBy("part").applyInArrow(_add_counts, "part int, counts binary").collect())
     step = (1 << SKETCH_BITS) // SKETCH_PARTS
@@ -201,36 +224,54 @@ def jaccard_groups(docs: DataFrame, width: int = 5) -> DataFrame:
         [np.frombuffer(counts[p], np.uint32) if p in counts else np.zeros(step, np.uint32) for p in range(SKETCH_PARTS)]))
     limit = boundary(dict(sets.filter(f"n BETWEEN 2 AND {2 * MAX_BOUNDARY}").groupBy("n").count().collect()))
 
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     by = Window.partitionBy("entry")
-    entries = docs.mapInArrow(_entries(width, sketch, limit), "entry bigint, sid bigint, n int, place int").distinct()
+    # Dealt once, by entry: copies from other tasks and the scan of the lists need no other exchange.
+    entries = (docs.mapInArrow(_entries(width, sketch, limit), "entry bigint, sid bigint, n int, place int")
+               .repartition(parts, "entry").distinct())
+    chosen = F.min(F.struct(F.xxhash64("sid"), "sid", "n", "place")).over(by)
     lists = write_shared(
-        entries.withColumn("many", F.count(F.lit(1)).over(by)).filter("many > 1")
-        .withColumn("least", F.min(F.struct("n", "sid", "place")).over(by))
-        .select("entry", "sid", "n", "place", F.col("least.sid").alias("c"),
-                F.col("least.n").alias("cn"), F.col("least.place").alias("cp")), "lists")
+        entries.withColumn("many", F.count(F.lit(1)).over(by)).filter("many > 1").withColumn("c", chosen)
+        .select("entry", "sid", "n", "place", F.col("c.sid").alias("c"), F.col("c.n").alias("cn"), F.col("c.place").alias("cp")),
+        "lists")
 
     classes = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b", "n").agg(F.min("doc_id").alias("least"))
     listed = lists.select("sid").distinct()
     texts = write_shared(
         docs.join(classes.join(listed, F.col("a") == F.col("sid")).select("sid", F.col("least").alias("doc_id")), "doc_id")
         .select("sid", "text").dropDuplicates(["sid"]), "texts")
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    stars = lists.filter((F.col("sid") != F.col("c")) & _can_reach("n", "cn", "place", "cp", percent)) \
+    def compared(pairs: DataFrame) -> DataFrame:
+        return write_shared(_links(pairs, texts, width, percent, parts), "links")
+
+    pairs = lists.filter((F.col("sid") != F.col("c")) & _can_reach("n", "cn", "place", "cp", percent)) \
         .select(F.col("c").alias("a"), F.col("sid").alias("b")).distinct()
-    links = write_shared(_links(stars, texts, width, percent, parts), "links")
+    links = compared(pairs)
     near = components(links)
-
-    label = lists.select("entry", "sid", "n", "place").join(near.withColumnRenamed("node", "sid"), "sid", "left") \
-        .withColumn("label", F.coalesce("label", "sid"))
-    mixed = label.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("entry")
-    left = write_shared(label.join(mixed, "entry", "left_semi"), "mixed")
-    x = left.select("entry", *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "place", "label")])
-    y = left.select("entry", *[F.col(c).alias(f"y_{c}") for c in ("sid", "n", "place", "label")])
+    open_lists = lists.select("entry", "sid", "n", "place")
+    for turn in range(ROUNDS + 1):
+        named = open_lists.drop("label").join(near.withColumnRenamed("node", "sid"), "sid", "left") \
+            .withColumn("label", F.coalesce("label", "sid")).repartition(parts, "entry")
+        open_lists = write_shared(
+            named.withColumn("lo", F.min("label").over(by)).withColumn("hi", F.max("label").over(by))
+            .filter("lo <> hi").drop("lo", "hi"), "open")
+        if open_lists.isEmpty() or turn == ROUNDS:
+            break
+        other = F.min(F.struct(F.xxhash64("sid", "entry", F.lit(turn)), "sid", "n", "place", "label")).over(by)
+        stars = (open_lists.withColumn("c", other)
+                 .select("sid", "n", "place", "label", *[F.col(f"c.{k}").alias(f"c_{k}") for k in ("sid", "n", "place", "label")])
+                 .filter((F.col("label") != F.col("c_label")) & _can_reach("n", "c_n", "place", "c_place", percent))
+                 .select(F.least("sid", "c_sid").alias("a"), F.greatest("sid", "c_sid").alias("b")).distinct())
+        links = links.unionByName(compared(stars))
+        near = components(links)
+
+    sketches = signed.filter("part IS NULL AND n > 0").select(F.col("a").alias("sid"), *PARITY).dropDuplicates(["sid"])
+    left = open_lists.join(sketches, "sid")
+    x, y = (left.select("entry", *[F.col(c).alias(f"{side}_{c}") for c in ("sid", "n", "place", "label", *PARITY)]) for side in "xy")
     across = (x.join(y, "entry").filter((F.col("x_sid") < F.col("y_sid")) & (F.col("x_label") != F.col("y_label"))
-                                        & _can_reach("x_n", "y_n", "x_place", "y_place", percent))
+                                        & _can_reach("x_n", "y_n", "x_place", "y_place", percent) & _may_reach(percent))
               .select(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).distinct())
-    more = write_shared(_links(across, texts, width, percent, parts), "links")
+    more = compared(across)
     if not more.isEmpty():
         near = components(links.unionByName(more))
 
