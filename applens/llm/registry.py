@@ -4,9 +4,29 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
 import applens
-from applens.llm import jaccard_join, suffix_dedup
-from applens.llm.common import documents
+from applens.llm import jaccard_join, packing, pii, suffix_dedup, toxicity
+from applens.llm.common import doc_crc_mod, documents
+
+
+def op2_packing(spark, sf):
+    return packing.pack(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_pii(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs), with_text=False)
+
+
+def op7_toxicity(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    return toxicity.add_scores(docs, model, "score").select(
+        "doc_id", (doc_crc_mod(5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op9_jaccard_join(spark, sf):
@@ -31,7 +51,7 @@ def _with_code(query):
     return run
 
 
-QUERIES = (op9_jaccard_join, op10_suffix_dedup)
+QUERIES = (op2_packing, op4_pii, op7_toxicity, op9_jaccard_join, op10_suffix_dedup)
 
 
 def queries():
