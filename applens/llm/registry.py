@@ -8,10 +8,17 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import applens
-from applens.llm import jaccard_join, packing, pii, suffix_dedup, toxicity
+from applens.llm import jaccard_join, language_id, packing, pii, quality_rules, suffix_dedup, toxicity
 from applens.llm.common import doc_crc_mod, documents
 
 
+def op1_language_id(spark, sf):
+    docs = documents(spark, sf)
+    profiles = language_id.trained_on_folds(docs)
+    return language_id.add_language(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", (doc_crc_mod(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op2_packing(spark, sf):
     return packing.pack(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -29,6 +36,11 @@ def op7_toxicity(spark, sf):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_quality_rules(spark, sf):
+    found = quality_rules.quality(documents(spark, sf).select("doc_id", "text"))
+    return found.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
 def op9_jaccard_join(spark, sf):
     return jaccard_join.jaccard_groups(documents(spark, sf))
 
@@ -51,7 +63,7 @@ def _with_code(query):
     return run
 
 
-QUERIES = (op2_packing, op4_pii, op7_toxicity, op9_jaccard_join, op10_suffix_dedup)
+QUERIES = (op1_language_id, op2_packing, op4_pii, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup)
 
 
 def queries():
@@ -59,4 +71,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {"op8_quality_rules": quality_rules.oracle()}
