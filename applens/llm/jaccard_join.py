@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from applens.llm.common import mix, shingle_hashes, write_shared
+from applens.llm.common import mix, shingle_hashes, write_bucketed, write_shared
 from applens.llm.components import components
 
 SKETCH_BITS = 20
@@ -86,7 +86,7 @@ def _signatures(width: int):
                 yield table()
                 rows = {k: [] for k in rows}
         yield table()
-        parts = [p.tobytes() for p in np.split(np.minimum(sketch, 2**32 - 1).astype(np.uint32), SKETCH_PARTS)]
+        parts = [p.tobytes() for p in np.split(np.minimum(sketch, 2**16 - 1).astype(np.uint16), SKETCH_PARTS)]
         if sketch.any():
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array(range(SKETCH_PARTS), pa.int32()), "counts": pa.array(parts, pa.binary()),
@@ -96,7 +96,7 @@ def _signatures(width: int):
 
 
 def _add_counts(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(p, np.uint32).astype(np.int64) for p in table.column("counts").to_pylist())
+    total = sum(np.frombuffer(p, np.uint16).astype(np.int64) for p in table.column("counts").to_pylist())
     return pa.table({"part": table.column("part")[:1],
                      "counts": pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())})
 
@@ -181,7 +181,8 @@ def _compare(width: int, percent: int):
 
 
 def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold. A set in very many pairs is spread over salts."""
+    """The pairs (a, b) that reach the threshold; `texts` is bucketed by sid, so that only the pairs
+    are dealt to it. A set in very many pairs is spread over salts."""
     n = F.count(F.lit(1)).over(Window.partitionBy("a"))
     pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(n / F.lit(PAIRS_AT_ONCE))).cast("int"))
     ask = (pairs.select("a", "salt", F.col("b"), F.col("b").alias("sid"))
@@ -237,9 +238,8 @@ def jaccard_groups(docs: DataFrame, width: int = 5) -> DataFrame:
 
     classes = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b", "n").agg(F.min("doc_id").alias("least"))
     listed = lists.select("sid").distinct()
-    texts = write_shared(
-        docs.join(classes.join(listed, F.col("a") == F.col("sid")).select("sid", F.col("least").alias("doc_id")), "doc_id")
-        .select("sid", "text").dropDuplicates(["sid"]), "texts")
+    wanted = classes.join(listed, F.col("a") == F.col("sid")).select("sid", F.col("least").alias("doc_id"))
+    texts, forget = write_bucketed(docs.join(wanted, "doc_id").select("sid", "text"), "texts", "sid", parts)
 
     def compared(pairs: DataFrame) -> DataFrame:
         return write_shared(_links(pairs, texts, width, percent, parts), "links")
@@ -272,6 +272,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5) -> DataFrame:
                                         & _can_reach("x_n", "y_n", "x_place", "y_place", percent) & _may_reach(percent))
               .select(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).distinct())
     more = compared(across)
+    forget()
     if not more.isEmpty():
         near = components(links.unionByName(more))
 
