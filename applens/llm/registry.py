@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import applens
-from applens.llm import jaccard_join, language_id, packing, pii, quality_rules, suffix_dedup, toxicity
+from applens.llm import jaccard_join, language_id, packing, pii, quality_rules, suffix_dedup, topk_search, toxicity
 from applens.llm.common import doc_crc_mod, documents
 
 
@@ -28,6 +28,11 @@ def op4_pii(spark, sf):
     return pii.find(docs, pii.fit(docs), with_text=False)
 
 
+def op5_topk_search(spark, sf):
+    vectors = topk_search.integer_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    return topk_search.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op7_toxicity(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
@@ -63,7 +68,7 @@ def _with_code(query):
     return run
 
 
-QUERIES = (op1_language_id, op2_packing, op4_pii, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup)
+QUERIES = (op1_language_id, op2_packing, op4_pii, op5_topk_search, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup)
 
 
 def queries():
@@ -71,4 +76,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op8_quality_rules": quality_rules.oracle()}
+    return {"op5_topk_search": topk_search.oracle(), "op8_quality_rules": quality_rules.oracle()}
