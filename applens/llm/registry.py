@@ -54,6 +54,12 @@ def op10_suffix_dedup(spark, sf):
     return suffix_dedup.remove_repeats(documents(spark, sf), with_text=False)
 
 
+def pipeline(spark, sf):
+    import corpus_pipeline  # beside the package, at the repository's top
+
+    return corpus_pipeline.run(spark, sf)
+
+
 def _with_code(query):
     """Let Python workers import this package wherever the driver was started."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(applens.__file__)))
@@ -68,7 +74,7 @@ def _with_code(query):
     return run
 
 
-QUERIES = (op1_language_id, op2_packing, op4_pii, op5_topk_search, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup)
+QUERIES = (op1_language_id, op2_packing, op4_pii, op5_topk_search, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup, pipeline)
 
 
 def queries():

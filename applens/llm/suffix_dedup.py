@@ -347,7 +347,7 @@ def _cut(new_text: bool):
 
 
 COUNTS = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-OWN = ("block", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text")
+OWN = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text")
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
