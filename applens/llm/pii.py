@@ -326,9 +326,13 @@ def _examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Tagger:
     """Train on the base spans of a bounded sample of `docs`."""
-    some = (docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9]{4}|@") & (F.length("text") <= SAMPLE_CHARS))
-            .orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "text").select("text").limit(sample).collect())
-    return train(*_examples([r.text for r in some]))
+    some = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9]{4}|@") & (F.length("text") <= SAMPLE_CHARS))
+    # Tasks send ids alone, and then the sample's texts.
+    ids = [(r[0],) for r in some.select("doc_id").filter("doc_id IS NOT NULL")
+           .orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample).collect()]
+    picked = F.broadcast(docs.sparkSession.createDataFrame(sorted(set(ids)), "doc_id bigint"))
+    rows = some.join(picked, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+    return train(*_examples([r.text for r in sorted(rows)]))
 
 
 # ------------------------------------------------------------- whole texts
