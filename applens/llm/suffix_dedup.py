@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from applens.llm.blocks import REPLY, SENT, packed, replies, unpacked
 from applens.llm.common import mix, quoted, text_bytes
 
 WINDOW, GRAM = 50, 16
@@ -46,9 +47,6 @@ _BASE = np.uint64(0x5851F42D4C957F2D)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _powers: dict[str, np.ndarray] = {}
 
-REPLY = "block bigint, kind int, payload binary"
-SENT = "bucket bigint, block bigint, payload binary"
-
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
@@ -157,53 +155,6 @@ def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return unique, least, place
 
 
-def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values of an ordered array, and where each one's entries start and end."""
-    names, start = np.unique(ordered, return_index=True)
-    return names, start, np.r_[start, len(ordered)][1:]
-
-
-def _send(block: int, buckets: int, keys: np.ndarray, columns: list[np.ndarray]) -> pa.Table:
-    """One row per bucket: its number of entries and the columns, one after the other."""
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    order = np.argsort(bucket, kind="stable")
-    columns = [c[order] for c in columns]
-    names, start, ends = _groups(bucket[order])
-    return pa.table({
-        "bucket": names.astype(np.int64), "block": np.full(len(names), block, np.int64),
-        "payload": pa.array([b"".join(c[s:e].tobytes() for c in columns)
-                             for s, e in zip(start, ends, strict=True)], pa.binary())})
-
-
-def _read(payloads: list[bytes], kinds: list) -> list[np.ndarray]:
-    """The columns of such payloads, put together, and each entry's payload."""
-    width = sum(np.dtype(k).itemsize for k in kinds)
-    sizes = [len(p) // width for p in payloads]
-    out = []
-    offset = 0
-    for k in kinds:
-        size = np.dtype(k).itemsize
-        out.append(np.concatenate([np.frombuffer(p, k, n, offset * n) for p, n in zip(payloads, sizes, strict=True)]
-                                  or [np.zeros(0, k)]))
-        offset += size
-    return [*out, np.repeat(np.arange(len(payloads)), sizes)]
-
-
-def _reply(blocks: list[int], owner: np.ndarray, parts: list[tuple[int, np.ndarray, list[np.ndarray]]]) -> pa.Table:
-    """Rows (block, kind, payload): for each kind, the chosen entries' columns, by the block that sent them."""
-    rows: list[tuple[int, int, bytes]] = []
-    for kind, chosen, columns in parts:
-        o = owner[chosen]
-        order = np.argsort(o, kind="stable")
-        names, start, ends = _groups(o[order])
-        columns = [c[chosen][order] for c in columns]
-        rows += [(blocks[n], kind, b"".join(c[s:e].tobytes() for c in columns))
-                 for n, s, e in zip(names, start, ends, strict=True)]
-    return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()),
-                     "kind": pa.array([r[1] for r in rows], pa.int32()),
-                     "payload": pa.array([r[2] for r in rows], pa.binary())})
-
-
 GRAM_BYTES = 6  # of a gram's hash, sent in the first digit
 
 
@@ -214,7 +165,7 @@ def _short(keys: np.ndarray) -> np.ndarray:
 def first_digit(buckets: int):
     def send(table: pa.Table) -> pa.Table:
         keys = np.unique(Block(table).gram)
-        return _send(table.column("block")[0].as_py(), buckets, keys, [_short(keys)])
+        return packed(table.column("block")[0].as_py(), buckets, keys, [_short(keys)])
 
     def settle(table: pa.Table) -> pa.Table:
         blocks, payloads = table.column("block").to_pylist(), table.column("payload").to_pylist()
@@ -227,7 +178,7 @@ def first_digit(buckets: int):
         same = keys[order][1:] == keys[order][:-1]
         again = np.zeros(len(keys), bool)
         again[order] = np.r_[False, same] | np.r_[same, False]
-        return _reply(blocks, owner, [(0, np.flatnonzero(again), [raw])])
+        return replies(blocks, owner, [(0, np.flatnonzero(again), [raw])])
 
     return send, settle
 
@@ -240,9 +191,9 @@ RUN_KINDS = [np.uint64, np.uint64, np.uint16, np.uint16, np.int64]
 
 
 def second_digit(buckets: int):
-    def send(texts: pa.Table, replies: pa.Table) -> pa.Table:
+    def send(texts: pa.Table, answers: pa.Table) -> pa.Table:
         b = Block(texts)
-        raw = np.frombuffer(b"".join(replies.column("payload").to_pylist()), np.uint8).reshape(-1, GRAM_BYTES)
+        raw = np.frombuffer(b"".join(answers.column("payload").to_pylist()), np.uint8).reshape(-1, GRAM_BYTES)
         wanted = np.zeros((len(raw), 8), np.uint8)
         wanted[:, 8 - GRAM_BYTES:] = raw
         prefix, least, place = _least(b.gram, b.doc)
@@ -256,12 +207,12 @@ def second_digit(buckets: int):
         _, index, place = np.unique(key, return_index=True, return_inverse=True)
         least = np.full(len(index), NO_ID, np.int64)
         np.minimum.at(least, place, b.doc)
-        return _send(texts.column("block")[0].as_py(), buckets, b.gram[index],
+        return packed(texts.column("block")[0].as_py(), buckets, b.gram[index],
                      [b.gram[index], run[index], left[index], right[index], least])
 
     def settle(table: pa.Table) -> pa.Table:
         blocks = table.column("block").to_pylist()
-        gram, run, left, right, doc, owner = _read(table.column("payload").to_pylist(), RUN_KINDS)
+        gram, run, left, right, doc, owner = unpacked(table.column("payload").to_pylist(), RUN_KINDS)
         key = _run_key(gram, run)
         _, index, place = np.unique(key, return_index=True, return_inverse=True)
         least = np.full(len(index), NO_ID, np.int64)
@@ -274,15 +225,15 @@ def second_digit(buckets: int):
             flag[order] |= (np.r_[False, same] | np.r_[same, False]).astype(np.uint8) * np.uint8(bit)
         covered = np.flatnonzero(doc > least[place])
         asked = np.flatnonzero((doc == least[place]) & (flag[place] > 0))
-        return _reply(blocks, owner, [(0, covered, [key]), (1, asked, [key, flag[place]])])
+        return replies(blocks, owner, [(0, covered, [key]), (1, asked, [key, flag[place]])])
 
     return send, settle
 
 
-def _open_windows(b: Block, key: np.ndarray, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _open_windows(b: Block, key: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, hashes and documents of the windows still to be sorted at full depth."""
-    asked = [p for k, p in zip(replies.column("kind").to_pylist(), replies.column("payload").to_pylist(), strict=True) if k == 1]
-    wanted, flag, _ = _read(asked, [np.uint64, np.uint8])
+    asked = [p for k, p in zip(answers.column("kind").to_pylist(), answers.column("payload").to_pylist(), strict=True) if k == 1]
+    wanted, flag, _ = unpacked(asked, [np.uint64, np.uint8])
     order = np.argsort(wanted)
     wanted, flag = wanted[order], flag[order]
     _, least, place = _least(key, b.doc)
@@ -293,30 +244,30 @@ def _open_windows(b: Block, key: np.ndarray, replies: pa.Table) -> tuple[np.ndar
 
 
 def full_depth(buckets: int):
-    def send(texts: pa.Table, replies: pa.Table) -> pa.Table:
+    def send(texts: pa.Table, answers: pa.Table) -> pa.Table:
         b = Block(texts)
-        _, key, doc = _open_windows(b, _run_key(b.gram, b.run_hashes()), replies)
+        _, key, doc = _open_windows(b, _run_key(b.gram, b.run_hashes()), answers)
         unique, least, _ = _least(key, doc)
-        return _send(texts.column("block")[0].as_py(), buckets, unique, [unique, least])
+        return packed(texts.column("block")[0].as_py(), buckets, unique, [unique, least])
 
     def settle(table: pa.Table) -> pa.Table:
-        key, doc, owner = _read(table.column("payload").to_pylist(), [np.uint64, np.int64])
+        key, doc, owner = unpacked(table.column("payload").to_pylist(), [np.uint64, np.int64])
         _, least, place = _least(key, doc)
-        return _reply(table.column("block").to_pylist(), owner, [(2, np.flatnonzero(doc > least[place]), [key])])
+        return replies(table.column("block").to_pylist(), owner, [(2, np.flatnonzero(doc > least[place]), [key])])
 
     return send, settle
 
 
 def _cut(new_text: bool):
-    def cut(texts: pa.Table, replies: pa.Table) -> pa.Table:
+    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
         b = Block(texts)
         key = _run_key(b.gram, b.run_hashes())
-        payloads = {k: [p for kk, p in zip(replies.column("kind").to_pylist(), replies.column("payload").to_pylist(), strict=True) if kk == k] for k in (0, 2)}
+        payloads = {k: [p for kk, p in zip(answers.column("kind").to_pylist(), answers.column("payload").to_pylist(), strict=True) if kk == k] for k in (0, 2)}
         _, least, place = _least(key, b.doc)
-        gone = np.isin(key, _read(payloads[0], [np.uint64])[0]) | (b.doc > least[place])
-        start, window, doc = _open_windows(b, key, replies)
+        gone = np.isin(key, unpacked(payloads[0], [np.uint64])[0]) | (b.doc > least[place])
+        start, window, doc = _open_windows(b, key, answers)
         _, least, place = _least(window, doc)
-        start = start[np.isin(window, _read(payloads[2], [np.uint64])[0]) | (doc > least[place])]
+        start = start[np.isin(window, unpacked(payloads[2], [np.uint64])[0]) | (doc > least[place])]
         edge = np.zeros(len(b.bytes) + 1, np.int32)
         for a, e in ((b.first[gone], b.last[gone] + WINDOW), (start, start + WINDOW)):
             np.add.at(edge, a, 1)
@@ -373,8 +324,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     def reduced(sent: DataFrame, settle) -> DataFrame:
         return sent.repartition(max(1, min(buckets, parts)), "bucket").groupBy("bucket").applyInArrow(settle, REPLY)
 
-    def asked(replies: DataFrame, fn, schema: str) -> DataFrame:
-        return texts.groupBy("block").cogroup(replies.repartition(parts, "block").groupBy("block")).applyInArrow(fn, schema)
+    def asked(answers: DataFrame, fn, schema: str) -> DataFrame:
+        return texts.groupBy("block").cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(fn, schema)
 
     send, settle = first_digit(buckets)
     grams = reduced(texts.groupBy("block").applyInArrow(send, SENT), settle)
