@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import applens
-from applens.llm import jaccard_join, language_id, packing, pii, quality_rules, suffix_dedup, topk_search, toxicity
+from applens.llm import jaccard_join, language_id, lm_scoring, packing, pii, quality_rules, suffix_dedup, topk_search, toxicity
 from applens.llm.common import doc_crc_mod, documents
 
 
@@ -23,6 +23,10 @@ def op2_packing(spark, sf):
     return packing.pack(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_lm_scoring(spark, sf):
+    return lm_scoring.fold_scores(documents(spark, sf))
+
+
 def op4_pii(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     return pii.find(docs, pii.fit(docs), with_text=False)
@@ -74,7 +78,7 @@ def _with_code(query):
     return run
 
 
-QUERIES = (op1_language_id, op2_packing, op4_pii, op5_topk_search, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup, pipeline)
+QUERIES = (op1_language_id, op2_packing, op3_lm_scoring, op4_pii, op5_topk_search, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup, pipeline)
 
 
 def queries():
