@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import applens
-from applens.llm import jaccard_join, language_id, lm_scoring, packing, pii, quality_rules, suffix_dedup, topk_search, toxicity
+from applens.llm import (jaccard_join, language_id, lm_scoring, packing, pii, quality_rules,
+                         sentencepiece_dropout, suffix_dedup, topk_search, toxicity)
 from applens.llm.common import doc_crc_mod, documents
 
 
@@ -37,6 +38,11 @@ def op5_topk_search(spark, sf):
     return topk_search.search(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op6_sentencepiece(spark, sf):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_dropout.encode(documents(spark, sf), path, seed=1, rate=0.1, with_ids=False)
+
+
 def op7_toxicity(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
@@ -78,7 +84,8 @@ def _with_code(query):
     return run
 
 
-QUERIES = (op1_language_id, op2_packing, op3_lm_scoring, op4_pii, op5_topk_search, op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup, pipeline)
+QUERIES = (op1_language_id, op2_packing, op3_lm_scoring, op4_pii, op5_topk_search, op6_sentencepiece,
+           op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup, pipeline)
 
 
 def queries():
