@@ -159,7 +159,17 @@ def q_corr_clean(spark, sf):
 
 def q_category_dummies(spark, sf):
     clean, _ = _clean(spark, sf)
-    return enc.with_dummies(clean.select("App", "Category"), "Category", "cat").drop("Category")
+    wide = enc.with_dummies(clean.select("App", "Reviews", "Category"), "Category", "cat")
+    dummies = [c for c in wide.columns if c.startswith("cat_")]
+    # Long form of the wide table: how many of a row's dummies are set, and which.
+    ones = F.filter(F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in dummies]), lambda x: x.isNotNull())
+    return wide.select("App", "Reviews", F.size(ones).cast("bigint").alias("n_set"),
+                       F.array_join(ones, ",").alias("dummy"))
+
+
+def q_category_dummies_long(spark, sf):
+    clean, _ = _clean(spark, sf)
+    return enc.dummies_long(clean, ["App", "Reviews"], "Category")
 
 
 def q_size_histogram(spark, sf):
@@ -198,7 +208,8 @@ def q_top_rated_per_category(spark, sf):
 
 def q_sorted_by_rating(spark, sf):
     clean, _ = _clean(spark, sf)
-    return _r6(win.sort_desc(clean.select("App", "Rating"), "Rating", "App"), "Rating")
+    placed = win.with_positions(clean.select("App", "Rating"), F.desc_nulls_last("Rating"), "App")
+    return _r6(placed, "Rating")
 
 
 def q_catalog_preview(spark, sf):
@@ -260,13 +271,7 @@ def q_split_and_folds(spark, sf):
 
 def q_frequency_index(spark, sf):
     clean, _ = _clean(spark, sf)
-    parts = [enc.frequency_index(clean, c, "index")
-             .select(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value"), "index")
-             for c in ["App", "Category", "Type", "Content Rating", "Genres"]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return enc.frequency_indexes(clean, cj.INDEXED).select("column", "value", "index")
 
 
 def q_build_features(spark, sf):
@@ -284,6 +289,56 @@ def q_corr_features(spark, sf):
     return _r6(prof.corr_matrix(feats, HEATMAP_COLS), "r")
 
 
+#: Dummies of the wide matrix: every index of the column and one that no row has.
+CORR_DUMMIES = {"Type": [0.0, 1.0, 2.0], "Content Rating": [0.0, 1.0, 2.0]}
+
+
+def q_corr_all(spark, sf):
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return _r6(prof.corr_all(feats, dummies=CORR_DUMMIES), "r")
+
+
+def _fixed_predictions(spark, sf):
+    """The prediction table with a formula for a model, so that it can be checked."""
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return models.prediction_table(feats.withColumn("prediction", 1 + (F.col("Reviews") % 37) / 8.0))
+
+
+def q_fixed_predictions(spark, sf):
+    shown = win.with_positions(_fixed_predictions(spark, sf), F.desc_nulls_last("Y-pred"), "App_Label")
+    return _r6(shown, "Y-pred", "Size", "Price")
+
+
+def q_fixed_recommendations(spark, sf):
+    return _r6(models.recommend(_fixed_predictions(spark, sf)), "Y-pred", "Size", "Price")
+
+
+def q_label_feature_split(spark, sf):
+    clean, _ = _clean(spark, sf)
+    names, label = flt.xy(clean, "Rating", drop=("App", "Category", "Type", "Content Rating", "Genres"))
+    return _r6(clean.select(F.col(label).alias("label"), *names), "label", "Size", "Price")
+
+
+def q_feature_preview(spark, sf):
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return _r6(win.preview(feats, 12, "App_Label"), "Rating", "Size", "Price")
+
+
+def q_genre_rating_counts(spark, sf):
+    return _r6(cj.genre_report(_ranged(spark, sf))["rating_counts"], "Rating")
+
+
+def q_describe_ranged(spark, sf):
+    return _r6(prof.describe_exact(_ranged(spark, sf)), "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def q_review_apps(spark, sf):
+    return rj.sentiment_report(_scored(spark, sf))["n_apps"]
+
+
 def q_genre_rating_density(spark, sf):
     return _r6(cj.genre_report(_ranged(spark, sf))["rating_density"], "x", "density")
 
@@ -348,6 +403,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_reviews": q_profile_reviews,
         "corr_clean": q_corr_clean,
         "category_dummies": q_category_dummies,
+        "category_dummies_long": q_category_dummies_long,
+        "corr_all": q_corr_all,
+        "fixed_predictions": q_fixed_predictions,
+        "fixed_recommendations": q_fixed_recommendations,
+        "label_feature_split": q_label_feature_split,
+        "feature_preview": q_feature_preview,
+        "genre_rating_counts": q_genre_rating_counts,
+        "describe_ranged": q_describe_ranged,
+        "review_apps": q_review_apps,
         "size_histogram": q_size_histogram,
         "size_density": q_size_density,
         "part_pair_bins": q_part_pair_bins,
@@ -459,6 +523,8 @@ r_raw AS (
   SELECT rid,
     CASE WHEN rid % 50 = 7 THEN app || ' @ ' || text || ' @ spam'
          WHEN rid % 50 = 13 THEN app || ' ' || text
+         WHEN rid % 50 = 17 THEN app || ' @ ' || text || '#' || chr(160) || app || ' @ the second' || chr(10) || 'of two' || chr(8195) || '#'
+         WHEN rid % 50 = 23 THEN app || ' @ ' || text || '## ' || app || chr(12288) || '@ and and of#no fields#a @ b @ c#' || app || '@the'
          ELSE app || ' @ ' || text END AS record
   FROM r_src
 ),
@@ -479,21 +545,16 @@ top_apps AS (
 ),
 kept AS (SELECT * FROM reviews WHERE "App" IN (SELECT "App" FROM top_apps) OR "App" IS NULL),
 lex(word, polarity, subjectivity) AS (VALUES
-  ('the', 0.5::DOUBLE, 0.4::DOUBLE), ('and', -0.25::DOUBLE, 0.8::DOUBLE),
-  ('of', -0.6::DOUBLE, 0.1::DOUBLE), ('la', 0.3::DOUBLE, 0.9::DOUBLE),
-  ('le', -0.3::DOUBLE, 0.2::DOUBLE), ('der', 0.7::DOUBLE, 0.5::DOUBLE),
-  ('und', -0.45::DOUBLE, 0.6::DOUBLE)),
+  ('the', 0.5::DECIMAL(20,10), 0.4::DECIMAL(20,10)), ('and', -0.25::DECIMAL(20,10), 0.8::DECIMAL(20,10)),
+  ('of', -0.6::DECIMAL(20,10), 0.1::DECIMAL(20,10)), ('la', 0.3::DECIMAL(20,10), 0.9::DECIMAL(20,10)),
+  ('le', -0.3::DECIMAL(20,10), 0.2::DECIMAL(20,10)), ('der', 0.7::DECIMAL(20,10), 0.5::DECIMAL(20,10)),
+  ('und', -0.45::DECIMAL(20,10), 0.6::DECIMAL(20,10))),
 toks AS (SELECT rid, seq, string_split_regex(lower("Review"), '[^a-z]+') AS t FROM kept),
-tok AS (SELECT rid, seq, unnest(t) AS word, unnest(generate_series(1, len(t))) AS pos FROM toks),
-sc AS (
-  SELECT rid, seq, list(polarity ORDER BY pos) AS pl, list(subjectivity ORDER BY pos) AS sl
-  FROM tok JOIN lex USING (word) GROUP BY rid, seq
-),
+tok AS (SELECT rid, seq, unnest(t) AS word FROM toks),
 sc2 AS (
-  SELECT rid, seq,
-         list_reduce(pl, lambda a, b: a + b) / len(pl) AS p,
-         list_reduce(sl, lambda a, b: a + b) / len(sl) AS s
-  FROM sc
+  SELECT rid, seq, CAST(sum(polarity) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS p,
+         CAST(sum(subjectivity) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS s
+  FROM tok JOIN lex USING (word) GROUP BY rid, seq
 ),
 scored AS (
   SELECT kept.rid, kept.seq, "App", "Review",
@@ -600,6 +661,32 @@ FROM flag f {joins})
 """
 
 
+FIXED_PREDICTIONS = """
+shown AS (
+  SELECT "App_Label", replace("Category_Label", '0', '-') AS "Category_Label", "Genres_Label",
+         "Type", "Reviews", round("Size", 6) AS "Size", "Installs", round("Price", 6) AS "Price",
+         round(ceil((1 + ("Reviews" % 37) / 8.0) * 10) / 10, 6) AS "Y-pred"
+  FROM feats)"""
+
+
+def _corr_all_sql() -> str:
+    values = {c: f'"{c}"' for c in ["Rating", *FEATURE_NAMES]}
+    values |= {f"{c}_{v}": f'CASE WHEN "{c}" = {v} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END'
+               for c, levels in CORR_DUMMIES.items() for v in levels}
+    pairs = [(a, b) for a in values for b in values]
+    first = ", ".join(f"'{a}'" for a, _ in pairs)
+    second = ", ".join(f"'{b}'" for _, b in pairs)
+    r = ", ".join(f"CASE WHEN isnan(corr({values[a]}, {values[b]})) THEN NULL ELSE corr({values[a]}, {values[b]}) END"
+                  for a, b in pairs)
+    return f"""
+SELECT unnest([{first}]) AS a, unnest([{second}]) AS b,
+       unnest(list_transform(rs, lambda x: round(x, 6) + 0.0)) AS r
+FROM (SELECT [{r}] AS rs FROM feats)"""
+
+
+FEATURE_NAMES = [*INDEXED, "Reviews", "Size", "Installs", "Price"]
+
+
 def _pair_grid_sql(cols: list[str], hue: str, bins: int) -> str:
     v = ", ".join(f'CAST("{c}" AS DOUBLE) AS c{i}' for i, c in enumerate(cols))
     rng = ", ".join(
@@ -686,9 +773,28 @@ SELECT DISTINCT "Category", replace("Category", '0', '-') AS "Category_Label",
             for i, (c, t) in enumerate(SCORED_TYPES)),
         "corr_clean": CATALOG + corr,
         "category_dummies": CATALOG + """
-SELECT * FROM (
-  PIVOT (SELECT "App", 'cat_' || "Category" AS c, 1 AS one FROM apps_clean)
-  ON c USING coalesce(max(one), 0) GROUP BY "App")""",
+SELECT "App", "Reviews", CAST(1 AS BIGINT) AS n_set, 'cat_' || "Category" AS dummy FROM apps_clean""",
+        "category_dummies_long": CATALOG + """
+SELECT "App", "Reviews", 'cat_' || "Category" AS dummy FROM apps_clean""",
+        "corr_all": _features_sql() + _corr_all_sql(),
+        "fixed_predictions": _features_sql() + "," + FIXED_PREDICTIONS + """
+SELECT *, row_number() OVER (ORDER BY "Y-pred" DESC, "App_Label") - 1 AS position FROM shown""",
+        "fixed_recommendations": _features_sql() + "," + FIXED_PREDICTIONS + """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY "Category_Label" ORDER BY "Y-pred" DESC, "App_Label") AS rn FROM shown) WHERE rn <= 5""",
+        "label_feature_split": CATALOG + """
+SELECT round("Rating", 6) AS label, "Reviews", round("Size", 6) AS "Size", "Installs", round("Price", 6) AS "Price"
+FROM apps_clean""",
+        "feature_preview": _features_sql() + """
+SELECT * REPLACE (round("Rating", 6) AS "Rating", round("Size", 6) AS "Size", round("Price", 6) AS "Price")
+FROM feats ORDER BY "App_Label" LIMIT 12""",
+        "genre_rating_counts": _with(APPS_RAW, RANGED) + """
+SELECT round("Rating", 6) AS "Rating", count(*) AS count FROM (
+  SELECT avg("Rating") AS "Rating" FROM ranged WHERE "Genres" IS NOT NULL GROUP BY "Genres")
+WHERE "Rating" IS NOT NULL GROUP BY "Rating" """,
+        "describe_ranged": _with(APPS_RAW, RANGED) + _describe_sql("ranged", ['"Rating"', '"Reviews"']),
+        "review_apps": SCORED_ALL + """
+SELECT count(DISTINCT "App") AS apps FROM scored""",
         "size_histogram": "WITH " + _hist_sql("part", "p_size", 10),
         "size_density": """
 WITH v AS (SELECT CAST(p_size AS DOUBLE) AS x FROM part WHERE p_size IS NOT NULL),
@@ -723,7 +829,8 @@ SELECT "Category", "App", round("Rating", 6) AS "Rating" FROM (
   SELECT *, row_number() OVER (PARTITION BY "Category" ORDER BY "Rating" DESC NULLS LAST, "App") AS rn
   FROM apps_clean WHERE "Category" IS NOT NULL) WHERE rn <= 5""",
         "sorted_by_rating": CATALOG + """
-SELECT "App", round("Rating", 6) AS "Rating" FROM apps_clean""",
+SELECT "App", round("Rating", 6) AS "Rating",
+       row_number() OVER (ORDER BY "Rating" DESC NULLS LAST, "App") - 1 AS position FROM apps_clean""",
         "catalog_preview": CATALOG + """
 SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
        round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from applens.operators.joins import MAX_BROADCAST_ROWS
-from applens.session import ensure_checkpoint_dir
+from applens.operators.windows import with_positions
 
-MAX_DUMMY_LEVELS = 1000
+SALTS = 8
 
 
-def dummy_levels(df: DataFrame, col: str, max_levels: int = MAX_DUMMY_LEVELS) -> list:
-    """Sorted distinct non-null values of a low-cardinality column.
+def dummy_levels(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-null values of a column: the names of its dummy columns.
 
-    At most ``max_levels + 1`` values ever reach the driver; more levels raise,
-    since a wide table of that many columns is the wrong tool (use
-    ``OneHotEncoder`` vectors instead).
+    For columns of few levels, as a wide table needs them on the driver; the
+    long form (``dummies_long``) takes any number.
     """
     rows = (df.where(F.col(f"`{col}`").isNotNull()).select(F.col(f"`{col}`").alias("v"))
-            .distinct().orderBy("v").limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels")
+            .distinct().orderBy("v").collect())
     return [r.v for r in rows]
 
 
@@ -30,77 +26,65 @@ def with_dummies(df: DataFrame, col: str, prefix: str = "cat",
     """Add one 0/1 column ``<prefix>_<value>`` per level, all levels kept.
 
     A NULL value gives 0 in every column. Levels are read from the data
-    (bounded, see ``dummy_levels``) unless given.
+    (see ``dummy_levels``) unless given.
     """
     levels = dummy_levels(df, col) if levels is None else levels
     c = F.col(f"`{col}`")
-    return df.withColumns({
-        f"{prefix}_{v}": F.coalesce((c == F.lit(v)).cast("int"), F.lit(0)) for v in levels
-    })
+    return df.select("*", *[F.coalesce((c == F.lit(v)).cast("int"), F.lit(0)).alias(f"{prefix}_{v}")
+                            for v in levels])
 
 
-def frequency_index(df: DataFrame, col: str, out: str = "index",
-                    count: str | None = None) -> DataFrame:
-    """Index every distinct non-null value by descending frequency, ties by value.
-
-    Returns ``(col, out)`` with ``out`` = 0, 1, 2, ... as StringIndexer's
-    frequencyDesc order gives, but without collecting the labels: the value
-    counts are sorted across the cluster and checkpointed (which fixes their
-    partitioning and order), each row's position inside its partition comes
-    from ``monotonically_increasing_id`` and each partition's offset from the
-    sizes of the partitions before it (one row per partition). ``count``
-    names an extra output column with each value's frequency.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
+def dummies_long(df: DataFrame, keys: list[str], col: str, prefix: str = "cat") -> DataFrame:
+    """The dummy columns that are 1, one row each: ``keys..., dummy``. Any number of levels."""
     c = F.col(f"`{col}`")
-    ranked = (df.where(c.isNotNull()).groupBy(c.alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n"))
-              .orderBy(F.desc("_n"), F.asc("_v"))
-              .checkpoint(eager=True))
-    pos = ranked.select("_v", "_n", F.spark_partition_id().alias("_p"),
-                        F.monotonically_increasing_id().alias("_m"))
-    pos = pos.select("_v", "_n", "_p",
-                     (F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)).alias("_i"))
-    sizes = pos.groupBy("_p").agg(F.count(F.lit(1)).alias("_s"))
-    offsets = sizes.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_o"))
-    extra = [F.col("_n").alias(count)] if count else []
-    return (pos.join(F.broadcast(offsets), "_p")
-            .select(F.col("_v").alias(col), (F.col("_o") + F.col("_i")).alias(out), *extra))
+    return df.where(c.isNotNull()).select(
+        *[F.col(f"`{k}`") for k in keys], F.concat(F.lit(f"{prefix}_"), c.cast("string")).alias("dummy"))
 
 
-MAX_HOT_KEYS = 1000
+def frequency_indexes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Index the distinct non-null values of several columns by descending frequency, ties by value.
+
+    Rows ``column, value, count, index`` with ``index`` = 0, 1, 2, ... within each column,
+    as StringIndexer's frequencyDesc order gives, but without collecting labels: one
+    aggregate over all columns, one sort across the cluster, and places from
+    ``with_positions``. Values of several columns are text.
+    """
+    kind = df.schema[cols[0]].dataType if len(cols) == 1 else "string"
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast(kind).alias("value")) for c in cols])
+    counts = (df.select(F.inline(cells)).where(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
+    placed = with_positions(counts, "column", F.desc("count"), F.asc("value"), out="_at")
+    # One row per column.
+    first = placed.groupBy("column").agg(F.min("_at").alias("_first"))
+    return (placed.join(F.broadcast(first), "column")
+            .select("column", "value", "count", (F.col("_at") - F.col("_first")).alias("index")))
+
+
+def frequency_index(df: DataFrame, col: str, out: str = "index",
+                    count: str | None = None) -> DataFrame:
+    """``(col, out)`` of one column's values (see ``frequency_indexes``); ``count``
+    names an extra output column with each value's frequency."""
+    extra = [F.col("count").alias(count)] if count else []
+    return frequency_indexes(df, [col]).select(F.col("value").alias(col), F.col("index").alias(out), *extra)
 
 
 def apply_index(df: DataFrame, index: DataFrame, col: str, out: str,
-                unseen: Column | None = None, count: str | None = None,
-                max_broadcast: int = MAX_BROADCAST_ROWS, hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                unseen: Column | None = None, salts: int = SALTS) -> DataFrame:
     """Attach an index table to rows by value; unseen or NULL values get
     ``unseen`` (default: the number of labels, as ``handleInvalid='keep'``).
 
-    A small index (checked) is broadcast. A large one is shuffle-joined, but
-    when the index carries value frequencies (``count``) the ``hot_keys``
-    most frequent values are first matched through a broadcast join: any
-    value with at least 1/``hot_keys`` of the rows is among them, so no key
-    can load one shuffle task with a large share of the table.
+    One left join on (value, salt): the rows of a value, seen or not, and the
+    NULLs, are spread over ``salts`` tasks, each of which has the
+    value's index, so no value needs to be known as frequent beforehand.
     """
     if unseen is None:
         unseen = index.select(F.count(F.lit(1)).cast("double")).scalar()
-    idx = index.select(F.col(f"`{col}`").alias("_key"), F.col(out).cast("double").alias(out),
-                       *([F.col(count).alias("_cnt")] if count else []))
-    key = F.col(f"`{col}`")
-    small = idx.limit(max_broadcast + 1).count() <= max_broadcast
-    if small or not count:
-        side = F.broadcast(idx.drop("_cnt")) if small else idx.drop("_cnt")
-        joined = df.join(side, key == F.col("_key"), "left").drop("_key")
-        return joined.withColumn(out, F.coalesce(F.col(out), unseen))
-    hot = (idx.orderBy(F.desc("_cnt"), F.asc("_key")).limit(hot_keys)
-           .select(F.col("_key").alias("_hkey"), F.col(out).alias("_hot")))
-    tagged = df.join(F.broadcast(hot), key == F.col("_hkey"), "left").drop("_hkey")
-    hot_rows = tagged.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", out)
-    cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
-    cold_rows = (cold.join(idx.drop("_cnt"), key == F.col("_key"), "left").drop("_key")
-                 .withColumn(out, F.coalesce(F.col(out), unseen)))
-    return hot_rows.unionByName(cold_rows)
+    idx = index.select(F.col(f"`{col}`").alias("_key"), F.col(f"`{out}`").cast("double").alias("_index"),
+                       F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt2"))
+    # The salt only routes a row: any value gives the same result.
+    salted = df.withColumn("_salt", (F.monotonically_increasing_id() % salts).cast("int"))
+    joined = salted.join(idx, (F.col(f"`{col}`") == F.col("_key")) & (F.col("_salt") == F.col("_salt2")), "left")
+    return joined.withColumn(out, F.coalesce("_index", unseen)).drop("_key", "_index", "_salt", "_salt2")
 
 
 def _hash8(key: Column, seed: int) -> Column:
@@ -117,14 +101,6 @@ def is_held_out(key: Column, fraction: float = 0.2, seed: int = 42) -> Column:
     return _hash8(key, seed) < F.lit(split_threshold(fraction))
 
 
-def hash_split(df: DataFrame, key: str, test_fraction: float = 0.2,
-               seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by a hash of the key: the same rows whatever the
-    partitioning, and equal keys always on the same side."""
-    flag = is_held_out(F.col(f"`{key}`"), test_fraction, seed)
-    return df.where(~flag), df.where(flag)
-
-
 def fold_of(key: Column, folds: int = 10, seed: int = 155) -> Column:
     """Fold number 0..folds-1 from a hash of the key."""
     return (F.conv(_hash8(key, seed), 16, 10).cast("bigint") % folds).cast("int")

@@ -11,12 +11,13 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from applens.functions.numeric import nan_to_null, safe_corr
-from applens.operators.joins import broadcast_if_small
 from applens.operators.quantiles import exact_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -34,12 +35,9 @@ def _value(df: DataFrame, c: str) -> Column:
     return nan_to_null(x)
 
 
-def quantiles(x: Column, probs, exact: bool = True, accuracy: int = 100_000) -> Column:
-    """Array of quantiles. Exact uses linear interpolation between ranks;
-    its partial aggregates hold one counter per distinct value, so use
-    ``exact=False`` for wide continuous columns."""
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile(x, arr) if exact else F.percentile_approx(x, arr, accuracy)
+def approx_quantiles(x: Column, probs, accuracy: int = 100_000) -> Column:
+    """Array of approximate quantiles."""
+    return F.percentile_approx(x, F.array(*[F.lit(float(p)) for p in probs]), accuracy)
 
 
 def describe_exact(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -58,7 +56,7 @@ def describe_exact(df: DataFrame, cols: list[str] | None = None, exact: bool = T
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
                  F.max(x).alias(f"hi{i}")]
         if not exact:
-            aggs.append(quantiles(x, QUARTILES, exact=False).alias(f"q{i}"))
+            aggs.append(approx_quantiles(x, QUARTILES).alias(f"q{i}"))
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                      F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
@@ -118,6 +116,34 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*pairs)))
 
 
+def corr_all(df: DataFrame, cols: list[str] | None = None, dummies: dict[str, list] | None = None,
+             dtype: str = "double") -> DataFrame:
+    """Pearson correlation of many columns at once, long form ``(a, b, r)``.
+
+    ``cols`` are numeric (by default all numeric columns); ``dummies`` maps a
+    column to its levels, each a 0/1 column ``<column>_<level>`` of the
+    matrix. For null-free wide input: one pass over vectors gives the whole
+    matrix, whose size is the square of the number of columns. Rows with a
+    missing number are left out; a constant column has NULL.
+    """
+    cols = numeric_columns(df) if cols is None else cols
+    made = {f"{c}_{v}": F.coalesce((F.col(f"`{c}`") == F.lit(v)).cast(dtype), F.lit(0.0))
+            for c, levels in (dummies or {}).items() for v in levels}
+    values = {c: _value(df, c) for c in cols} | made
+    names = list(values)
+    plain = df.select(*[x.alias(f"_x{i}") for i, x in enumerate(values.values())]).dropna()
+    vectors = VectorAssembler(inputCols=plain.columns, outputCol="_v").transform(plain).select("_v")
+    if vectors.isEmpty():
+        matrix = [[None] * len(names) for _ in names]
+    else:
+        matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
+        varies = plain.agg(*[(F.min(c) < F.max(c)).alias(c) for c in plain.columns]).first()
+        matrix = [[float(matrix[i][j]) if varies[i] and varies[j] else None
+                   for j in range(len(names))] for i in range(len(names))]
+    rows = [(a, b, matrix[i][j]) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
 def _widen(lo: Column, hi: Column) -> tuple[Column, Column]:
     """Widen an empty range [v, v] to [v - 0.5, v + 0.5]."""
     same = lo == hi
@@ -197,9 +223,8 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
     st = st.select(*keys, "n", "_h", "_lo", (F.col("_span") / (grid - 1)).alias("_step"))
     vc = vals.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
     if by:
-        # One row per group, kept (the size check counts it), joined by key;
-        # broadcast only behind that size check.
-        vc = vc.join(broadcast_if_small(st.cache()), by)
+        # One row per group, joined by key (Spark picks the join by bytes).
+        vc = vc.join(st, by)
     else:
         # Subquery values cannot appear inside a lambda, and each reference
         # to a subquery runs it again: bind it to one column, then read it.

@@ -25,61 +25,18 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.inline(cells)).where(F.col("x").isNotNull())
 
 
-# A column whose estimated number of distinct values is at most this many is
-# served by Spark's ``percentile``: its value -> count map is then small.
-MAX_MAP_DISTINCT = 10_000
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    max_map_distinct: int = MAX_MAP_DISTINCT) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles of several columns: rows ``column, q, p, value``.
 
     ``q`` is the position of ``p`` in ``probs``; a column without values
-    gives no rows. One HyperLogLog pass estimates each column's distinct
-    count: columns well under ``max_map_distinct`` use ``percentile`` (lazy,
-    one aggregate, map bounded by the check); the others use the distributed
-    rank computation, whose memory per task does not depend on the data.
+    gives no rows. Memory per task does not depend on the data.
     """
-    est = df.agg(*[F.approx_count_distinct(nan_to_null(F.col(f"`{c}`").cast("double")))
-                   .alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    # HLL's relative error is about 5%: leave a margin below the bound.
-    small = [c for i, c in enumerate(cols) if est[f"d{i}"] <= 0.9 * max_map_distinct]
-    large = [c for c in cols if c not in small]
-    parts = []
-    if small:
-        parts.append(_percentile_quantiles(df, small, probs))
-    if large:
-        parts.append(_ranked_quantiles(df, large, probs))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _percentile_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """``percentile`` over pre-aggregated (value, count) rows.
-
-    Reducing to distinct values first (a distributed shuffle with map-side
-    combine) means the one task per column that merges the percentile maps
-    receives each distinct value once (bounded by the distinct-count check),
-    instead of one partial map per input partition.
-    """
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    counts = _long_values(df, cols).groupBy("column", "x").agg(F.count(F.lit(1)).alias("c"))
-    per_col = counts.groupBy("column").agg(F.percentile("x", arr, F.col("c")).alias("v"))
-    return (per_col.where(F.col("v").isNotNull())
-            .select("column", F.posexplode("v").alias("q", "value"))
-            .select("column", "q", F.element_at(arr, F.col("q") + 1).alias("p"), "value"))
-
-
-def _ranked_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Distributed exact quantiles (see the module notes)."""
     ensure_checkpoint_dir(df.sparkSession)
     counts = _long_values(df, cols).groupBy("column", "x").agg(F.count(F.lit(1)).alias("c"))
     ranked = counts.orderBy("column", "x").checkpoint(eager=True)
     part = ranked.withColumn("_p", F.spark_partition_id())
     # One row per (column, partition); small, read by three derived tables.
-    sizes = part.groupBy("column", "_p").agg(F.sum("c").alias("_s")).cache()
+    sizes = part.groupBy("column", "_p").agg(F.sum("c").alias("_s"))
     offsets = sizes.select("column", "_p", (F.sum("_s").over(
         Window.partitionBy("column").orderBy("_p")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_s")).alias("_off"))

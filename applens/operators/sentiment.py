@@ -3,6 +3,11 @@
 A review's polarity and subjectivity are the means over its tokens found in
 the lexicon (each occurrence counts); a review without any hit scores 0.0 on
 both. Tokens are the runs of ASCII letters of the lower-cased text.
+
+There is one path for every lexicon: the distinct tokens of a row are joined
+with the lexicon by hash (Spark broadcasts it if its bytes allow), so the cost
+of a token does not depend on the number of words. Sums are decimals: they
+are exact, whatever order they are taken in, and opposite scores cancel to zero.
 """
 
 from __future__ import annotations
@@ -13,70 +18,46 @@ from pyspark.sql import functions as F
 from applens.session import ensure_checkpoint_dir
 
 TOKEN_SPLIT = "[^a-z]+"
-# The map travels inside each task (as a subquery result), so it is kept to
-# a size that is cheap to ship per task; larger lexicons are joined instead
-# (a broadcast join ships them once per executor).
-MAX_MAP_WORDS = 50_000
+EXACT = "decimal(20,10)"
 
 
 def _lexicon_unique(lexicon: DataFrame) -> DataFrame:
-    return lexicon.groupBy("word").agg(F.avg("polarity").alias("polarity"),
-                                       F.avg("subjectivity").alias("subjectivity"))
-
-
-def score_sentiment(df: DataFrame, text: str, lexicon: DataFrame,
-                    max_map_words: int = MAX_MAP_WORDS) -> DataFrame:
-    """Add ``Polarity`` and ``Subjectivity`` to every row of ``df``.
-
-    A lexicon of up to ``max_map_words`` words (counted first) becomes one
-    map value shipped with the tasks, and each row is scored where it lies:
-    no explode, no shuffle, no join back. A larger lexicon is joined to the
-    exploded tokens instead (Spark picks broadcast or shuffle by size).
-    """
-    lex = _lexicon_unique(lexicon)
-    if lex.count() <= max_map_words:
-        return _score_with_map(df, text, lex)
-    ensure_checkpoint_dir(df.sparkSession)
-    return _score_with_join(df, text, lex)
+    return lexicon.groupBy("word").agg(F.avg("polarity").cast(EXACT).alias("polarity"),
+                                       F.avg("subjectivity").cast(EXACT).alias("subjectivity"))
 
 
 def _tokens(text: str):
     return F.split(F.lower(F.col(f"`{text}`")), TOKEN_SPLIT, -1)
 
 
-def _score_with_map(df: DataFrame, text: str, lex: DataFrame) -> DataFrame:
-    table = lex.select(F.map_from_entries(F.collect_list(F.struct(
-        "word", F.struct("polarity", "subjectivity"))))).scalar()
-    # Subquery values cannot appear inside a lambda: bind the map to a column.
-    lexmap = F.col("_lexicon")
-    hits = F.filter(F.transform(_tokens(text), lambda t: F.try_element_at(lexmap, t)),
-                    lambda v: v.isNotNull())
-    # One left-to-right fold over the hits gives both sums and the count, so
-    # tokens are looked up once and the result does not depend on any
-    # engine's summation order.
-    zero = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("s"), F.lit(0).alias("n"))
-    folded = F.aggregate(hits, zero, lambda acc, v: F.struct(
-        (acc.getField("p") + v.getField("polarity")).alias("p"),
-        (acc.getField("s") + v.getField("subjectivity")).alias("s"),
-        (acc.getField("n") + 1).alias("n")))
-    n = F.col("_sums").getField("n")
-
-    def mean(field: str):
-        return F.when(n > 0, F.col("_sums").getField(field) / n).otherwise(F.lit(0.0))
-
-    return (df.withColumn("_lexicon", table)
-            .withColumn("_sums", folded)
-            .withColumns({"Polarity": mean("p"), "Subjectivity": mean("s")})
-            .drop("_lexicon", "_sums"))
-
+def score_sentiment(df: DataFrame, text: str, lexicon: DataFrame,
+                    keys: list[str] | None = None) -> DataFrame:
+    """Add ``Polarity`` and ``Subjectivity`` to every row of ``df``.
 
-def _score_with_join(df: DataFrame, text: str, lex: DataFrame) -> DataFrame:
-    # The row ids are pinned by a checkpoint so both uses see the same ids.
-    keyed = df.withColumn("_rowid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    toks = keyed.select("_rowid", F.explode(_tokens(text)).alias("word"))
-    scores = (toks.join(lex, "word").groupBy("_rowid")
-              .agg(F.avg("polarity").alias("Polarity"), F.avg("subjectivity").alias("Subjectivity")))
-    return (keyed.join(scores, "_rowid", "left")
-            .withColumns({"Polarity": F.coalesce("Polarity", F.lit(0.0)),
-                          "Subjectivity": F.coalesce("Subjectivity", F.lit(0.0))})
-            .drop("_rowid"))
+    ``keys`` name a row (none may be NULL in two rows alike); without them
+    the rows are checkpointed under an id, so that both uses see the same ids.
+    """
+    own_id = not keys
+    if own_id:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.withColumn("_rowid", F.monotonically_increasing_id()).checkpoint(eager=True)
+        keys = ["_rowid"]
+    names = [f"_k{i}" for i in range(len(keys))]
+    words = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)],
+                      F.explode(_tokens(text)).alias("word")).where(F.col("word") != "")
+    # Reduced to one row per key and word before the join: a frequent word is
+    # there once per review.
+    uses = words.groupBy(*names, "word").agg(F.count(F.lit(1)).alias("_uses"))
+    uses = uses.withColumn("_uses", F.col("_uses").cast("decimal(18,0)"))
+    sums = (uses.join(_lexicon_unique(lexicon), "word").groupBy(*names)
+            .agg(F.sum(F.col("polarity") * F.col("_uses")).alias("_p"),
+                 F.sum(F.col("subjectivity") * F.col("_uses")).alias("_s"),
+                 F.sum("_uses").alias("_n")))
+    match = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+
+    def mean(total: str):
+        return F.coalesce(F.col(total).cast("double") / F.col("_n").cast("double"), F.lit(0.0))
+
+    out = (df.join(sums, match, "left").withColumns({"Polarity": mean("_p"), "Subjectivity": mean("_s")})
+           .drop(*names, "_p", "_s", "_n"))
+    return out.drop("_rowid") if own_id else out

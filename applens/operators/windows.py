@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from applens.session import ensure_checkpoint_dir
+
 
 def top_n_per_group(df: DataFrame, group: str, by: str, n: int = 5,
                     tie: str | None = None) -> DataFrame:
@@ -29,6 +31,24 @@ def sort_desc(df: DataFrame, by: str, tie: str | None = None) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(by), *([F.asc(tie)] if tie else []))
 
 
+def with_positions(df: DataFrame, *order, out: str = "position") -> DataFrame:
+    """Add each row's place (from 0) in a global order, without a single-task window.
+
+    The rows are sorted across the cluster and checkpointed, which fixes
+    their partitions; a row's place is its place in its partition plus the
+    sizes of the partitions before it (one row per partition).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    ranked = df.orderBy(*order).checkpoint(eager=True)
+    placed = ranked.withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
+    placed = placed.withColumn("_i", F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)).drop("_m")
+    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_s"))
+    offsets = sizes.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_o"))
+    # One row per partition: bounded by the number of partitions.
+    return (placed.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_o") + F.col("_i"))
+            .drop("_p", "_i", "_o"))
+
+
 def preview(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """First ``n`` rows in ``keys`` order (a top-k, not a whole sort)."""
     return df.orderBy(*keys).limit(n)

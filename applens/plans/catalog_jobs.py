@@ -5,18 +5,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from applens.functions.text import alnum, parse_count, parse_price, parse_size_mb
-from applens.operators.aggregates import genre_rollup
-from applens.operators.encoding import apply_index, fold_of, frequency_index, is_held_out
+from applens.operators.aggregates import genre_rollup, value_counts
+from applens.operators.encoding import apply_index, fold_of, frequency_indexes, is_held_out
 from applens.operators.filters import (
     complete_rows, drop_blank, drop_outliers, drop_value, xy,
 )
 from applens.operators.models import (
-    ALPHAS, FOLD_SEED, FOLDS, feature_pipeline, fit_l1, grid_search, lasso,
+    ALPHAS, FOLD_SEED, FOLDS, fit_l1, grid_search, lasso,
     model_features, prediction_table, r2, rating_model, recommend,
 )
 from applens.operators.profiling import (
@@ -24,6 +24,7 @@ from applens.operators.profiling import (
 )
 from applens.operators.quantiles import exact_quantiles
 from applens.schemas import CLEAN, FEATURE_SLOTS
+from applens.session import ensure_checkpoint_dir
 from applens.sources.catalog import feature_columns, type_raw
 
 DROPPED = ["Last Updated", "Current Ver", "Android Ver"]
@@ -100,49 +101,60 @@ def clean_catalog(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     after the range and category filters, before names are cleaned.
     """
     ranged = ranged_catalog(raw)
-    df = fill_median(drop_value(ranged, "Category", BAD_CATEGORY), "Rating")
-    return _clean_after_fill(df), ranged
+    return clean_ranged(ranged), ranged
+
+
+def clean_ranged(ranged: DataFrame) -> DataFrame:
+    """The cleaned table of a range-filtered catalogue."""
+    return _clean_after_fill(fill_median(drop_value(ranged, "Category", BAD_CATEGORY), "Rating"))
 
 
 # ------------------------------------------------------------------ P2
 
-LOW_CARDINALITY = ["Category", "Type", "Content Rating", "Genres"]
-MAX_COLLECTED_LABELS = 50_000
+INDEXED = ["App", "Category", "Type", "Content Rating", "Genres"]
+
+
+class FeatureModel:
+    """The fitted features: an index of every categorical column (``column, value, index``)
+    and the assembler of the slots. It transforms raw cleaned rows by itself, whatever
+    the number of labels, and can be saved and loaded."""
+
+    def __init__(self, index: DataFrame, slots: list[str] = FEATURE_SLOTS):
+        self.index = index
+        self.assembler = VectorAssembler(inputCols=slots, outputCol="features", handleInvalid="error")
+
+    @classmethod
+    def fit(cls, train: DataFrame, cols: list[str] = INDEXED) -> FeatureModel:
+        return cls(frequency_indexes(train, cols).select("column", "value", "index"))
+
+    def transform(self, clean: DataFrame) -> DataFrame:
+        """Add ``<column>Index`` for every indexed column and the ``features`` vector."""
+        for c in INDEXED:
+            own = self.index.where(F.col("column") == c).select(F.col("value").alias(c), F.col("index").alias(c + "Index"))
+            clean = apply_index(clean, own, c, c + "Index")
+        return self.assembler.transform(clean)
 
+    def save(self, path: str) -> None:
+        self.index.write.mode("overwrite").parquet(f"{path}/index")
+        self.assembler.write().overwrite().save(f"{path}/assembler")
 
-def _route_by_cardinality(df: DataFrame, cols: list[str],
-                          max_labels: int = MAX_COLLECTED_LABELS) -> tuple[list[str], list[str]]:
-    """Split columns into (few labels, many labels) by approximate distinct
-    counts, all taken in one pass. Few-label columns may have their labels
-    collected by StringIndexer; the others are indexed without collecting."""
-    est = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"c{i}")
-                   for i, c in enumerate(cols)]).first()
-    few = [c for i, c in enumerate(cols) if est[f"c{i}"] <= max_labels]
-    return few, [c for c in cols if c not in few]
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FeatureModel:
+        model = cls(spark.read.parquet(f"{path}/index"))
+        model.assembler = VectorAssembler.load(f"{path}/assembler")
+        return model
 
 
-def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42,
-                   max_labels: int = MAX_COLLECTED_LABELS):
+def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, FeatureModel]:
     """Index and assemble the features of every cleaned row.
 
     The held-out part is chosen by a hash of App; indexes are learnt on the
     training part only and unseen labels get the extra index (as
-    ``handleInvalid='keep'``). App is nearly unique, so it is always indexed
-    by the distributed frequency rank (no label list on the driver); the other
-    categoricals go through one multi-column StringIndexer unless their
-    estimated label count exceeds ``max_labels``. Returns
-    ``(features13, pipeline_model)``; ``features13`` holds all rows (train
-    and held-out) in the exported 13-column layout.
+    ``handleInvalid='keep'``). Returns ``(features13, model)``; ``features13``
+    holds all rows (train and held-out) in the exported 13-column layout.
     """
-    flagged = clean.withColumn("_test", is_held_out(F.col("App"), test_fraction, seed))
-    train = flagged.where(~F.col("_test"))
-    few, many = _route_by_cardinality(train, LOW_CARDINALITY, max_labels)
-    for c in ["App"] + many:
-        index = frequency_index(train, c, c + "Index", count="_count")
-        flagged = apply_index(flagged, index, c, c + "Index", count="_count")
-    train = flagged.where(~F.col("_test"))
-    model = feature_pipeline(few, FEATURE_SLOTS).fit(train)
-    return feature_columns(model.transform(flagged)), model
+    model = FeatureModel.fit(clean.where(~is_held_out(F.col("App"), test_fraction, seed)))
+    return feature_columns(model.transform(clean)), model
 
 
 # ------------------------------------------------------------------ P3 / P4
@@ -151,31 +163,34 @@ def genre_report(ranged: DataFrame, top: int = 20) -> dict[str, DataFrame]:
     """Genre summaries of the range-filtered catalogue.
 
     ``rollup`` (every genre), ``top`` (first ``top`` by count), and the
-    describe and density of the per-genre mean ratings.
+    describe, value counts and density of the per-genre mean ratings.
     """
-    # One row per genre, read by four tables: computed once and kept.
-    rollup = genre_rollup(ranged, top=None, ordered=False).persist()
+    # One row per genre, read by five tables: computed once and written.
+    ensure_checkpoint_dir(ranged.sparkSession)
+    rollup = genre_rollup(ranged, top=None, ordered=False).checkpoint(eager=True)
     ordered = rollup.orderBy(F.desc("Count"), F.asc("Genres"))
     return {
         "rollup": ordered,
         "top": ordered.limit(top),
         "rating_describe": describe_exact(rollup, ["Rating"]),
+        "rating_counts": value_counts(rollup, "Rating"),
         "rating_density": kde(rollup, "Rating"),
     }
 
 
-def profile_report(df: DataFrame, corr_cols: list[str] | None = None,
-                   hue: str | None = None) -> dict[str, DataFrame]:
+def profile_report(df: DataFrame, corr_cols: list[str] | None = None, hue: str | None = None,
+                   pair_cols: list[str] | None = None) -> dict[str, DataFrame]:
     """Describe, structure profile and correlation matrix of a table; with
-    ``hue``, also the scatter-matrix data (pair grid plus per-hue densities
-    of every column, the grid's diagonal)."""
+    ``hue``, also the scatter-matrix data of ``pair_cols`` (pair grid plus
+    per-hue densities of every column, the grid's diagonal)."""
     cols = corr_cols or numeric_columns(df)
+    pairs = pair_cols or cols
     out = {"describe": describe_exact(df), "profile": profile(df),
            "corr": corr_matrix(df, cols)}
     if hue:
-        out["pairs"] = pair_grid(df, cols, hue)
+        out["pairs"] = pair_grid(df, pairs, hue)
         out["diagonal"] = reduce(lambda a, b: a.unionByName(b), [
-            kde(df, c, by=hue).select(F.lit(c).alias("column"), "*") for c in cols])
+            kde(df, c, by=hue).select(F.lit(c).alias("column"), "*") for c in pairs])
     return out
 
 
@@ -187,7 +202,7 @@ NOT_MODEL_INPUT = ("App", "Content Rating", "Category", "App_Label", "Category_L
 
 
 def _model_input(features13: DataFrame, test_fraction: float, seed: int):
-    """Assembled, kept model input and its label: every feature column except
+    """Assembled, written model input and its label: every feature column except
     names and labels (Type, Genres, Reviews, Size, Installs, Price), plus a
     one-hot block of Category; held-out rows by the same hash of the app as
     ``build_features`` used, CV folds by another hash of it."""
@@ -198,7 +213,9 @@ def _model_input(features13: DataFrame, test_fraction: float, seed: int):
     })
     pipe = model_features(numeric, "Category")
     assembled = pipe.fit(df.where(~F.col("_test"))).transform(df)
-    return assembled.persist(StorageLevel.MEMORY_AND_DISK), label
+    # Written once: every fit reads it, and nothing stays in memory afterwards.
+    ensure_checkpoint_dir(features13.sparkSession)
+    return assembled.checkpoint(eager=True), label
 
 
 def tune_lasso(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,

@@ -9,7 +9,7 @@ from applens.functions.numeric import sign_label
 from applens.operators.aggregates import class_share, polarity_by_app
 from applens.operators.filters import keep_present
 from applens.operators.joins import keep_top_keys
-from applens.operators.profiling import histogram, pair_bins
+from applens.operators.profiling import describe_exact, histogram, pair_bins, profile
 from applens.operators.sentiment import score_sentiment
 from applens.session import ensure_checkpoint_dir
 from applens.sources.reviews import split_records
@@ -27,7 +27,8 @@ def score_reviews(reviews: DataFrame, lexicon: DataFrame,
     """
     if top_apps is not None:
         reviews = keep_top_keys(reviews, "App", top_apps)
-    scored = score_sentiment(reviews, "Review", lexicon)
+    keys = [c for c in reviews.columns if c not in ("App", "Review")]
+    scored = score_sentiment(reviews, "Review", lexicon, keys=keys)
     return scored.withColumn("Sentiment", sign_label("Polarity"))
 
 
@@ -42,23 +43,29 @@ def review_sentiment(records: DataFrame, lexicon: DataFrame, text: str = "record
     return score_reviews(reviews, lexicon, top_apps)
 
 
-def sentiment_report(scored: DataFrame, bins: int = 10, scatter_bins: int = 20) -> dict[str, DataFrame]:
+def sentiment_report(scored: DataFrame, bins: int = 10, scatter_bins: int = 20,
+                     written: bool = False) -> dict[str, DataFrame]:
     """The report tables of a scored review table.
 
     * ``by_app``: per app, non-negative and negative review counts + short name
+    * ``n_apps``: the number of apps in it
+    * ``describe``, ``profile``: quartiles of the scores, structure of the table
     * ``subjectivity_hist``: equal-width histogram of Subjectivity
     * ``abs_scatter``: 2-D bins of |Subjectivity| against |Polarity|
     * ``shares``: count and percentage of each Sentiment class
     """
-    # Four tables read the same scored rows: score once and write them to the
-    # checkpoint folder (durable, and the report plans start from a plain scan
-    # instead of re-analysing the scoring lineage).
-    ensure_checkpoint_dir(scored.sparkSession)
-    scored = scored.checkpoint(eager=True)
+    # Every table reads the same scored rows: score once and write them to the
+    # checkpoint folder, unless the caller has them written already.
+    if not written:
+        ensure_checkpoint_dir(scored.sparkSession)
+        scored = scored.checkpoint(eager=True)
     absolute = scored.select(F.abs("Subjectivity").alias("Subjectivity"),
                              F.abs("Polarity").alias("Polarity"))
     return {
         "by_app": polarity_by_app(scored),
+        "n_apps": scored.agg(F.count_distinct("App").alias("apps")),
+        "describe": describe_exact(scored, ["Polarity", "Subjectivity"]),
+        "profile": profile(scored),
         "subjectivity_hist": histogram(keep_present(scored, "Subjectivity"), "Subjectivity", bins),
         "abs_scatter": pair_bins(absolute, "Subjectivity", "Polarity", bins=scatter_bins),
         "shares": class_share(scored, "Sentiment"),

@@ -36,14 +36,6 @@ FEATURES13 = T.StructType(
        for c in ["App_Label", "Category_Label", "Genres_Label"]]
 )
 
-# Scored review table.
-REVIEWS = T.StructType([
-    T.StructField("rid", T.LongType(), True),
-    T.StructField("seq", T.IntegerType(), True),
-    T.StructField("App", T.StringType(), True),
-    T.StructField("Review", T.StringType(), True),
-])
-
 LEXICON = T.StructType([
     T.StructField("word", T.StringType(), False),
     T.StructField("polarity", T.DoubleType(), False),

@@ -52,15 +52,15 @@ def start_clean_stream(raw: DataFrame, rating_fill, path: str, checkpoint: str,
 
 
 def run_to_table(stream: DataFrame, name: str, checkpoint_root: str | None = None) -> DataFrame:
-    """Run a streaming DataFrame over everything available now into an
-    in-memory table and return that table (for checks and small results).
+    """Run a streaming DataFrame over everything available now into a Parquet
+    folder and return that table.
 
-    The stream's checkpoint goes under the session's checkpoint folder.
+    Table and stream checkpoint go under the session's checkpoint folder; no
+    row passes through the driver.
     """
     spark = stream.sparkSession
-    root = checkpoint_root or ensure_checkpoint_dir(spark)
-    q = (stream.writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", f"{root}/streams/{name}-{uuid.uuid4().hex}")
-         .trigger(availableNow=True).start())
+    base = f"{checkpoint_root or ensure_checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    q = (stream.writeStream.format("parquet").option("path", f"{base}/table").outputMode("append")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{base}/table")

@@ -34,13 +34,11 @@ def test_apply_index_unseen(spark):
     assert got == [("", 2.0), ("a", 0.0), ("z", 2.0)]
 
 
-def test_hash_split_ignores_partitioning(spark):
+def test_held_out_ignores_partitioning(spark):
     part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
-    a = {r.p_partkey for r in enc.hash_split(part, "p_partkey")[1].collect()}
-    b = {r.p_partkey for r in enc.hash_split(part.repartition(5), "p_partkey")[1].collect()}
-    assert a == b and 0.1 < len(a) / part.count() < 0.3
-    folds = part.select(enc.fold_of(F.col("p_partkey")).alias("f")).distinct().collect()
-    assert {r.f for r in folds} <= set(range(10))
+    held = lambda d: {r.p_partkey for r in d.where(enc.is_held_out(F.col("p_partkey"))).collect()}
+    a = held(part)
+    assert a == held(part.repartition(5)) and 0 < len(a) < part.count()
 
 
 def test_with_dummies(spark):
@@ -51,14 +49,26 @@ def test_with_dummies(spark):
     assert got == {1: (1, 0), 2: (0, 1), 3: (0, 0)}
 
 
-def test_dummy_levels_bounded(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("c"))
-    try:
-        enc.dummy_levels(df, "c", max_levels=10)
-    except ValueError:
-        pass
-    else:
-        raise AssertionError("expected a level-count error")
+def test_many_dummies(spark):
+    df = spark.range(1200).select(F.col("id"), F.col("id").cast("string").alias("c"))
+    wide = enc.with_dummies(df, "c")
+    assert len(wide.columns) == 1202
+    long = enc.dummies_long(df.unionByName(spark.createDataFrame([(5, None)], "id long, c string")), ["id"], "c")
+    assert sorted((r.id, r.dummy) for r in long.collect()) == sorted((i, f"cat_{i}") for i in range(1200))
+
+
+def test_positions_are_the_global_order(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3001).alias("k")).repartition(6)
+    got = {r.k: r.position for r in win.with_positions(df, F.desc("k")).collect()}
+    assert [got[k] for k in sorted(got, reverse=True)] == list(range(3000))
+
+
+def test_frequency_indexes_of_several_columns(spark):
+    rows = [("a", "x"), ("a", "y"), ("b", "y"), (None, "y"), ("c", None), ("b", "z")]
+    df = spark.createDataFrame(rows, "p string, q string").repartition(4)
+    got = {(r.column, r.value): (r["index"], r["count"]) for r in enc.frequency_indexes(df, ["p", "q"]).collect()}
+    assert got == {("p", "a"): (0, 2), ("p", "b"): (1, 2), ("p", "c"): (2, 1),
+                   ("q", "y"): (0, 3), ("q", "x"): (1, 1), ("q", "z"): (2, 1)}
 
 
 def test_top_n_per_group_ties(spark):
@@ -83,19 +93,24 @@ def test_keep_top_keys(spark):
     assert got == ["a", "a", "a", "b", "b"]
 
 
-def test_apply_index_hot_key_split_equals_plain_join(spark):
-    # One key holds a third of the rows; the index is "large" (no broadcast).
-    hot = spark.range(3000).select(F.lit("hot").alias("v"))
-    rest = spark.range(6000).select((F.col("id") % 500).cast("string").alias("v"))
-    df = hot.unionByName(rest).unionByName(spark.createDataFrame([(None,), ("new",)], "v string"))
-    train = df.where(F.col("v") != "new")
-    idx = enc.frequency_index(train, "v", "i", count="n")
-    split = enc.apply_index(df, idx, "v", "i", count="n", max_broadcast=10, hot_keys=5)
-    plain = enc.apply_index(df, idx.drop("n"), "v", "i", max_broadcast=10)
-    key = lambda r: (r.v is None, r.v or "", r.i)
-    assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
-    assert split.where(F.col("v") == "hot").select("i").distinct().first().i == 0.0
-    assert split.where(F.col("v") == "new").first().i == 501.0
+def test_apply_index_spreads_hot_keys_seen_or_not(spark):
+    # A third of the rows has a held-out key, another third is NULL.
+    rest = spark.range(3000).select((F.col("id") % 500).cast("string").alias("v"))
+    hot = spark.range(3000).select(F.lit("held out").alias("v"))
+    nulls = spark.range(3000).select(F.lit(None).cast("string").alias("v"))
+    idx = enc.frequency_index(rest, "v", "i")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = enc.apply_index(rest.unionByName(hot).unionByName(nulls), idx, "v", "i")
+        counts = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert out.where("v = 'held out' OR v IS NULL").select("i").distinct().collect()[0].i == 500.0
+        assert out.count() == 9000 and out.where("v = '7'").first().i is not None
+        assert counts[-1] < 5000  # not one task with a key's 3,000 rows and its share of the rest
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -106,8 +121,9 @@ from hypothesis import strategies as st  # noqa: E402
 @given(st.lists(st.text(min_size=1, max_size=6), min_size=1, max_size=40), st.integers(1, 6))
 def test_hash_split_property(spark, keys, parts):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    a = sorted(r.k for r in enc.hash_split(df, "k")[1].collect())
-    b = sorted(r.k for r in enc.hash_split(df.repartition(parts), "k")[1].collect())
+    flag = enc.is_held_out(F.col("k"))
+    a = sorted(r.k for r in df.where(flag).collect())
+    b = sorted(r.k for r in df.repartition(parts).where(flag).collect())
     assert a == b
     # Equal keys always land on the same side: every copy of a held-out key
     # is held out.

@@ -58,22 +58,38 @@ def test_r2_formula(spark):
     assert abs(M.r2(df, "y", "p").first().r2 - (1 - 0.5 / 2.0)) < 1e-12
 
 
-def test_pipeline_model_save_load(spark, tmp_dir):
-    from pyspark.ml import PipelineModel
-
+def test_feature_model_alone_transforms_raw_rows(spark, tmp_dir):
     clean, _ = cj.clean_catalog(proxies.apps_raw(spark, SF_SMALL))
     feats, model = cj.build_features(clean)
-    path = tmp_dir + "/pipeline"
-    model.write().overwrite().save(path)
-    again = PipelineModel.load(path)
-    sample = clean.withColumn("AppIndex", F.lit(0.0))
-    a = model.transform(sample).select("features").collect()
-    b = again.transform(sample).select("features").collect()
-    assert a == b
-
-
-def test_cardinality_routing(spark):
-    df = spark.range(300).select((F.col("id") % 3).cast("string").alias("few"),
-                                 F.col("id").cast("string").alias("many"))
-    few, many = cj._route_by_cardinality(df, ["few", "many"], max_labels=50)
-    assert few == ["few"] and many == ["many"]
+    path = tmp_dir + "/features"
+    model.save(path)
+    again = cj.FeatureModel.load(spark, path)
+    a = sorted(tuple(r.features) for r in model.transform(clean).select("features").collect())
+    b = sorted(tuple(r.features) for r in again.transform(clean).select("features").collect())
+    assert a == b and len(a) == feats.count()
+    # A row of labels never seen gets the extra index of every column.
+    new = clean.limit(1).withColumns({c: F.lit("never seen") for c in cj.INDEXED})
+    labels = {r.column: r["count"] for r in again.index.groupBy("column").count().collect()}
+    row = again.transform(new).first()
+    assert all(row[c + "Index"] == labels[c] for c in cj.INDEXED)
+
+
+def test_transform_scans_the_source_once(spark):
+    clean, _ = cj.clean_catalog(proxies.apps_raw(spark, SF_SMALL))
+    _, model = cj.build_features(clean)
+    plan = model.transform(clean)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("part.parquet") + plan.count("Relation [") == 1
+
+
+def test_shown_predictions_are_sorted_and_recommendations_are_not_presorted(spark):
+    rows = [("a", "x", "g", 0.0, 1, 1.0, 1, 0.0, 3.01), ("b", "x", "g", 0.0, 1, 1.0, 1, 0.0, 4.0)]
+    df = spark.createDataFrame(rows, "App_Label string, Category_Label string, Genres_Label string, Type double, "
+                                     "Reviews int, Size double, Installs int, Price double, prediction double")
+    table = M.prediction_table(df)
+    assert [r["Y-pred"] for r in M.shown_predictions(table).collect()] == [4.0, 3.1]
+    assert "Sort" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tuned_booster_settings():
+    g = M.rating_model(max_iter=1000, max_depth=1, rows=0.8, columns=0.7)
+    assert (g.getSubsamplingRate(), g.getFeatureSubsetStrategy(), g.getMaxIter(), g.getMaxDepth()) == (0.8, "0.7", 1000, 1)

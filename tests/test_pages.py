@@ -22,6 +22,9 @@ def test_catalogue_page(spark, tmp_dir):
     rec = spark.read.parquet(paths["recommendations"])
     assert rec.count() > 0 and set(rec.select("run_month").distinct().toPandas().run_month) == {"2024-05"}
     first = spark.read.parquet(paths["genre_rollup"]).count()
+    assert spark.read.parquet(paths["corr"]).count() == 64
+    assert spark.read.parquet(paths["feature_preview"]).count() == 12
+    assert {r["column"] for r in spark.read.parquet(paths["profile"]).collect()} >= {"Last Updated", "Rating"}
     catalogue_page(spark, src, out, run_date=dt.date(2024, 5, 20), tune=False)  # same month
     catalogue_page(spark, src, out, run_date=dt.date(2024, 6, 2), tune=False)
     g = spark.read.parquet(paths["genre_rollup"])
@@ -35,8 +38,10 @@ def test_review_page(spark, tmp_dir):
     with open(src, "w") as f:
         f.write("#".join(texts))
     out = os.path.join(tmp_dir, "out")
-    paths = review_page(spark, src, proxies.lexicon(spark), out, run_date=dt.date(2024, 5, 1))
+    paths = review_page(spark, src, proxies.lexicon(spark), out, run_date=dt.date(2024, 5, 1), wholetext=True)
     reviews = spark.read.parquet(paths["reviews"])
     assert reviews.count() > 0
     shares = spark.read.parquet(paths["shares"])
     assert abs(shares.agg(F.sum("share")).first()[0] - 100.0) < 0.05
+    assert spark.read.parquet(paths["n_apps"]).first().apps == reviews.select("App").distinct().count()
+    assert spark.read.parquet(paths["profile"]).where("`column` = 'Polarity'").count() == 1

@@ -2,6 +2,7 @@
 cartesian products, pruned scans, partial group limits."""
 
 import importlib
+import re
 
 import pytest
 
@@ -15,7 +16,11 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SKIP])
+# Queries of the optional subpackage have plan tests of their own.
+OWN = [n for n in entry.queries() if not re.fullmatch(r"op\d+_.*|pipeline", n)]
+
+
+@pytest.mark.parametrize("name", [n for n in OWN if n not in SKIP])
 def test_no_python_or_cartesian(spark, name):
     plan = physical(entry.queries()[name](spark, SF_SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct"):
@@ -44,10 +49,13 @@ def test_genre_rollup_single_aggregate(spark):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_percentile_path_has_no_single_partition_funnel(spark):
+def test_quantiles_have_no_single_partition_funnel(spark):
     from applens.operators.quantiles import exact_quantiles
 
-    df = spark.range(1000).selectExpr("cast(id % 37 as double) as a")
-    plan = physical(exact_quantiles(df, ["a"], [0.5]))
-    assert "SinglePartition" not in plan
-    assert "percentile" in plan
+    plan = physical(exact_quantiles(spark.range(1000).selectExpr("cast(id % 37 as double) as a"), ["a"], [0.5]))
+    assert "SinglePartition" not in plan and "percentile" not in plan
+
+
+def test_sentiment_joins_and_never_collects(spark):
+    plan = physical(entry.queries()["review_sentiment"](spark, SF_SMALL))
+    assert "map_from_entries" not in plan and "Join" in plan

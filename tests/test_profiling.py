@@ -114,7 +114,7 @@ def test_exact_quantiles_match_percentile(spark):
              None if i % 5 else 7.0) for i in range(3000)]
     df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {(r.column, r.q): r.value for r in exact_quantiles(df, ["a", "b", "c"], probs, 0).collect()}
+    got = {(r.column, r.q): r.value for r in exact_quantiles(df, ["a", "b", "c"], probs).collect()}
     ref = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c)
                    for c in ["a", "b", "c"]]).first()
     for c in ["a", "b", "c"]:
@@ -147,31 +147,20 @@ def test_pair_grid_counts(spark):
     assert totals == {("x", "y"): 3, ("x", "z"): 2, ("y", "z"): 2}
 
 
-def test_broadcast_if_small(spark):
-    from applens.operators.joins import broadcast_if_small
-
-    small = spark.range(10)
-    big = spark.range(1000)
-    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(broadcast_if_small(small, 100)).lower()
-    assert "broadcast" not in plan(broadcast_if_small(big, 100)).lower()
-
-
-def test_exact_quantiles_both_strategies_agree(spark):
+def test_corr_all_equals_pairwise(spark):
     import random
 
-    from applens.operators.quantiles import exact_quantiles
-
-    rnd = random.Random(5)
-    rows = [(rnd.random() * 10, float(rnd.randint(0, 20))) for _ in range(2000)]
-    df = spark.createDataFrame(rows, "a double, b double").repartition(4)
-    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    ranked = {(r.column, r.q): (r.p, r.value) for r in exact_quantiles(df, ["a", "b"], probs, 0).collect()}
-    mapped = {(r.column, r.q): (r.p, r.value) for r in exact_quantiles(df, ["a", "b"], probs, 10 ** 6).collect()}
-    assert ranked.keys() == mapped.keys()
-    for k in ranked:
-        assert ranked[k][0] == mapped[k][0]
-        assert math.isclose(ranked[k][1], mapped[k][1], rel_tol=1e-12)
+    rnd = random.Random(2)
+    rows = [(rnd.random(), rnd.random() * 5, float(i % 3), 7.0) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, t double, k double").repartition(3)
+    got = {(r.a, r.b): r.r for r in prof.corr_all(df, dummies={"t": [0.0, 1.0, 9.0]}).collect()}
+    ref = {(r.a, r.b): r.r for r in prof.corr_matrix(df, ["a", "b", "t", "k"]).collect()}
+    assert len(got) == 49
+    for k, v in ref.items():
+        assert (got[k] is None) == (v is None) and (v is None or math.isclose(got[k], v, abs_tol=1e-12))
+    one = {(r.a, r.b): r.r for r in prof.corr_matrix(df.withColumn("d", (F.col("t") == 1).cast("double")), ["a", "d"]).collect()}
+    assert math.isclose(got["a", "t_1.0"], one["a", "d"], abs_tol=1e-12) and got["a", "t_9.0"] is None
+    assert all(r.r is None for r in prof.corr_all(df.limit(0)).collect())
 
 
 def test_kde_constant_group_is_null_not_error(spark):

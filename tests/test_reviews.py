@@ -33,19 +33,40 @@ def test_read_reviews_wholetext(spark, tmp_dir):
         ("com.a.b", "the first review"), ("com.c.d", "und")]
 
 
-def test_score_map_and_join_paths_agree(spark):
+def test_scores_are_exact_means(spark):
     lex = proxies.lexicon(spark)
-    df = spark.createDataFrame([(1, "The cat and the dog"), (2, "nothing here"), (3, "OF of-of"),
-                                (4, None)], "k int, Review string")
-    a = {r.k: (r.Polarity, r.Subjectivity) for r in sent.score_sentiment(df, "Review", lex).collect()}
-    b = {r.k: (r.Polarity, r.Subjectivity)
-         for r in sent.score_sentiment(df, "Review", lex, max_map_words=0).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert abs(a[k][0] - b[k][0]) < 1e-12 and abs(a[k][1] - b[k][1]) < 1e-12
-    assert a[1] == ((0.5 - 0.25 + 0.5) / 3, (0.4 + 0.8 + 0.4) / 3)
-    assert a[2] == (0.0, 0.0) and a[4] == (0.0, 0.0)
-    assert abs(a[3][0] + 0.6) < 1e-12
+    df = spark.createDataFrame([(1, "The cat and the dog"), (2, "nothing here"), (3, "OF of-of"), (4, None),
+                                (5, "la le"), (6, "the and and of the the le la le la of of and and")], "k int, Review string")
+    for keys in (["k"], None):
+        a = {r.k: (r.Polarity, r.Subjectivity) for r in sent.score_sentiment(df, "Review", lex, keys=keys).collect()}
+        assert a[1] == (0.75 / 3, 1.6 / 3) and a[2] == (0.0, 0.0) and a[4] == (0.0, 0.0) and a[3] == (-1.8 / 3, 0.3 / 3)
+        assert a[5] == (0.0, 1.1 / 2)  # opposite scores cancel
+        # Nine tenths up and down in another order: 3 * 0.5 - 4 * 0.25 - 3 * 0.6 + 0 = -1.3 of 14 words.
+        assert a[6][0] == -1.3 / 14
+
+
+def test_labels_do_not_depend_on_the_lexicon_size(spark):
+    import time
+
+    words = [(w, p, s) for w, p, s in proxies.LEXICON_ROWS]
+    padded = words + [("zzq" + "".join(chr(97 + int(d)) for d in str(i)), 0.1, 0.1) for i in range(50_000)]
+    scored = []
+    for rows in (words, padded):
+        lex = spark.createDataFrame(rows, proxies.lexicon(spark).schema)
+        recs = proxies.review_records(spark, SF_SMALL)
+        start = time.time()
+        scored.append((sorted((r.rid, r.seq, r.Polarity, r.Sentiment) for r in rj.review_sentiment(recs, lex, keys=["rid"]).collect()),
+                       time.time() - start))
+    assert scored[0][0] == scored[1][0]
+    assert scored[1][1] < 20 + 3 * scored[0][1]
+    assert any(p == 0 and label == "Neutral" for _, _, p, label in scored[0][0])
+
+
+def test_planted_chunks_hold_several_records(spark):
+    recs = split_records(proxies.review_records(spark, SF_SMALL), "record", keys=["rid"])
+    assert recs.agg(F.max("seq")).first()[0] > 0
+    many = split_records(proxies.review_records(spark, SF_SMALL), "record", keys=["rid"], with_rejected=True)
+    assert {r.n_fields for r in many.select("n_fields").distinct().collect()} >= {1, 2, 3}
 
 
 def test_review_report(spark):

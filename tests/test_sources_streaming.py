@@ -38,7 +38,7 @@ def test_clean_and_feature_files(spark, tmp_dir):
     feats, model = cj.build_features(clean)
     assert len(feats.columns) == 13
     fp = os.path.join(tmp_dir, "features")
-    cat.write_features(model.transform(clean.join(feats.select(F.col("App_Label").alias("App"), F.col("App").alias("AppIndex")), "App")), fp)
+    cat.write_features(model.transform(clean), fp)
     got = cat.read_features(spark, fp)
     assert got.count() == clean.count()
     assert got.where(F.col("App_Label").isNull()).count() == 0
