@@ -39,7 +39,7 @@ from applens.llm.common import mix, quoted, text_bytes
 WINDOW, GRAM = 50, 16
 SPAN = WINDOW - GRAM + 1          # gram places in a window
 HALF = 17                         # bytes beside the gram in the second digit
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BUCKET_ENTRIES = 1 << 19
 NO_ID = np.iinfo(np.int64).max
 
