@@ -523,8 +523,8 @@ r_raw AS (
   SELECT rid,
     CASE WHEN rid % 50 = 7 THEN app || ' @ ' || text || ' @ spam'
          WHEN rid % 50 = 13 THEN app || ' ' || text
-         WHEN rid % 50 = 17 THEN app || ' @ ' || text || '#' || chr(160) || app || ' @ the second' || chr(10) || 'of two' || chr(8195) || '#'
-         WHEN rid % 50 = 23 THEN app || ' @ ' || text || '## ' || app || chr(12288) || '@ and and of#no fields#a @ b @ c#' || app || '@the'
+         WHEN rid // 1000 % 9 = 4 THEN app || ' @ ' || text || '#' || chr(160) || app || ' @ the second' || chr(10) || 'of two' || chr(8195) || '#'
+         WHEN rid // 1000 % 9 = 7 THEN app || ' @ ' || text || '## ' || app || chr(12288) || '@ and and of#no fields#a @ b @ c#' || app || '@the'
          ELSE app || ' @ ' || text END AS record
   FROM r_src
 ),

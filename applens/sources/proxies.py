@@ -62,7 +62,7 @@ def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``record`` is ``app @ review``; turns with ``rid % 50 == 7`` carry a second
     '@' and turns with ``rid % 50 == 13`` carry none, so the field-count rule
-    has records to reject. Turns with ``rid % 50`` 17 or 23 hold several records
+    has records to reject. Turns with ``conv_id % 9`` 4 or 7 hold several records
     joined by '#', with empty and malformed ones, a trailing '#' and Unicode blanks.
     The text keeps its newlines.
     """
@@ -72,9 +72,9 @@ def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = (
         F.when(rid % 50 == 7, F.concat(app, F.lit(" @ "), F.col("text"), F.lit(" @ spam")))
         .when(rid % 50 == 13, F.concat(app, F.lit(" "), F.col("text")))
-        .when(rid % 50 == 17, F.concat(app, F.lit(" @ "), F.col("text"), F.lit("#\u00a0"), app,
+        .when(F.col("conv_id") % 9 == 4, F.concat(app, F.lit(" @ "), F.col("text"), F.lit("#\u00a0"), app,
                                        F.lit(" @ the second\nof two\u2003#")))
-        .when(rid % 50 == 23, F.concat(app, F.lit(" @ "), F.col("text"), F.lit("## "), app,
+        .when(F.col("conv_id") % 9 == 7, F.concat(app, F.lit(" @ "), F.col("text"), F.lit("## "), app,
                                        F.lit("\u3000@ and and of#no fields#a @ b @ c#"), app, F.lit("@the")))
         .otherwise(F.concat(app, F.lit(" @ "), F.col("text")))
     )
