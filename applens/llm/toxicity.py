@@ -155,6 +155,8 @@ class Model:
 
 def _landmark_strings(texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
     """Letter strings that tell the classes apart, each adding toxic texts to those the others find."""
+    if len(texts) >= 1 << 15:
+        raise ValueError("the training sample has too many texts")
     letter, word, text = _encode(texts)
     wide = letter.astype(np.int64)
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
@@ -168,17 +170,19 @@ def _landmark_strings(texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
         for k in range(size):
             code = code << 6 | wide[k:k + m]
             ok &= wide[k:k + m] > 0
-        pairs = np.unique(np.stack([code[ok], text[:m][ok]], 1), axis=0) if ok.any() else np.zeros((0, 2), np.int64)
-        codes, start = np.unique(pairs[:, 0], return_index=True)
+        # Distinct (string, text) in one number each: the sample has fewer than 2**15 texts.
+        pairs = np.unique(code[ok] << 15 | text[:m][ok])
+        owner = pairs & (1 << 15) - 1
+        codes, start = np.unique(pairs >> 15, return_index=True)
         ends = np.r_[start, len(pairs)][1:]
-        hot = np.r_[0, np.cumsum(toxic[pairs[:, 1]])]
+        hot = np.r_[0, np.cumsum(toxic[owner])]
         in_toxic = hot[ends] - hot[start]
         in_clean = ends - start - in_toxic
         gain = in_toxic / n_toxic - CLEAN_COST * in_clean / n_clean
         gain[(in_toxic < LEAST_TEXTS) | (in_toxic * n_clean < LEAST_RATIO * in_clean * n_toxic)] = 0
         for k in np.argsort(-gain, kind="stable")[:400]:
             if gain[k] > 0:
-                candidates.append((float(gain[k]), size, int(codes[k]), pairs[start[k]:ends[k], 1]))
+                candidates.append((float(gain[k]), size, int(codes[k]), owner[start[k]:ends[k]].copy()))
     chosen: list[np.ndarray] = []
     found = np.zeros(len(texts))
     while candidates and len(chosen) < LANDMARKS:
