@@ -36,7 +36,7 @@ from applens.sources import proxies
 from applens.sources.reviews import split_records
 
 # The training-data operators are an optional part of the installation.
-if importlib.util.find_spec("applens.llm") is not None:
+if importlib.util.find_spec("applens.llm") and importlib.util.find_spec("applens.llm.registry"):
     from applens.llm import registry as llm_registry
 else:
     llm_registry = None
