@@ -85,26 +85,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_spans(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of a byte array."""
-    inside = np.empty(len(b) + 2, np.int8)
-    inside[0] = inside[-1] = 0
-    inside[1:-1] = ~WHITE[b]
-    step = np.diff(inside)
-    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+_NEAR = mix(np.arange(1, 64 * 256 + 1, dtype=np.uint64))
+
+
+def place_values(place: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A random 64-bit value for each (place in the word, byte)."""
+    out = _NEAR[np.minimum(place, 63) << 8 | b]
+    far = np.flatnonzero(place >= 64)
+    if len(far):
+        out[far] = mix((place[far].astype(np.uint64) << np.uint64(8)) + b[far] + np.uint64(1))
+    return out
 
 
 def word_hashes(b: np.ndarray) -> np.ndarray:
     """A 64-bit hash per word: the sum over its bytes of a random value of (place, byte)."""
-    starts, ends = word_spans(b)
+    white = WHITE[b]
+    starts = np.flatnonzero(~white & np.concatenate([[True], white[:-1]]))
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    at = np.repeat(starts, lengths)
-    place = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    at += place
-    values = mix((place.astype(np.uint64) << np.uint64(8)) + b[at] + np.uint64(1))
-    return mix(np.add.reduceat(values, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64))
+    at = np.arange(len(b))
+    first = np.zeros(len(b), np.int64)
+    first[starts] = starts
+    values = place_values(at - np.maximum.accumulate(first), b)
+    values[white] = 0
+    return mix(np.add.reduceat(values, starts) + np.uint64(1))
 
 
 def shingle_hashes(text: str | None, width: int = 5) -> np.ndarray:
