@@ -47,16 +47,16 @@ def skipped(seed: int, variant: int, left: str, right: str, rate: float) -> bool
 
 
 class Merges(dict):
-    """(left, right) to the merged piece's score, None if there is none or it is dropped; filled as pairs are met."""
+    """(left, right) to the merged piece's score, NONE if there is none or it is dropped; filled as pairs are met."""
 
     def __init__(self, score: dict[str, float], seed: int, variant: int, rate: float):
         super().__init__()
         self.score, self.key, self.rate = score, (seed, variant), rate
 
-    def __missing__(self, pair: tuple[str, str]) -> float | None:
-        found = self.score.get(pair[0] + pair[1])
-        if found is not None and self.rate > 0 and skipped(*self.key, *pair, self.rate):
-            found = None
+    def __missing__(self, pair: tuple[str, str]) -> float:
+        found = self.score.get(pair[0] + pair[1], NONE)
+        if found != NONE and self.rate > 0 and skipped(*self.key, *pair, self.rate):
+            found = NONE
         if len(self) < PAIRS:
             self[pair] = found
         return found
@@ -87,30 +87,29 @@ class Vocabulary:
     def chunk(self, chunk: str, merges: Merges) -> tuple[int, ...]:
         """Ids of a chunk: merge the best candidate, leftmost first, until none is left."""
         symbols = self._merged_by_agenda(chunk, merges) if len(chunk) > SHORT else self._merged(chunk, merges)
-        ids: list[int] = []
-        for s in symbols:
-            if s in self.id:
-                ids.append(self.id[s])
-            else:
-                ids += [self.byte_id[b] for b in s.encode("utf-8", "surrogatepass")]
-        return tuple(ids)
+        try:
+            return tuple(map(self.id.__getitem__, symbols))
+        except KeyError:  # a character that the vocabulary lacks
+            return tuple(x for s in symbols for x in (
+                (self.id[s],) if s in self.id else map(self.byte_id.__getitem__, s.encode("utf-8", "surrogatepass"))))
 
     @staticmethod
     def _merged(chunk: str, merges: Merges) -> list[str]:
         """A short chunk: its agenda is a plain list, one score for each pair."""
         symbols = list(chunk)
-        scores = [NONE if s is None else s for s in (merges[pair] for pair in zip(symbols, symbols[1:]))]
+        scores = list(map(merges.__getitem__, zip(symbols, symbols[1:])))
         while scores:
             best = max(scores)
             if best == NONE:
                 break
             i = scores.index(best)
-            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
-            del scores[i]
-            for k in (i - 1, i):
-                if 0 <= k < len(scores):
-                    s = merges[symbols[k], symbols[k + 1]]
-                    scores[k] = NONE if s is None else s
+            merged = symbols[i] + symbols[i + 1]
+            symbols[i] = merged
+            del symbols[i + 1], scores[i]
+            if i:
+                scores[i - 1] = merges[symbols[i - 1], merged]
+            if i < len(scores):
+                scores[i] = merges[merged, symbols[i + 1]]
         return symbols
 
     @staticmethod
@@ -124,7 +123,7 @@ class Vocabulary:
         def offer(i: int) -> None:
             if after[i] < n:
                 score = merges[symbols[i], symbols[after[i]]]
-                if score is not None:
+                if score != NONE:
                     heapq.heappush(agenda, (-score, i, symbols[i], symbols[after[i]]))
 
         for i in range(n - 1):
