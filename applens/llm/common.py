@@ -7,12 +7,15 @@ A-Z only.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # not the GNU C library
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker lives on after its task, beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from applens.llm.common import mix, shingle_hashes, write_bucketed, write_shared
+from applens.llm.common import mix, release_memory, shingle_hashes, write_bucketed, write_shared
 from applens.llm.components import components
 
 SKETCH_BITS = 20
@@ -86,6 +86,7 @@ def _signatures(width: int):
                 yield table()
                 rows = {k: [] for k in rows}
         yield table()
+        release_memory()
         parts = [p.tobytes() for p in np.split(np.minimum(sketch, 2**16 - 1).astype(np.uint16), SKETCH_PARTS)]
         if sketch.any():
             yield pa.RecordBatch.from_pydict({
@@ -156,6 +157,7 @@ def _entries(width: int, sketch, limit: int):
                 buffer, held = [], 0
         if buffer:
             yield table()
+        release_memory()
 
     return run
 

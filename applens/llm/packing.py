@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from applens.llm.common import write_shared
+from applens.llm.common import release_memory, write_shared
 
 CAPACITY, END = 1024, 2
 ITERATIONS = 800
@@ -110,6 +110,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=False)], names=names[:5 + with_ids])
+            release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from applens.llm.common import quoted
+from applens.llm.common import quoted, release_memory
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)            # 0: outside; 1 + 2k: begin; 2 + 2k: inside
@@ -455,6 +455,7 @@ def find(docs: DataFrame, tagger: Tagger, with_text: bool = True) -> DataFrame:
             columns = list(batch.columns) if with_text else [batch.column(0)]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(o, k) for o, k in zip(out, types, strict=True)],
                                              names=[*(names if with_text else names[:1]), *result])
+            release_memory()
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     head = ", ".join(f"{n} {kinds[c]}" for n, c in zip(names, kept, strict=True)) if with_text else "doc_id bigint"

@@ -27,6 +27,7 @@ each other.
 from __future__ import annotations
 
 import hashlib
+from inspect import signature
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from applens.llm.blocks import REPLY, SENT, packed, replies, unpacked
-from applens.llm.common import mix, quoted, text_bytes
+from applens.llm.common import mix, quoted, release_memory, text_bytes
 
 WINDOW, GRAM = 50, 16
 SPAN = WINDOW - GRAM + 1          # gram places in a window
@@ -162,6 +163,21 @@ def _short(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.uint8).reshape(-1, 8)[:, 8 - GRAM_BYTES:]
 
 
+def _tidy(work):
+    """The same work on a group, without the memory it took left behind."""
+    if len(signature(work).parameters) == 1:
+        def tidy(table: pa.Table) -> pa.Table:
+            out = work(table)
+            release_memory()
+            return out
+    else:
+        def tidy(texts: pa.Table, answers: pa.Table) -> pa.Table:
+            out = work(texts, answers)
+            release_memory()
+            return out
+    return tidy
+
+
 def first_digit(buckets: int):
     def send(table: pa.Table) -> pa.Table:
         keys = np.unique(Block(table).gram)
@@ -322,13 +338,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
              .withColumn("block", dealt).repartition(parts, "block"))
 
     def reduced(sent: DataFrame, settle) -> DataFrame:
-        return sent.repartition(max(1, min(buckets, parts)), "bucket").groupBy("bucket").applyInArrow(settle, REPLY)
+        return sent.repartition(max(1, min(buckets, parts)), "bucket").groupBy("bucket").applyInArrow(_tidy(settle), REPLY)
 
     def asked(answers: DataFrame, fn, schema: str) -> DataFrame:
-        return texts.groupBy("block").cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(fn, schema)
+        return texts.groupBy("block").cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(_tidy(fn), schema)
 
     send, settle = first_digit(buckets)
-    grams = reduced(texts.groupBy("block").applyInArrow(send, SENT), settle)
+    grams = reduced(texts.groupBy("block").applyInArrow(_tidy(send), SENT), settle)
     send, settle = second_digit(buckets)
     runs = reduced(asked(grams, send, SENT), settle)
     send, settle = full_depth(buckets)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from applens.llm.common import doc_crc_mod, quoted
+from applens.llm.common import doc_crc_mod, quoted, release_memory
 
 DECAY = 0.6
 GAPS = ((1, 1), (1, 2), (2, 1), (2, 2), (1, 3), (3, 1))  # steps to the second and third letter
@@ -46,7 +46,7 @@ SIZES = (5, 6, 7, 8)                                     # letters of a landmark
 LANDMARKS = 48
 SAMPLE, SAMPLE_CHARS = 1200, 20_000
 INSTANCE = 32                                            # letters of a longer word taken together
-SLICE = 256
+SLICE = 128
 
 
 def _letter_classes() -> np.ndarray:
@@ -304,6 +304,7 @@ def add_scores(docs: DataFrame, model: Model, column: str = "toxicity") -> DataF
             found = [shared.value.score(texts.slice(i, SLICE).to_pylist()) for i in range(0, batch.num_rows, SLICE)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.concatenate(found or [np.zeros(0)]), pa.float64())], names=[*names, "score"])
+            release_memory()
 
     names = [c if c == "text" else f"other_{i}" for i, c in enumerate(kept)]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
