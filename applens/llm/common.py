@@ -29,6 +29,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at BATCH_BYTES (Spark's own bound is 64 MB, held twice on either side of a worker)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 @lru_cache(maxsize=1)
 def _trim():
     try:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import applens
 from applens.llm import (jaccard_join, language_id, lm_scoring, packing, pii, quality_rules,
                          sentencepiece_dropout, suffix_dedup, topk_search, toxicity)
-from applens.llm.common import doc_crc_mod, documents
+from applens.llm.common import doc_crc_mod, documents, small_batches
 
 
 def op1_language_id(spark, sf):
@@ -79,6 +79,7 @@ def _with_code(query):
         paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
         if root not in paths:
             env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        small_batches(spark)
         return query(spark, sf)
 
     return run

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from applens.llm import jaccard_join, packing, pii, suffix_dedup, toxicity
-from applens.llm.common import quoted, shared_dir
+from applens.llm.common import quoted, shared_dir, small_batches
 
 
 def _with_new_text(docs: DataFrame, operator, new: str) -> DataFrame:
@@ -40,6 +40,7 @@ def _with_new_text(docs: DataFrame, operator, new: str) -> DataFrame:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     score = "toxicity_score"
     while score in docs.columns:
@@ -48,20 +49,24 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     groups = jaccard_join.jaccard_groups(docs)
     others = groups.filter("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def suffix_array_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _with_new_text(docs, suffix_dedup.remove_repeats, "kept_text")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _with_new_text(docs, lambda d: pii.find(d, pii.fit(docs)), "masked_text")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
