@@ -332,7 +332,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Tagger:
            .orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample).collect()]
     picked = F.broadcast(docs.sparkSession.createDataFrame(sorted(set(ids)), "doc_id bigint"))
     rows = some.join(picked, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
-    return train(*_examples([r.text for r in sorted(rows)]))
+    tagger = train(*_examples([r.text for r in sorted(rows)]))
+    release_memory()
+    return tagger
 
 
 # ------------------------------------------------------------- whole texts

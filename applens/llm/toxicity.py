@@ -69,8 +69,8 @@ def _encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     parts = [np.frombuffer((t or "").encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     gap = np.full(4, 32, np.uint32)
     cps = np.concatenate([x for p in parts for x in (gap, p)] + [gap])
-    text = np.repeat(np.arange(len(parts)), [len(p) + len(gap) for p in parts])
-    text = np.r_[text, np.full(len(gap), max(0, len(parts) - 1))]
+    text = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) + len(gap) for p in parts])
+    text = np.r_[text, np.full(len(gap), max(0, len(parts) - 1), np.int32)]
     near = np.minimum(cps, 0x24F)
     letter, blank = _CLASSES[near], _BLANK[near]
     far = cps >= 0x250
@@ -81,7 +81,7 @@ def _encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     is_letter = letter > 0
     joins = np.zeros(len(cps), bool)
     joins[2:-2] = (blank[2:-2] & is_letter[1:-3] & is_letter[3:-1] & ~is_letter[:-4] & ~is_letter[4:])
-    word = np.cumsum(blank & ~joins)
+    word = np.cumsum(blank & ~joins, dtype=np.int32)
     keep = is_letter  # marks and digits inside a word are left out
     starts = np.r_[~blank[1:], False] & blank & ~joins  # the blank before a word stands for its start
     letter = np.where(starts, START, letter)
@@ -290,7 +290,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[li
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows, share = labelled_sample(docs, labels, sample)
-    return train([t for t, _ in rows], [y for _, y in rows], share)
+    model = train([t for t, _ in rows], [y for _, y in rows], share)
+    release_memory()  # the driver lives on too
+    return model
 
 
 def add_scores(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
