@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from applens.llm.common import quoted
 
 MARK = "▁"
-VARIANTS = 4
-CACHE = 200_000          # chunks that a task remembers, for each variant
+VARIANTS = 2
+CACHE = 400_000          # chunks that a task remembers, for each variant
 PAIRS = 200_000          # pairs, likewise
 SHORT = 24               # characters of a chunk whose agenda is a plain list
 NONE = float("-inf")
