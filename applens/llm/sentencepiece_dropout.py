@@ -5,9 +5,9 @@ cut before each run of word marks: no piece of such a vocabulary goes on past on
 crosses the cuts. Inside a chunk an agenda holds the candidate merges, best score first,
 then leftmost. A candidate is skipped if the keyed hash of (seed, variant, its two
 pieces) falls below the dropout rate: merges are dropped by type, and what is built on them
-takes other ways. The variant is the hash of doc_id and seed modulo VARIANTS: texts are segmented
-in different ways, the same text and id always in the same way, and a task
-remembers the chunks of each variant.
+takes other ways. The variant is the crc32 of doc_id and seed: every document has merges dropped of its own,
+the same text and id always in the same way. A task remembers the undropped merging of a chunk
+for all documents; it holds for those that drop none of its merges.
 
 Without dropout the ids are the library's. Characters that the vocabulary lacks, and a word mark that
 the text itself holds, become byte pieces, so decoding gives back the exact text.
@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 from applens.llm.common import quoted
 
 MARK = "▁"
-VARIANTS = 2
-CACHE = 400_000          # chunks that a task remembers, for each variant
-PAIRS = 200_000          # pairs, likewise
+CACHE = 400_000          # chunks whose undropped merging a task remembers
+PAIRS = 200_000          # pairs whose score and hash it remembers
 SHORT = 24               # characters of a chunk whose agenda is a plain list
 NONE = float("-inf")
 CACHED_CHARS = 64
@@ -40,22 +39,48 @@ SLICE = 256
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+_M64 = (1 << 64) - 1
+
+
+def _mix(x: int) -> int:
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _M64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _M64
+    return x ^ x >> 31
+
+
+def _hash(key: str) -> int:
+    return int.from_bytes(hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def pair_hash(left: str, right: str) -> int:
+    return _hash(f"{len(left)}:{left}{right}")
+
+
 def skipped(seed: int, variant: int, left: str, right: str, rate: float) -> bool:
     """Whether this type of merge is dropped: a keyed hash against the rate."""
-    key = f"{seed}:{variant}:{len(left)}:{left}{right}".encode("utf-8", "surrogatepass")
-    return int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little") < rate * 2.0 ** 64
+    return _mix(pair_hash(left, right) ^ _hash(f"{seed}:{variant}")) < rate * 2.0 ** 64
 
 
 class Merges(dict):
-    """(left, right) to the merged piece's score, NONE if there is none or it is dropped; filled as pairs are met."""
+    """(left, right) to the merged piece's score, NONE if there is none or it is dropped; filled as pairs are met.
 
-    def __init__(self, score: dict[str, float], seed: int, variant: int, rate: float):
+    `known` holds scores and hashes of pairs and may be shared by all documents.
+    """
+
+    def __init__(self, score: dict[str, float], seed: int, variant: int, rate: float, known: dict | None = None):
         super().__init__()
-        self.score, self.key, self.rate = score, (seed, variant), rate
+        self.score, self.key, self.below = score, _hash(f"{seed}:{variant}"), rate * 2.0 ** 64
+        self.known = {} if known is None else known
 
     def __missing__(self, pair: tuple[str, str]) -> float:
-        found = self.score.get(pair[0] + pair[1], NONE)
-        if found != NONE and self.rate > 0 and skipped(*self.key, *pair, self.rate):
+        entry = self.known.get(pair)
+        if entry is None:
+            found = self.score.get(pair[0] + pair[1], NONE)
+            entry = found, 0 if found == NONE else pair_hash(*pair)
+            if len(self.known) < PAIRS:
+                self.known[pair] = entry
+        found = entry[0]
+        if found != NONE and self.below > 0 and _mix(entry[1] ^ self.key) < self.below:
             found = NONE
         if len(self) < PAIRS:
             self[pair] = found
@@ -81,12 +106,13 @@ class Vocabulary:
             raise ValueError("the model has no byte pieces")
         space = [p.replace(MARK, " ").encode("utf-8") for p in self.pieces]
         self.bytes_of = [bytes((self.byte_of[i],)) if i in self.byte_of else b for i, b in enumerate(space)]
-        self.merges: dict[tuple, Merges] = {}
-        self.remembered: dict[tuple, dict[str, tuple[int, ...]]] = {}
+        self.pairs: dict[tuple[str, str], tuple[float, int]] = {}
+        self.undropped = Merges(self.score, 0, 0, 0.0, self.pairs)
+        self.plain: dict[str, tuple[tuple[int, ...], list[tuple[str, str]]]] = {}
 
-    def chunk(self, chunk: str, merges: Merges) -> tuple[int, ...]:
-        """Ids of a chunk: merge the best candidate, leftmost first, until none is left."""
-        symbols = self._merged_by_agenda(chunk, merges) if len(chunk) > SHORT else self._merged(chunk, merges)
+    def chunk(self, chunk: str, merges: Merges, made: list | None = None) -> tuple[int, ...]:
+        """Ids of a chunk: merge the best candidate, leftmost first, until none is left; `made` takes the merged pairs."""
+        symbols = (self._merged_by_agenda if len(chunk) > SHORT else self._merged)(chunk, merges, [] if made is None else made)
         try:
             return tuple(map(self.id.__getitem__, symbols))
         except KeyError:  # a character that the vocabulary lacks
@@ -94,7 +120,7 @@ class Vocabulary:
                 (self.id[s],) if s in self.id else map(self.byte_id.__getitem__, s.encode("utf-8", "surrogatepass"))))
 
     @staticmethod
-    def _merged(chunk: str, merges: Merges) -> list[str]:
+    def _merged(chunk: str, merges: Merges, made: list) -> list[str]:
         """A short chunk: its agenda is a plain list, one score for each pair."""
         symbols = list(chunk)
         scores = list(map(merges.__getitem__, zip(symbols, symbols[1:])))
@@ -103,6 +129,7 @@ class Vocabulary:
             if best == NONE:
                 break
             i = scores.index(best)
+            made.append((symbols[i], symbols[i + 1]))
             merged = symbols[i] + symbols[i + 1]
             symbols[i] = merged
             del symbols[i + 1], scores[i]
@@ -113,7 +140,7 @@ class Vocabulary:
         return symbols
 
     @staticmethod
-    def _merged_by_agenda(chunk: str, merges: Merges) -> list[str]:
+    def _merged_by_agenda(chunk: str, merges: Merges, made: list) -> list[str]:
         """A long chunk: a heap of candidates over linked symbols."""
         symbols: list[str | None] = list(chunk)
         n = len(symbols)
@@ -133,6 +160,7 @@ class Vocabulary:
             j = after[i]
             if symbols[i] != left or j >= n or symbols[j] != right:
                 continue  # one of the two has been merged since
+            made.append((left, right))
             symbols[i], symbols[j] = left + right, None
             after[i] = after[j]
             if after[j] < n:
@@ -142,15 +170,23 @@ class Vocabulary:
             offer(i)
         return [s for s in symbols if s is not None]
 
+    def _chunk_of(self, chunk: str, merges: Merges) -> tuple[int, ...]:
+        """`chunk`, by the undropped merging if none of its merges is dropped: then each was the best candidate here too."""
+        if len(chunk) > CACHED_CHARS:
+            return self.chunk(chunk, merges)
+        entry = self.plain.get(chunk)
+        if entry is None:
+            if len(self.plain) >= CACHE:
+                self.plain.clear()
+            made: list[tuple[str, str]] = []
+            entry = self.plain[chunk] = self.chunk(chunk, self.undropped, made), made
+        return self.chunk(chunk, merges) if NONE in map(merges.__getitem__, entry[1]) else entry[0]
+
     def encode(self, text: str, seed: int = 0, variant: int = 0, rate: float = 0.0) -> list[int]:
         if not text:
             return []
-        key = (seed, variant, rate)
-        merges = self.merges.get(key)
-        if merges is None:
-            merges = self.merges[key] = Merges(self.score, *key)
-            self.remembered[key] = {}
-        known = self.remembered[key]
+        merges = Merges(self.score, seed, variant, rate, self.pairs)
+        known: dict[str, tuple[int, ...]] = {}
         ids: list[int] = []
         for n, own in enumerate(text.split(MARK)):
             if n:  # a word mark of the text itself: its bytes, which decode to no blank
@@ -158,10 +194,8 @@ class Vocabulary:
             for c in _CHUNK.findall((MARK if n == 0 else "") + own.replace(" ", MARK)):
                 found = known.get(c)
                 if found is None:
-                    found = self.chunk(c, merges)
-                    if len(c) <= CACHED_CHARS:
-                        if len(known) >= CACHE:
-                            known.clear()
+                    found = self._chunk_of(c, merges)
+                    if len(known) < CACHE:
                         known[c] = found
                 ids += found
         return ids
@@ -177,7 +211,8 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def variant_of(doc_id: int | None, seed: int) -> int:
-    return zlib.crc32(f"{doc_id}:{seed}".encode()) % VARIANTS
+    """Of each document its own."""
+    return zlib.crc32(f"{doc_id}:{seed}".encode())
 
 
 RESULT = {"n_pieces": "bigint", "ids_crc32": "bigint", "lossless": "boolean"}

@@ -72,3 +72,13 @@ def test_edge_rows_and_columns(spark, docs_of):
     assert len(rows) == 5 and all(r.decoded == r.text for r in rows) and rows[0].n_pieces == 0 and rows[0].lossless is None
     assert rows[3]["a.b"] == 2 and all(r.lossless for r in rows[1:])
     assert sd.encode(docs_of([]), PATH).collect() == []
+
+
+def test_documents_drop_merges_of_their_own(spark, docs_of):
+    rows = sd.encode(docs_of([(i, "internationalization thinking") for i in range(300)]), PATH, 1, 0.1).collect()
+    assert len({tuple(r.ids) for r in rows}) > 20
+    v = sd.Vocabulary(PATH)
+    for r in rows[:50]:
+        variant = sd.variant_of(r.doc_id, 1)
+        want = [x for c in ("▁internationalization", "▁thinking") for x in brute_chunk(v, c, 1, variant, 0.1)]
+        assert r.ids == want
