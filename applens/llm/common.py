@@ -90,6 +90,30 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> tuple[Da
     return spark.table(table), lambda: spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+HEAVY = 1000
+
+
+def attached(rows: DataFrame, key: str, totals: DataFrame) -> DataFrame:
+    """The columns of `totals` for every row of `rows` (both stored tables), by key; NULLs are one key.
+
+    `totals` has one row per ``key``, with its number of rows ``n``. Keys with more than a share of
+    1/HEAVY of all rows, fewer than HEAVY by count, are broadcast; the others, whose groups are small, are joined.
+    """
+    bound = (totals.agg(F.sum("n")).first()[0] or 0) // HEAVY
+    own = F.col(quoted(key))
+    names = [c for c in totals.columns if c not in ("key", "n")]
+
+    def side(part):
+        return part.select(F.col("key").alias("_attached_key"), *names)
+
+    heavy = side(totals.filter(F.col("n") > bound))
+    light = side(totals.filter(F.col("n") <= bound))
+    same = own.eqNullSafe(F.col("_attached_key"))
+    first = rows.join(F.broadcast(heavy), same).drop("_attached_key")
+    rest = rows.join(F.broadcast(heavy.select("_attached_key")), same, "left_anti").join(light, same).drop("_attached_key")
+    return first.unionByName(rest)
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Total UTF-8 bytes of ``text``; sizes the number of blocks and buckets."""
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)

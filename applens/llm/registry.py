@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import applens
-from applens.llm import (jaccard_join, language_id, lm_scoring, packing, pii, quality_rules,
-                         sentencepiece_dropout, suffix_dedup, topk_search, toxicity)
+from applens.llm import (hard_negatives, jaccard_join, language_id, lm_scoring, packing, pii, quality_rules,
+                         sentencepiece_dropout, source_mixing, suffix_dedup, topk_search, toxicity, vector_codes)
 from applens.llm.common import doc_crc_mod, documents, small_batches
 
 
@@ -64,6 +64,18 @@ def op10_suffix_dedup(spark, sf):
     return suffix_dedup.remove_repeats(documents(spark, sf), with_text=False)
 
 
+def op11_hard_negatives(spark, sf):
+    return hard_negatives.negatives(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+def op12_vector_codes(spark, sf):
+    return vector_codes.codes(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+def op13_source_mixing(spark, sf):
+    return source_mixing.mix(documents(spark, sf))
+
+
 def pipeline(spark, sf):
     import corpus_pipeline  # beside the package, at the repository's top
 
@@ -86,7 +98,8 @@ def _with_code(query):
 
 
 QUERIES = (op1_language_id, op2_packing, op3_lm_scoring, op4_pii, op5_topk_search, op6_sentencepiece,
-           op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup, pipeline)
+           op7_toxicity, op8_quality_rules, op9_jaccard_join, op10_suffix_dedup, op11_hard_negatives, op12_vector_codes,
+           op13_source_mixing, pipeline)
 
 
 def queries():
@@ -94,4 +107,5 @@ def queries():
 
 
 def oracle_sql():
-    return {"op5_topk_search": topk_search.oracle(), "op8_quality_rules": quality_rules.oracle()}
+    return {"op5_topk_search": topk_search.oracle(), "op8_quality_rules": quality_rules.oracle(),
+            "op11_hard_negatives": hard_negatives.oracle(), "op12_vector_codes": vector_codes.oracle()}
