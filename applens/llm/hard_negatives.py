@@ -210,7 +210,9 @@ def mine(table: DataFrame, is_anchor, id_column: str = "vec_id", vector: str = "
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"), F.sum(F.size("v").cast("long")).alias("all"),
                     F.count_if("asks").alias("asks")).first()
     width = size.width or 0
-    shards = max(1, -(-8 * (size["all"] or 0) // SHARD_BYTES))
+    # By size; a small table is still spread over the cores, a tile each at least.
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, -(-8 * (size["all"] or 0) // SHARD_BYTES), min(cores, size.n // TILE_ROWS))
     blocks = max(1, -(-size.asks // BLOCK_ROWS))
     candidates = rows.drop("asks")
     one = F.min(F.struct("label", "v")).alias("row")
