@@ -7,9 +7,9 @@ bigint in both.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +35,12 @@ from applens.sources import catalog as cat_src
 from applens.sources import proxies
 from applens.sources.reviews import split_records
 
-# The training-data operators are an optional part of the installation.
-if importlib.util.find_spec("applens.llm") and importlib.util.find_spec("applens.llm.registry"):
+# The training-data operators are an optional part of the installation: without them, or without
+# what they import, the other queries still work.
+try:
     from applens.llm import registry as llm_registry
-else:
+except ImportError as missing:
+    warnings.warn(f"no training-data queries: {missing}", stacklevel=1)
     llm_registry = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"

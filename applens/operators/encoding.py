@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from applens.functions.names import quoted, unused
+from applens.operators.hot_keys import hot_values, salted_keys, salted_rows
 from applens.operators.windows import with_positions
 
-SALTS = 8
-
 
 def dummy_levels(df: DataFrame, col: str) -> list:
     """Sorted distinct non-null values of a column: the names of its dummy columns.
@@ -69,22 +69,25 @@ def frequency_index(df: DataFrame, col: str, out: str = "index",
 
 
 def apply_index(df: DataFrame, index: DataFrame, col: str, out: str,
-                unseen: Column | None = None, salts: int = SALTS) -> DataFrame:
+                unseen: Column | None = None, hot: dict[str | None, int] | None = None) -> DataFrame:
     """Attach an index table to rows by value; unseen or NULL values get
     ``unseen`` (default: the number of labels, as ``handleInvalid='keep'``).
 
-    One left join on (value, salt): the rows of a value, seen or not, and the
-    NULLs, are spread over ``salts`` tasks, each of which has the
-    value's index, so no value needs to be known as frequent beforehand.
+    One left join on (value, salt). ``hot`` are the values of ``df`` with more rows than a task's
+    fair share, seen or not, NULL among them (``hot_keys.hot_values``; found by a pass over ``df`` unless
+    given): their rows are spread over salts by their count, and only their index rows are sent once a salt.
     """
     if unseen is None:
-        unseen = index.select(F.count(F.lit(1)).cast("double")).scalar()
-    idx = index.select(F.col(f"`{col}`").alias("_key"), F.col(f"`{out}`").cast("double").alias("_index"),
-                       F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt2"))
-    # The salt only routes a row: any value gives the same result.
-    salted = df.withColumn("_salt", (F.monotonically_increasing_id() % salts).cast("int"))
-    joined = salted.join(idx, (F.col(f"`{col}`") == F.col("_key")) & (F.col("_salt") == F.col("_salt2")), "left")
-    return joined.withColumn(out, F.coalesce("_index", unseen)).drop("_key", "_index", "_salt", "_salt2")
+        unseen = F.lit(float(index.count()))
+    if hot is None:
+        hot = hot_values(df, [col])[col]
+    salt, key, number, salt2 = unused(["salt", "key", "index", "salt2"], df)
+    idx = salted_keys(index.select(F.col(quoted(col)).alias(key), F.col(quoted(out)).cast("double").alias(number)), key, hot, salt2)
+    rows = salted_rows(df, col, hot, salt)
+    same = F.col(quoted(col)) == F.col(key)
+    if hot:
+        same = same & (F.col(salt) == F.col(salt2))
+    return rows.join(idx, same, "left").withColumn(out, F.coalesce(number, unseen)).drop(salt, key, number, salt2)
 
 
 def _hash8(key: Column, seed: int) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from applens.functions.names import unused
 from applens.session import ensure_checkpoint_dir
 
 
@@ -39,14 +40,15 @@ def with_positions(df: DataFrame, *order, out: str = "position") -> DataFrame:
     sizes of the partitions before it (one row per partition).
     """
     ensure_checkpoint_dir(df.sparkSession)
+    part, row, size, before = unused(["part", "row", "size", "before"], df)
     ranked = df.orderBy(*order).checkpoint(eager=True)
-    placed = ranked.withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
-    placed = placed.withColumn("_i", F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)).drop("_m")
-    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_s"))
-    offsets = sizes.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_o"))
+    in_part = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    placed = ranked.withColumns({part: F.spark_partition_id(), row: in_part})
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias(size))
+    offsets = sizes.select(part, (F.sum(size).over(Window.orderBy(part)) - F.col(size)).alias(before))
     # One row per partition: bounded by the number of partitions.
-    return (placed.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_o") + F.col("_i"))
-            .drop("_p", "_i", "_o"))
+    return (placed.join(F.broadcast(offsets), part).withColumn(out, F.col(before) + F.col(row))
+            .drop(part, row, before))
 
 
 def preview(df: DataFrame, n: int, *keys: str) -> DataFrame:

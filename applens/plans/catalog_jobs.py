@@ -15,6 +15,7 @@ from applens.operators.encoding import apply_index, fold_of, frequency_indexes,
 from applens.operators.filters import (
     complete_rows, drop_blank, drop_outliers, drop_value, xy,
 )
+from applens.operators.hot_keys import hot_values
 from applens.operators.models import (
     ALPHAS, FOLD_SEED, FOLDS, fit_l1, grid_search, lasso,
     model_features, prediction_table, r2, rating_model, recommend,
@@ -24,7 +25,7 @@ from applens.operators.profiling import (
 )
 from applens.operators.quantiles import exact_quantiles
 from applens.schemas import CLEAN, FEATURE_SLOTS
-from applens.session import ensure_checkpoint_dir
+from applens.session import ensure_checkpoint_dir, kept_table
 from applens.sources.catalog import feature_columns, type_raw
 
 DROPPED = ["Last Updated", "Current Ver", "Android Ver"]
@@ -122,16 +123,23 @@ class FeatureModel:
     def __init__(self, index: DataFrame, slots: list[str] = FEATURE_SLOTS):
         self.index = index
         self.assembler = VectorAssembler(inputCols=slots, outputCol="features", handleInvalid="error")
+        # Labels of every column: the index of values that it does not hold. One row a column.
+        self.labels = {r.column: r["count"] for r in index.groupBy("column").count().collect()}
 
     @classmethod
     def fit(cls, train: DataFrame, cols: list[str] = INDEXED) -> FeatureModel:
-        return cls(frequency_indexes(train, cols).select("column", "value", "index"))
+        index = frequency_indexes(train, cols).select("column", "value", "index")
+        return cls(kept_table(index, "feature-index", by="column"))
 
     def transform(self, clean: DataFrame) -> DataFrame:
-        """Add ``<column>Index`` for every indexed column and the ``features`` vector."""
+        """Add ``<column>Index`` for every indexed column and the ``features`` vector.
+
+        One sketch pass over the rows finds the hot values of all columns, then a join a column.
+        """
+        hot = hot_values(clean, INDEXED)
         for c in INDEXED:
             own = self.index.where(F.col("column") == c).select(F.col("value").alias(c), F.col("index").alias(c + "Index"))
-            clean = apply_index(clean, own, c, c + "Index")
+            clean = apply_index(clean, own, c, c + "Index", F.lit(float(self.labels.get(c, 0))), hot[c])
         return self.assembler.transform(clean)
 
     def save(self, path: str) -> None:

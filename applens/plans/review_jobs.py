@@ -11,7 +11,7 @@ from applens.operators.filters import keep_present
 from applens.operators.joins import keep_top_keys
 from applens.operators.profiling import describe_exact, histogram, pair_bins, profile
 from applens.operators.sentiment import score_sentiment
-from applens.session import ensure_checkpoint_dir
+from applens.session import ensure_checkpoint_dir, kept_table
 from applens.sources.reviews import split_records
 
 TOP_APPS = 23
@@ -23,10 +23,12 @@ def score_reviews(reviews: DataFrame, lexicon: DataFrame,
 
     Adds ``Polarity, Subjectivity, Sentiment``. The top-apps filter runs
     before scoring (it depends on App only), so the scorer never sees rows
-    that would be dropped.
+    that would be dropped. The rows that are left are written once: scoring reads
+    them twice, and so the records are split only for the counts of the apps and here.
     """
     if top_apps is not None:
         reviews = keep_top_keys(reviews, "App", top_apps)
+    reviews = kept_table(reviews, "reviews")
     keys = [c for c in reviews.columns if c not in ("App", "Review")]
     scored = score_sentiment(reviews, "Review", lexicon, keys=keys)
     return scored.withColumn("Sentiment", sign_label("Polarity"))

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
@@ -53,3 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="applens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def kept_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write a table as Parquet into the checkpoint folder and read it back: a plain scan that
+    survives the loss of executors, with column pruning. ``by`` names a column of few values to partition by."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    out = df.write.partitionBy(by) if by else df.write
+    out.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
