@@ -33,7 +33,8 @@ from applens.plans import catalog_jobs as cj
 from applens.plans import review_jobs as rj
 from applens.sources import catalog as cat_src
 from applens.sources import proxies
-from applens.sources.reviews import split_records
+from applens.session import fresh_folder
+from applens.sources.reviews import read_reviews, split_records
 
 # The training-data operators are an optional part of the installation: without them, or without
 # what they import, the other queries still work.
@@ -229,6 +230,37 @@ def q_review_records(spark, sf):
     return split_records(proxies.review_records(spark, sf), "record", keys=["rid"])
 
 
+def q_review_file_records(spark, sf):
+    """The chunks written as text files, '#' after each, and read back by the record scan."""
+    path = f"{fresh_folder(spark, 'review-text')}"
+    proxies.review_records(spark, sf).select("record").write.option("lineSep", "#").text(path)
+    return read_reviews(spark, path).select("App", "Review", (F.col("seq") >= 0).alias("placed"))
+
+
+def q_catalog_csv(spark, sf):
+    """The raw catalogue written as CSV with a header and read back (S1), then cleaned."""
+    path = fresh_folder(spark, "catalogue-csv")
+    raw = proxies.apps_raw(spark, sf)
+    (raw.select([F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
+     .write.option("header", True).option("escape", '"').csv(path))
+    clean, _ = cj.clean_catalog(cat_src.read_catalog(spark, path))
+    return _r6(clean, "Rating", "Size", "Price")
+
+
+def q_clean_csv(spark, sf):
+    """The cleaned table written headerless (S4) and read back (S2)."""
+    path = fresh_folder(spark, "clean-csv")
+    cat_src.write_clean(_clean(spark, sf)[0], path)
+    return _r6(cat_src.read_clean(spark, path), "Rating", "Size", "Price")
+
+
+def q_feature_csv(spark, sf):
+    """The feature lines written (S5) and every part file read back (S3)."""
+    path = fresh_folder(spark, "feature-csv")
+    cat_src.write_features(cj.build_features(_clean(spark, sf)[0])[0], path)
+    return _r6(cat_src.read_features(spark, path), "Rating", "Size", "Price")
+
+
 def q_review_field_counts(spark, sf):
     recs = split_records(proxies.review_records(spark, sf), "record", keys=["rid"],
                          with_rejected=True)
@@ -424,6 +456,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "catalog_preview": q_catalog_preview,
         "raw_preview": q_raw_preview,
         "review_records": q_review_records,
+        "review_file_records": q_review_file_records,
+        "catalog_csv": q_catalog_csv,
+        "clean_csv": q_clean_csv,
+        "feature_csv": q_feature_csv,
         "review_field_counts": q_review_field_counts,
         "top_app_reviews": q_top_app_reviews,
         "review_sentiment": q_review_sentiment,
@@ -716,6 +752,14 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT '{a}' AS a, '{b}' AS b,
   round(CASE WHEN isnan(corr("{a}", "{b}")) THEN NULL ELSE corr("{a}", "{b}") END, 6) + 0.0 AS r
 FROM apps_clean""" for a in CLEAN_NUM for b in CLEAN_NUM)
+    clean_sql = CATALOG + """
+SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
+       round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
+       "Content Rating", "Genres"
+FROM apps_clean"""
+    features_sql = """
+SELECT * REPLACE (round("Rating", 6) AS "Rating", round("Size", 6) AS "Size",
+                  round("Price", 6) AS "Price") FROM feats"""
     profile = " UNION ALL ".join(
         f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS dtype,
   count("{c}") AS non_null, count(*) - count("{c}") AS nulls FROM apps_raw"""
@@ -724,16 +768,8 @@ FROM apps_clean""" for a in CLEAN_NUM for b in CLEAN_NUM)
         f"""SELECT '{c}' AS "column", v AS value, ix AS index FROM ({_index_sql('apps_clean', c, 'x')})"""
         for c in INDEXED)
     return {
-        "clean_catalog": CATALOG + """
-SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
-       round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
-       "Content Rating", "Genres"
-FROM apps_clean""",
-        "clean_catalog_stream": CATALOG + """
-SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
-       round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
-       "Content Rating", "Genres"
-FROM apps_clean""",
+        "clean_catalog": clean_sql,
+        "clean_catalog_stream": clean_sql,
         "genre_rollup": _with(APPS_RAW, RANGED) + """
 SELECT "Genres", count(*) AS "Count",
        CAST(sum(TRY_CAST(replace(rtrim("Installs", '+'), ',', '') AS BIGINT)) AS BIGINT) AS "Installs",
@@ -842,6 +878,11 @@ FROM apps_clean ORDER BY "App" LIMIT 12""",
 SELECT * FROM ranged ORDER BY "App", "Reviews" LIMIT 12""",
         "review_records": _with(REVIEWS) + """
 SELECT rid, seq, "App", "Review" FROM reviews""",
+        "review_file_records": _with(REVIEWS) + """
+SELECT "App", "Review", true AS placed FROM reviews""",
+        "catalog_csv": clean_sql,
+        "clean_csv": clean_sql,
+        "feature_csv": _features_sql() + features_sql,
         "review_field_counts": _with(REVIEWS) + """
 SELECT CAST(len(f) AS INTEGER) AS n_fields, count(*) AS records FROM r_all GROUP BY 1""",
         "top_app_reviews": _with(REVIEWS, SCORED) + """
@@ -874,9 +915,7 @@ SELECT p_partkey,
        CAST(('0x' || substr(md5(CAST(p_partkey AS VARCHAR) || ':155'), 1, 8))::BIGINT % 10 AS INTEGER) AS fold
 FROM part""",
         "frequency_index": CATALOG + freq,
-        "build_features": _features_sql() + """
-SELECT * REPLACE (round("Rating", 6) AS "Rating", round("Size", 6) AS "Size",
-                  round("Price", 6) AS "Price") FROM feats""",
+        "build_features": _features_sql() + features_sql,
         "corr_features": _features_sql() + " UNION ALL ".join(
             f"""SELECT '{a}' AS a, '{b}' AS b,
   round(CASE WHEN isnan(corr("{a}", "{b}")) THEN NULL ELSE corr("{a}", "{b}") END, 6) + 0.0 AS r

@@ -95,8 +95,8 @@ def review_page(spark: SparkSession, text_path: str, lexicon: DataFrame, out: st
                 wholetext: bool = False, newline: str = " ") -> dict[str, str]:
     """Run the review page on extracted review text; returns the table paths.
 
-    The text is one chunk a line; ``wholetext=True`` reads each file as one chunk, for small
-    files whose records span lines. The reviews are scored once and read back for the report.
+    A file is one text of records (see ``read_reviews``), read in blocks; ``wholetext=True`` reads each file
+    as one row, for small files. The reviews are scored once and read back for the report.
     """
     month = _month(run_date)
     records = read_reviews(spark, text_path, newline=newline, wholetext=wholetext)

@@ -56,10 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder inside the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def kept_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a table as Parquet into the checkpoint folder and read it back: a plain scan that
     survives the loss of executors, with column pruning. ``by`` names a column of few values to partition by."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = fresh_folder(df.sparkSession, name)
     out = df.write.partitionBy(by) if by else df.write
     out.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from applens.operators import sentiment as sent
@@ -33,6 +34,48 @@ def test_read_reviews_wholetext(spark, tmp_dir):
         ("com.a.b", "the first review"), ("com.c.d", "und")]
 
 
+TEXTS = {
+    "lines.txt": "com.a.b @ the first\nreview#com.c.d @ und\r\nso on#\r\ncom.e @ last\n",
+    "ends.txt": "com.a.b @ x##bad#b @ c @ d#com.f @ y#",
+    "one.txt": "com.solo @ no separator at all",
+    "empty.txt": "",
+    "sep.txt": "#",
+    "words.txt": "#".join(f"com.app{i % 7} @ review {i} \u00e9\u4e2d\n of {'words ' * (i % 11)}" for i in range(300)),
+}
+
+
+@pytest.mark.parametrize("block", [None, 400])
+def test_record_scan_equals_whole_text(spark, tmp_dir, block):
+    for name, text in TEXTS.items():
+        with open(os.path.join(tmp_dir, name), "w", newline="") as f:
+            f.write(text)
+    if block:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for kind in ({}, {"newline": ""}, {"with_rejected": True}):
+            got = read_reviews(spark, tmp_dir, **kind)
+            if block:
+                assert spark.read.option("lineSep", "#").text(tmp_dir).rdd.getNumPartitions() > 15
+            plain = read_reviews(spark, tmp_dir, wholetext=True, **kind)
+            assert got.columns == plain.columns and got.schema["seq"].dataType == plain.schema["seq"].dataType
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_record_scan_is_split_by_blocks(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "big.txt"), "w") as f:
+        f.write("#".join(f"com.a{i} @ text {i}\nmore" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        got = read_reviews(spark, tmp_dir)
+        assert {(r.seq, r.App, r.Review) for r in got.collect()} == {(i, f"com.a{i}", f"text {i} more") for i in range(20_000)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_scores_are_exact_means(spark):
     lex = proxies.lexicon(spark)
     df = spark.createDataFrame([(1, "The cat and the dog"), (2, "nothing here"), (3, "OF of-of"), (4, None),
