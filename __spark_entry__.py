@@ -333,6 +333,13 @@ def q_corr_all(spark, sf):
     return _r6(prof.corr_all(feats, dummies=CORR_DUMMIES), "r")
 
 
+def q_corr_categories(spark, sf):
+    """The whole matrix: every number and a dummy for every Category of the data."""
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return _r6(prof.corr_all(feats, dummies={"Category": None}), "r")
+
+
 def _fixed_predictions(spark, sf):
     """The prediction table with a formula for a model, so that it can be checked."""
     clean, _ = _clean(spark, sf)
@@ -439,6 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_dummies": q_category_dummies,
         "category_dummies_long": q_category_dummies_long,
         "corr_all": q_corr_all,
+        "corr_categories": q_corr_categories,
         "fixed_predictions": q_fixed_predictions,
         "fixed_recommendations": q_fixed_recommendations,
         "label_feature_split": q_label_feature_split,
@@ -722,6 +730,21 @@ SELECT unnest([{first}]) AS a, unnest([{second}]) AS b,
 FROM (SELECT [{r}] AS rs FROM feats)"""
 
 
+def _corr_long_sql(numbers: list[str], column: str) -> str:
+    """Every pair of numbers and dummies, each dummy spelled out for every row."""
+    cells = " UNION ALL ".join(f"SELECT rid, '{c}' AS name, CAST(\"{c}\" AS DOUBLE) AS x FROM rowed" for c in numbers)
+    return f"""
+rowed AS (SELECT *, row_number() OVER () AS rid FROM feats),
+cells AS (
+  {cells}
+  UNION ALL
+  SELECT rid, '{column}_' || CAST(v AS VARCHAR), CASE WHEN "{column}" = v THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+  FROM rowed, (SELECT DISTINCT "{column}" AS v FROM feats))
+SELECT p.name AS a, q.name AS b,
+       round(CASE WHEN isnan(corr(p.x, q.x)) THEN NULL ELSE corr(p.x, q.x) END, 6) + 0.0 AS r
+FROM cells p JOIN cells q USING (rid) GROUP BY 1, 2"""
+
+
 FEATURE_NAMES = [*INDEXED, "Reviews", "Size", "Installs", "Price"]
 
 
@@ -815,6 +838,7 @@ SELECT "App", "Reviews", CAST(1 AS BIGINT) AS n_set, 'cat_' || "Category" AS dum
         "category_dummies_long": CATALOG + """
 SELECT "App", "Reviews", 'cat_' || "Category" AS dummy FROM apps_clean""",
         "corr_all": _features_sql() + _corr_all_sql(),
+        "corr_categories": _features_sql() + "," + _corr_long_sql(["Rating", *FEATURE_NAMES], "Category"),
         "fixed_predictions": _features_sql() + "," + FIXED_PREDICTIONS + """
 SELECT *, row_number() OVER (ORDER BY "Y-pred" DESC, "App_Label") - 1 AS position FROM shown""",
         "fixed_recommendations": _features_sql() + "," + FIXED_PREDICTIONS + """

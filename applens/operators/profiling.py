@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from applens.functions.names import quoted
 from applens.functions.numeric import nan_to_null, safe_corr
 from applens.operators.quantiles import exact_quantiles
+from applens.session import kept_table
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
@@ -35,17 +37,11 @@ def _value(df: DataFrame, c: str) -> Column:
     return nan_to_null(x)
 
 
-def approx_quantiles(x: Column, probs, accuracy: int = 100_000) -> Column:
-    """Array of approximate quantiles."""
-    return F.percentile_approx(x, F.array(*[F.lit(float(p)) for p in probs]), accuracy)
-
-
-def describe_exact(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
+def describe_exact(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 %, max per numeric column.
 
     One aggregate pass gives the moments for all columns; the quartiles come
-    from ``exact_quantiles`` (distributed, exact) or, with ``exact=False``,
-    from ``percentile_approx`` in the same pass. One output row per column:
+    from ``exact_quantiles`` (distributed, exact). One output row per column:
     ``column, count, mean, std, min, p25, p50, p75, max``.
     """
     cols = cols or numeric_columns(df)
@@ -55,23 +51,15 @@ def describe_exact(df: DataFrame, cols: list[str] | None = None, exact: bool = T
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
                  F.max(x).alias(f"hi{i}")]
-        if not exact:
-            aggs.append(approx_quantiles(x, QUARTILES).alias(f"q{i}"))
-    wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                      F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
-                     *([F.col(f"q{i}").alias("q")] if not exact else []))
+                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
             for i, c in enumerate(cols)]
-    moments = wide.select(F.inline(F.array(*rows)))
-    if exact:
-        qs = (exact_quantiles(df, cols, list(QUARTILES)).groupBy("column")
-              .agg(*[F.max(F.when(F.col("q") == i, F.col("value"))).alias(name)
-                     for i, name in enumerate(["p25", "p50", "p75"])]))
-        moments = moments.join(qs, "column", "left")
-    else:
-        moments = moments.select("*", *[F.col("q")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
-    return moments.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    moments = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    qs = (exact_quantiles(df, cols, list(QUARTILES)).groupBy("column")
+          .agg(*[F.max(F.when(F.col("q") == i, F.col("value"))).alias(name)
+                 for i, name in enumerate(["p25", "p50", "p75"])]))
+    return moments.join(qs, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -116,32 +104,85 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*pairs)))
 
 
-def corr_all(df: DataFrame, cols: list[str] | None = None, dummies: dict[str, list] | None = None,
-             dtype: str = "double") -> DataFrame:
-    """Pearson correlation of many columns at once, long form ``(a, b, r)``.
+def corr_all(df: DataFrame, cols: list[str] | None = None,
+             dummies: dict[str, list | None] | None = None) -> DataFrame:
+    """Pearson correlation of all columns and dummies, long form ``(a, b, r)``, a row for every ordered pair.
+
+    ``cols`` are numeric (by default all numeric columns). ``dummies`` maps a column of any type to
+    its levels, or to None for all its values; each level is a 0/1 column ``<column>_<level>`` of
+    the matrix, 0 for NULL. Rows with a missing number are left out; a constant column has NULL.
 
-    ``cols`` are numeric (by default all numeric columns); ``dummies`` maps a
-    column to its levels, each a 0/1 column ``<column>_<level>`` of the
-    matrix. For null-free wide input: one pass over vectors gives the whole
-    matrix, whose size is the square of the number of columns. Rows with a
-    missing number are left out; a constant column has NULL.
+    No dummy column is ever made. A level's count and its sums of the (centred) numbers give its
+    correlations with numbers; counts of levels, and of pairs of levels of different columns, those
+    among dummies. Numbers among each other take one pass over vectors. Levels stay on Spark, whatever
+    their number; only moments of ``cols`` reach the driver. The values used are written once.
     """
     cols = numeric_columns(df) if cols is None else cols
-    made = {f"{c}_{v}": F.coalesce((F.col(f"`{c}`") == F.lit(v)).cast(dtype), F.lit(0.0))
-            for c, levels in (dummies or {}).items() for v in levels}
-    values = {c: _value(df, c) for c in cols} | made
-    names = list(values)
-    plain = df.select(*[x.alias(f"_x{i}") for i, x in enumerate(values.values())]).dropna()
-    vectors = VectorAssembler(inputCols=plain.columns, outputCol="_v").transform(plain).select("_v")
-    if vectors.isEmpty():
-        matrix = [[None] * len(names) for _ in names]
-    else:
+    dummies = dummies or {}
+    xs, ds = [f"x{i}" for i in range(len(cols))], [f"d{i}" for i in range(len(dummies))]
+    plain = df.select(*[_value(df, c).alias(x) for c, x in zip(cols, xs)],
+                      *[F.col(quoted(c)).cast("string").alias(d) for c, d in zip(dummies, ds)]).dropna(subset=xs)
+    plain = kept_table(plain, "corr-values")
+    n, means, spreads, numbers = _number_matrix(plain, cols, xs)
+    if not dummies:
+        return numbers
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.col(d).alias("level")) for i, d in enumerate(ds)])
+    centred = [F.sum(F.col(x) - F.lit(m)).alias(x) for x, m in zip(xs, means)]
+    found = (plain.select(*xs, F.inline(cells)).where(F.col("level").isNotNull())
+             .groupBy("at", "level").agg(F.count(F.lit(1)).alias("n"), *centred))
+    asked = [F.struct(F.lit(i).alias("at"), F.lit(v).cast("string").alias("level"))
+             for i, levels in enumerate(dummies.values()) if levels is not None for v in levels]
+    if asked:
+        given = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*asked)))
+        free = [i for i, levels in enumerate(dummies.values()) if levels is None]
+        found = given.join(found, ["at", "level"], "left").unionByName(found.where(F.col("at").isin(free)))
+        found = found.na.fill(0)
+    label = F.concat(F.element_at(F.array(*[F.lit(c) for c in dummies]), F.col("at") + 1), F.lit("_"), F.col("level"))
+    levels = kept_table(found.withColumn("name", label), "corr-levels")
+    # A dummy's variance is p (1 - p): nothing for a level that no row or every row has.
+    var = F.col("n").cast("double") * (F.lit(float(n)) - F.col("n"))
+    per_level = levels.select("name", F.inline(F.array(*[F.struct(
+        F.lit(c).alias("number"), F.try_divide(F.col(x), F.lit(s) * F.sqrt(var)).alias("r"))
+        for c, x, s in zip(cols, xs, spreads)]))) if cols else None
+    rest = _dummy_pairs(plain, levels, ds, n)
+    if per_level is not None:
+        rest = (rest.unionByName(per_level.select(F.col("name").alias("a"), F.col("number").alias("b"), "r"))
+                .unionByName(per_level.select(F.col("number").alias("a"), F.col("name").alias("b"), "r")))
+    return numbers.unionByName(rest)
+
+
+def _number_matrix(plain: DataFrame, cols: list[str], xs: list[str]) -> tuple[int, list[float], list[float | None], DataFrame]:
+    """Rows, means, standard deviations (None where constant) and correlations of the number columns."""
+    moments = plain.agg(F.count(F.lit(1)).alias("n"), *[F.avg(x).alias(f"m_{x}") for x in xs],
+                        *[F.when(F.min(x) < F.max(x), F.stddev_pop(x)).alias(f"s_{x}") for x in xs]).first()
+    spreads = [moments[f"s_{x}"] for x in xs]
+    if moments.n and xs:
+        vectors = VectorAssembler(inputCols=xs, outputCol="_v").transform(plain.select(*xs)).select("_v")
         matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-        varies = plain.agg(*[(F.min(c) < F.max(c)).alias(c) for c in plain.columns]).first()
-        matrix = [[float(matrix[i][j]) if varies[i] and varies[j] else None
-                   for j in range(len(names))] for i in range(len(names))]
-    rows = [(a, b, matrix[i][j]) for i, a in enumerate(names) for j, b in enumerate(names)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    rows = [(a, b, float(matrix[i][j]) if spreads[i] is not None and spreads[j] is not None else None)
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    numbers = plain.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    return moments.n, [moments[f"m_{x}"] or 0.0 for x in xs], spreads, numbers
+
+
+def _dummy_pairs(plain: DataFrame, levels: DataFrame, ds: list[str], n: int) -> DataFrame:
+    """Correlations among dummies, from their counts: ``a, b, r`` for every ordered pair of levels."""
+    pairs = [F.struct(F.lit(i).alias("at"), F.col(p).alias("level"), F.lit(j).alias("at2"), F.col(q).alias("level2"))
+             for i, p in enumerate(ds) for j, q in enumerate(ds) if i != j]
+    one, two = levels.select("at", "level", "name", "n"), levels.select(
+        F.col("at").alias("at2"), F.col("level").alias("level2"), F.col("name").alias("name2"), F.col("n").alias("n2"))
+    # The result itself has a row for every pair of levels.
+    both = one.crossJoin(two)
+    same = F.when((F.col("at") == F.col("at2")) & (F.col("level") == F.col("level2")), F.col("n")).otherwise(0)
+    if pairs:
+        joint = (plain.select(F.inline(F.array(*pairs))).where("level IS NOT NULL AND level2 IS NOT NULL")
+                 .groupBy("at", "level", "at2", "level2").agg(F.count(F.lit(1)).alias("both")))
+        both = both.join(joint, ["at", "level", "at2", "level2"], "left")
+        same = F.when(F.col("at") == F.col("at2"), same).otherwise(F.coalesce("both", F.lit(0)))
+    rows = F.lit(float(n))
+    p, q = F.col("n").cast("double"), F.col("n2").cast("double")
+    r = F.try_divide(same * rows - p * q, F.sqrt(p * (rows - p)) * F.sqrt(q * (rows - q)))
+    return both.select(F.col("name").alias("a"), F.col("name2").alias("b"), r.alias("r"))
 
 
 def _widen(lo: Column, hi: Column) -> tuple[Column, Column]:

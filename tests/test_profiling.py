@@ -163,6 +163,27 @@ def test_corr_all_equals_pairwise(spark):
     assert all(r.r is None for r in prof.corr_all(df.limit(0)).collect())
 
 
+def test_corr_all_with_levels_from_the_data(spark):
+    rows = [(float(i * 7 % 13), "abcdd"[i % 5], None if i % 4 == 0 else i % 3, 2.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, s string, `k-2` int, one double").repartition(5)
+    got = {(r.a, r.b): r.r for r in prof.corr_all(df, ["x", "one"], {"s": None, "k-2": [0, 1, 7]}).collect()}
+    wide = pd.DataFrame(rows, columns=["x", "s", "k-2", "one"])
+    made = wide[["x", "one"]].assign(**{f"s_{v}": wide.s == v for v in "abcd"},
+                                     **{f"k-2_{v}": wide["k-2"] == v for v in (0, 1, 7)}).astype(float)
+    want = made.corr()
+    assert len(got) == made.shape[1] ** 2
+    for (a, b), r in got.items():
+        w = want.loc[a, b]
+        assert (r is None) == math.isnan(w) and (r is None or math.isclose(r, w, abs_tol=1e-12)), (a, b, r, w)
+
+
+def test_corr_all_of_dummies_alone_or_of_nothing(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "s string")
+    got = {(r.a, r.b): r.r for r in prof.corr_all(df, [], {"s": None}).collect()}
+    assert math.isclose(got["s_a", "s_a"], 1.0) and math.isclose(got["s_a", "s_b"], -0.5) and len(got) == 4
+    assert prof.corr_all(df.limit(0), [], {"s": None}).collect() == []
+
+
 def test_kde_constant_group_is_null_not_error(spark):
     df = spark.createDataFrame([("a", 0.0), ("a", 0.0), ("b", 1.0), ("b", 3.0)], "g string, x double")
     rows = prof.kde(df, "x", 20, by="g").collect()
