@@ -184,6 +184,37 @@ def test_corr_all_of_dummies_alone_or_of_nothing(spark):
     assert prof.corr_all(df.limit(0), [], {"s": None}).collect() == []
 
 
+def direct_density(vals, xs, bw):
+    return np.exp(-0.5 * ((xs[:, None] - vals[None, :]) / bw) ** 2).sum(1) / (len(vals) * bw * math.sqrt(2 * math.pi))
+
+
+def test_kde_by_group_within_its_bound(spark):
+    r = np.random.default_rng(4)
+    groups = {"hot": r.normal(0, 1, 4000), "far": np.r_[r.normal(0, 1, 300), 1e4, -3e5], "few": np.array([1.0, 2.0, 2.0]),
+              "one": np.array([5.0]), "two": r.exponential(3.0, 500)}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("few", None), ("two", float("nan")), (None, 1.0)]
+    out = prof.kde(spark.createDataFrame(rows, "`the group` string, x double").repartition(6), "x", 200, by="the group").collect()
+    assert len(out) == 5 * 200
+    for g, vals in groups.items():
+        own = sorted((p.point, p.x, p.density) for p in out if p["the group"] == g)
+        assert [p for p, _, _ in own] == list(range(200))
+        if g == "one":
+            assert all(d is None for _, _, d in own)
+            continue
+        bw = vals.std(ddof=1) * len(vals) ** -0.2
+        xs, ys = np.array([x for _, x, _ in own]), np.array([d for _, _, d in own])
+        assert np.abs(ys - direct_density(vals, xs, bw)).max() < 2e-12 / bw
+
+
+def test_kde_spreads_bins_not_values(spark):
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003 / 200_003.0).alias("x"))
+    plan = prof.kde(df, "x")
+    plan.collect()
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    # The only rows that are multiplied are the grid's points and the bins (about four a bandwidth).
+    assert text.count("Generate explode") == 2 and "Aggregate [x#" not in text
+
+
 def test_kde_constant_group_is_null_not_error(spark):
     df = spark.createDataFrame([("a", 0.0), ("a", 0.0), ("b", 1.0), ("b", 3.0)], "g string, x double")
     rows = prof.kde(df, "x", 20, by="g").collect()
