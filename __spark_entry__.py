@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from applens import functions as fn
 from applens.operators import aggregates as agg
+from applens.operators import boosting
 from applens.operators import encoding as enc
 from applens.operators import filters as flt
 from applens.operators import joins as jn
@@ -33,7 +34,7 @@ from applens.plans import catalog_jobs as cj
 from applens.plans import review_jobs as rj
 from applens.sources import catalog as cat_src
 from applens.sources import proxies
-from applens.session import fresh_folder
+from applens.session import fresh_folder, kept_table
 from applens.sources.reviews import read_reviews, split_records
 
 # The training-data operators are an optional part of the installation: without them, or without
@@ -418,6 +419,33 @@ def q_lasso_cv(spark, sf):
     return out["tuned_r2"].select(F.lit(out["best_alpha"]).alias("best_alpha"), "r2")
 
 
+def q_lasso_grid(spark, sf):
+    """Held-out R^2 of every penalty and fold (model output: rows-only, tested against brute force)."""
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return _r6(cj.tune_lasso(feats)["grid"], "r2")
+
+
+def q_regularised_recommendations(spark, sf):
+    """Top 5 apps per category by the regularised booster, ten trees (model output: rows-only)."""
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    return cj.rate_and_recommend(feats, tune=False, regularised=boosting.Settings(trees=10, rate=0.3))["recommendations"]
+
+
+STUMP_NUMBERS = ["Type", "Installs", "Price", "Size"]
+STUMP = boosting.Settings(trees=1, depth=1, rate=1.0, l1=1.0, base=3.0)
+
+
+def q_boosted_split(spark, sf):
+    """The best regularised split of the whole feature table: each side's prediction and rows."""
+    clean, _ = _clean(spark, sf)
+    feats, _ = cj.build_features(clean)
+    feats = kept_table(feats, "features")
+    model = boosting.fit(feats, STUMP_NUMBERS, "Category", "Rating", "App_Label", STUMP)
+    return _r6(model.predict(feats).groupBy("prediction").agg(F.count(F.lit(1)).alias("rows")), "prediction")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top 20 genres by app count, with installs and mean rating."""
     return q_genre_rollup(spark, SMOKE_DIR)
@@ -486,6 +514,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orders_by_month": q_orders_by_month,
         "recommendations": q_recommendations,
         "lasso_cv": q_lasso_cv,
+        "lasso_grid": q_lasso_grid,
+        "regularised_recommendations": q_regularised_recommendations,
+        "boosted_split": q_boosted_split,
     } | (llm_registry.queries() if llm_registry else {})
 
 
@@ -770,6 +801,31 @@ SELECT "{hue}", x_col, y_col, bx, "by", count(*) AS count FROM cells
 WHERE bx IS NOT NULL AND "by" IS NOT NULL GROUP BY ALL"""
 
 
+def _boosted_split_sql() -> str:
+    """Every split of every feature with l1 = l2 = 1, base 3 and 1.0 as missing; the best one's two sides."""
+    numbers = " UNION ALL ".join(
+        f"""SELECT {i} AS f, CASE WHEN "{c}" <> 1 THEN "{c}" END AS v, 3.0 - "Rating" AS g FROM feats"""
+        for i, c in enumerate(STUMP_NUMBERS))
+    soft = "(sign({0}) * greatest(abs({0}) - 1.0, 0.0))"
+    score = lambda g, h: f"(pow({soft.format(g)}, 2) / ({h} + 1.0))"
+    return f""",
+cells AS (SELECT f, v, sum(g) AS g, count(*) AS h FROM ({numbers}) GROUP BY f, v),
+gone AS (SELECT f, g, h FROM cells WHERE v IS NULL),
+sums AS (SELECT f, v, sum(g) OVER w AS g, sum(h) OVER w AS h FROM cells WHERE v IS NOT NULL WINDOW w AS (PARTITION BY f ORDER BY v)),
+sides AS (
+  SELECT f, v, 0 AS side, g, h FROM sums
+  UNION ALL SELECT f, v, 1, sums.g + gone.g, sums.h + gone.h FROM sums JOIN gone USING (f)
+  UNION ALL SELECT f, -1e300, 1, g, h FROM gone
+  UNION ALL SELECT {len(STUMP_NUMBERS)}, "Category", 0, t.g - sum(3.0 - "Rating"), t.h - count(*) FROM feats, (SELECT sum(3.0 - "Rating") AS g, count(*) AS h FROM feats) t
+            GROUP BY "Category", t.g, t.h),
+total AS (SELECT sum(3.0 - "Rating") AS tg, count(*) AS th FROM feats),
+best AS (
+  SELECT g, h, tg - g AS rg, th - h AS rh FROM sides, total WHERE h >= 1 AND th - h >= 1
+  ORDER BY {score("g", "h")} + {score("(tg - g)", "(th - h)")} DESC LIMIT 1)
+SELECT round(3.0 - {soft.format("g")} / (h + 1.0), 6) AS prediction, CAST(h AS BIGINT) AS rows FROM best
+UNION ALL SELECT round(3.0 - {soft.format("rg")} / (rh + 1.0), 6), CAST(rh AS BIGINT) FROM best"""
+
+
 def oracle_sql() -> dict[str, str]:
     corr = " UNION ALL ".join(
         f"""SELECT '{a}' AS a, '{b}' AS b,
@@ -839,6 +895,7 @@ SELECT "App", "Reviews", CAST(1 AS BIGINT) AS n_set, 'cat_' || "Category" AS dum
 SELECT "App", "Reviews", 'cat_' || "Category" AS dummy FROM apps_clean""",
         "corr_all": _features_sql() + _corr_all_sql(),
         "corr_categories": _features_sql() + "," + _corr_long_sql(["Rating", *FEATURE_NAMES], "Category"),
+        "boosted_split": _features_sql() + _boosted_split_sql(),
         "fixed_predictions": _features_sql() + "," + FIXED_PREDICTIONS + """
 SELECT *, row_number() OVER (ORDER BY "Y-pred" DESC, "App_Label") - 1 AS position FROM shown""",
         "fixed_recommendations": _features_sql() + "," + FIXED_PREDICTIONS + """

@@ -16,9 +16,9 @@ from applens.operators.filters import (
     complete_rows, drop_blank, drop_outliers, drop_value, xy,
 )
 from applens.operators.hot_keys import hot_values
+from applens.operators import boosting, lasso
 from applens.operators.models import (
-    ALPHAS, FOLD_SEED, FOLDS, fit_l1, grid_search, lasso,
-    model_features, prediction_table, r2, rating_model, recommend,
+    ALPHAS, FOLD_SEED, FOLDS, model_features, prediction_table, r2, rating_model, recommend,
 )
 from applens.operators.profiling import (
     corr_matrix, describe_exact, kde, numeric_columns, pair_grid, profile,
@@ -227,47 +227,51 @@ def _model_input(features13: DataFrame, test_fraction: float, seed: int):
 
 
 def tune_lasso(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
-               parallelism: int | None = None, assembled: DataFrame | None = None,
-               label: str = "Rating") -> dict:
+               alphas: list[float] = ALPHAS) -> dict:
     """Cross-validated L1 penalty (10 hash folds, R^2), refit, held-out scores.
 
-    Returns ``best_alpha``, ``tuned_predictions`` and ``tuned_r2``.
+    Two passes over the training rows serve the whole grid (see ``operators.lasso``). Returns
+    ``best_alpha``, ``grid`` (alpha, fold, r2), ``tuned_predictions`` and ``tuned_r2``.
     """
-    if assembled is None:
-        assembled, label = _model_input(features13, test_fraction, seed)
-    train = assembled.where(~F.col("_test"))
-    test = assembled.where(F.col("_test"))
-    # Concurrent fits per fold: the whole grid when the cluster has room.
-    if parallelism is None:
-        parallelism = max(1, min(len(ALPHAS), features13.sparkSession.sparkContext.defaultParallelism))
-    est = lasso(label=label)
-    cvm = grid_search(train, est, ALPHAS, est.regParam, "fold", label=label,
-                      parallelism=parallelism)
-    best = cvm.bestModel.getOrDefault("regParam")
-    tuned = fit_l1(train, best, label=label).transform(test)
-    return {"best_alpha": best, "tuned_predictions": prediction_table(tuned),
-            "tuned_r2": r2(tuned, label, "prediction")}
+    numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT)
+    held = is_held_out(F.col("App_Label"), test_fraction, seed)
+    train = features13.where(~held).withColumn("fold", fold_of(F.col("App_Label"), FOLDS, FOLD_SEED))
+    grid = lasso.LassoGrid(train, numeric, "Category", label, "fold")
+    scores = grid.scores(alphas)
+    alpha = lasso.best(scores)
+    tuned = grid.predict(features13.where(held), grid.fit(alpha))
+    return {"best_alpha": alpha, "grid": features13.sparkSession.createDataFrame(scores, "alpha double, fold int, r2 double"),
+            "tuned_predictions": prediction_table(tuned), "tuned_r2": r2(tuned, label, "prediction")}
 
 
 def rate_and_recommend(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42,
                        tune: bool = True, gbt_iter: int = 100, n: int = 5,
-                       parallelism: int | None = None) -> dict:
+                       regularised: boosting.Settings | None = None) -> dict:
     """Train the rating models on the feature table and recommend per category.
 
     The boosted model (the one whose scores are shown and recommended) is
-    trained on the same assembled input as the tuned lasso (``tune=True``,
+    trained on the same rows as the tuned lasso (``tune=True``,
     see ``tune_lasso``); the lasso's results are returned alongside, as in
     the application they never feed the recommendations. Returns
     predictions, recommendations and the held-out R^2 (plus the lasso's
-    ``best_alpha``, ``tuned_predictions`` and ``tuned_r2``).
+    ``best_alpha``, ``grid``, ``tuned_predictions`` and ``tuned_r2``).
+
+    With ``regularised`` settings the shown model is ``operators.boosting``: leaf penalties, base
+    score, column sampling and sides for missing values as the application's library has them, at the
+    cost of a Spark job for every level of a tree.
     """
-    assembled, label = _model_input(features13, test_fraction, seed)
     out: dict = {}
     if tune:
-        out.update(tune_lasso(features13, parallelism=parallelism, assembled=assembled, label=label))
-    train = assembled.where(~F.col("_test"))
-    test = assembled.where(F.col("_test"))
-    shown = rating_model(label=label, max_iter=gbt_iter).fit(train).transform(test)
+        out.update(tune_lasso(features13, test_fraction, seed))
+    if regularised:
+        numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT)
+        held = is_held_out(F.col("App_Label"), test_fraction, seed)
+        model = boosting.fit(features13.where(~held), numeric, "Category", label, "App_Label", regularised)
+        shown = model.predict(features13.where(held))
+    else:
+        assembled, label = _model_input(features13, test_fraction, seed)
+        model = rating_model(label=label, max_iter=gbt_iter).fit(assembled.where(~F.col("_test")))
+        shown = model.transform(assembled.where(F.col("_test")))
     out["r2"] = r2(shown, label, "prediction")
     out["predictions"] = prediction_table(shown)
     out["recommendations"] = recommend(out["predictions"], n)
