@@ -29,6 +29,7 @@ from applens.operators import joins as jn
 from applens.operators import models
 from applens.operators import profiling as prof
 from applens.operators.quantiles import exact_quantiles
+from applens.operators.sentiment import score_sentiment
 from applens.operators import windows as win
 from applens.plans import catalog_jobs as cj
 from applens.plans import review_jobs as rj
@@ -277,6 +278,12 @@ def q_review_sentiment(spark, sf):
     return _r6(_scored(spark, sf), "Polarity", "Subjectivity")
 
 
+def q_modified_sentiment(spark, sf):
+    """Every turn scored with negations and intensifiers in front of the scored words."""
+    scored = score_sentiment(proxies.modified_reviews(spark, sf), "Review", proxies.modifier_lexicon(spark), keys=["rid"])
+    return _r6(scored.select("rid", "Polarity", "Subjectivity"), "Polarity", "Subjectivity")
+
+
 def q_reviews_preview(spark, sf):
     return _r6(win.preview(_scored(spark, sf), 10, "rid", "seq"), "Polarity", "Subjectivity")
 
@@ -499,6 +506,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "review_field_counts": q_review_field_counts,
         "top_app_reviews": q_top_app_reviews,
         "review_sentiment": q_review_sentiment,
+        "modified_sentiment": q_modified_sentiment,
         "reviews_preview": q_reviews_preview,
         "polarity_by_app": q_polarity_by_app,
         "sentiment_shares": q_sentiment_shares,
@@ -645,6 +653,39 @@ scored AS (
 SCORED_ALL = _with(REVIEWS, SCORED)
 
 
+# The tokens walked one by one, with the modifiers in force and how many more words they hold over.
+MODIFIED = """
+WITH RECURSIVE lex(word, polarity, subjectivity, modifier) AS (VALUES
+  ('the', 0.5::DECIMAL(20,10), 0.4::DECIMAL(20,10), NULL::DECIMAL(20,10)), ('and', -0.25, 0.8, NULL), ('of', -0.6, 0.1, NULL),
+  ('la', 0.3, 0.9, NULL), ('le', -0.3, 0.2, NULL), ('der', 0.7, 0.5, NULL), ('und', -0.45, 0.6, NULL),
+  ('not', NULL, NULL, -0.5), ('very', NULL, NULL, 1.3)),
+src AS (
+  SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS rid, lower(text) AS t, conv_id % 3 AS m FROM conversations),
+planted AS (
+  SELECT rid, replace(replace(t, ' the ', CASE m WHEN 0 THEN ' not the ' WHEN 1 THEN ' very the ' ELSE ' not very the ' END),
+                      ' la ', CASE m WHEN 0 THEN ' not la ' WHEN 1 THEN ' very la ' ELSE ' very odd la ' END) AS t FROM src),
+toks AS (SELECT rid, list_filter(string_split_regex(t, '[^a-z]+'), lambda w: w <> '') AS w FROM planted),
+walk AS (
+  SELECT rid, 0 AS i, 0::DECIMAL(20,10) AS p, 0::DECIMAL(20,10) AS s, 0 AS n,
+         1::DECIMAL(20,10) AS turn, 1::DECIMAL(20,10) AS strength, 0 AS room FROM toks
+  UNION ALL
+  SELECT k.rid, k.i + 1,
+    CAST(k.p + CASE WHEN lex.polarity IS NOT NULL THEN greatest(-1::DECIMAL(20,10), least(1::DECIMAL(20,10),
+           CAST(CAST(lex.polarity AS DECIMAL(18,8)) * CAST(k.turn AS DECIMAL(18,8)) AS DECIMAL(20,10)))) ELSE 0 END AS DECIMAL(20,10)),
+    CAST(k.s + CASE WHEN lex.polarity IS NOT NULL THEN greatest(0::DECIMAL(20,10), least(1::DECIMAL(20,10),
+           CAST(CAST(lex.subjectivity AS DECIMAL(18,8)) * CAST(k.strength AS DECIMAL(18,8)) AS DECIMAL(20,10)))) ELSE 0 END AS DECIMAL(20,10)),
+    k.n + CASE WHEN lex.polarity IS NOT NULL THEN 1 ELSE 0 END,
+    CASE WHEN lex.modifier IS NOT NULL THEN CAST(CAST(k.turn AS DECIMAL(18,8)) * CAST(lex.modifier AS DECIMAL(18,8)) AS DECIMAL(20,10))
+         WHEN lex.polarity IS NULL AND k.room > 0 THEN k.turn ELSE 1::DECIMAL(20,10) END,
+    CASE WHEN lex.modifier > 0 THEN CAST(CAST(k.strength AS DECIMAL(18,8)) * CAST(lex.modifier AS DECIMAL(18,8)) AS DECIMAL(20,10))
+         WHEN lex.modifier IS NOT NULL OR (lex.polarity IS NULL AND k.room > 0) THEN k.strength ELSE 1::DECIMAL(20,10) END,
+    CASE WHEN lex.modifier IS NOT NULL THEN 1 WHEN lex.polarity IS NULL AND k.room > 0 THEN k.room - 1 ELSE 0 END
+  FROM walk k JOIN toks ON toks.rid = k.rid AND k.i < len(toks.w) LEFT JOIN lex ON lex.word = toks.w[k.i + 1])
+SELECT rid, round(coalesce(CAST(p AS DOUBLE) / nullif(n, 0), 0.0), 6) + 0.0 AS "Polarity",
+       round(coalesce(CAST(s AS DOUBLE) / nullif(n, 0), 0.0), 6) + 0.0 AS "Subjectivity"
+FROM walk JOIN toks USING (rid) WHERE i = len(w)"""
+
+
 def _hist_sql(source: str, x: str, bins: int) -> str:
     return f"""
 v AS (SELECT CAST({x} AS DOUBLE) AS x FROM {source} WHERE {x} IS NOT NULL AND NOT isnan(CAST({x} AS DOUBLE))),
@@ -971,6 +1012,7 @@ SELECT rid, seq, "App", "Review" FROM kept""",
         "review_sentiment": SCORED_ALL + """
 SELECT rid, seq, "App", "Review", round("Polarity", 6) + 0.0 AS "Polarity",
        round("Subjectivity", 6) + 0.0 AS "Subjectivity", "Sentiment" FROM scored""",
+        "modified_sentiment": MODIFIED,
         "reviews_preview": SCORED_ALL + """
 SELECT rid, seq, "App", "Review", round("Polarity", 6) + 0.0 AS "Polarity",
        round("Subjectivity", 6) + 0.0 AS "Subjectivity", "Sentiment"

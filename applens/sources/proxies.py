@@ -93,6 +93,27 @@ LEXICON_ROWS = [
 ]
 
 
+# Words of the stand-in lexicon that modify the next one.
+MODIFIER_ROWS = [("not", -0.5), ("very", 1.3)]
+
+
+def modified_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns as reviews, ``rid, Review``, with a modifier planted before every 'the' and 'la': 'not' where
+    ``conv_id % 3`` is 0, 'very' where it is 1, 'not very' or 'very odd' (a word between) where it is 2."""
+    c = _table(spark, sf_dir, "conversations")
+    third = F.col("conv_id") % 3
+    planted = lambda word: (F.when(third == 0, f" not {word} ").when(third == 1, f" very {word} ")
+                            .otherwise(f" not very {word} " if word == "the" else f" very odd {word} "))
+    text = F.replace(F.replace(F.lower("text"), F.lit(" the "), planted("the")), F.lit(" la "), planted("la"))
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("rid"), text.alias("Review"))
+
+
+def modifier_lexicon(spark: SparkSession) -> DataFrame:
+    """The stand-in lexicon with modifiers: ``(word, polarity, subjectivity, modifier)``."""
+    rows = [(w, p, s, None) for w, p, s in LEXICON_ROWS] + [(w, None, None, m) for w, m in MODIFIER_ROWS]
+    return spark.createDataFrame(rows, "word string, polarity double, subjectivity double, modifier double")
+
+
 def lexicon(spark: SparkSession) -> DataFrame:
     """The stand-in lexicon as a table ``(word, polarity, subjectivity)``."""
     return spark.createDataFrame(LEXICON_ROWS, LEXICON)

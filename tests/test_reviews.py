@@ -88,6 +88,34 @@ def test_scores_are_exact_means(spark):
         assert a[6][0] == -1.3 / 14
 
 
+def modified(spark, texts, rows, **kind):
+    lex = spark.createDataFrame(rows, "word string, polarity double, subjectivity double, modifier double")
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    return [(r.Polarity, r.Subjectivity) for r in sent.score_sentiment(df, "t", lex, keys=["k"], **kind).orderBy("k").collect()]
+
+
+LEX = [("good", 0.6, 0.5, None), ("awful", -0.9, 0.9, None), ("not", None, None, -0.5), ("very", None, None, 1.3), ("slightly", None, None, 0.5)]
+
+
+def test_modifiers_change_the_next_scored_word(spark):
+    got = modified(spark, ["good", "not good", "VERY good!", "not very good", "very very awful", "not a good", "not at all good",
+                           "very. Good good", "slightly good not", "not very", None, "", "not not good", "not awful and good"], LEX)
+    want = [(0.6, 0.5), (-0.3, 0.5), (0.78, 0.65), (-0.39, 0.65), (-1.0, 1.0), (-0.3, 0.5), (0.6, 0.5),
+            (1.38 / 2, 1.15 / 2), (0.3, 0.25), (0.0, 0.0), (0.0, 0.0), (0.0, 0.0), (0.15, 0.5), (1.05 / 2, 1.4 / 2)]
+    assert [tuple(round(v, 10) for v in r) for r in got] == [tuple(round(v, 10) for v in r) for r in want]
+    assert modified(spark, ["not at all good", "not a good"], LEX, reach=2)[0][0] == -0.3
+    assert modified(spark, ["not a good"], LEX, reach=0)[0][0] == 0.6
+
+
+def test_without_modifiers_the_scan_equals_the_sums(spark):
+    recs = split_records(proxies.review_records(spark, SF_SMALL), "record", keys=["rid"])
+    lex = proxies.lexicon(spark)
+    plain = sent.score_sentiment(recs, "Review", lex, keys=["rid", "seq"])
+    scan = sent.score_sentiment(recs, "Review", lex.withColumn("modifier", F.lit(None).cast("double")), keys=["rid", "seq"])
+    key = lambda df: sorted((r.rid, r.seq, r.Polarity, r.Subjectivity) for r in df.collect())
+    assert key(plain) == key(scan)
+
+
 def test_labels_do_not_depend_on_the_lexicon_size(spark):
     import time
 
