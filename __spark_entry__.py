@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from applens import functions as fn
@@ -217,6 +219,12 @@ def q_sorted_by_rating(spark, sf):
     return _r6(placed, "Rating")
 
 
+def q_first_by_rating(spark, sf):
+    """The head of the table sorted by rating, ties by name."""
+    clean, _ = _clean(spark, sf)
+    return _r6(win.sort_desc(clean.select("App", "Rating"), "Rating", "App").limit(25), "Rating")
+
+
 def q_catalog_preview(spark, sf):
     clean, _ = _clean(spark, sf)
     return _r6(win.preview(clean, 12, "App"), "Rating", "Size", "Price")
@@ -311,6 +319,33 @@ def q_split_and_folds(spark, sf):
                        enc.fold_of(k, 10, 155).alias("fold"))
 
 
+def q_exact_split(spark, sf):
+    """Exactly a fifth of the line items, many to an order, held out by order key."""
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    return enc.exact_split(items, F.col("l_orderkey"), 0.2, 42).groupBy("l_orderkey", "held_out").agg(F.count(F.lit(1)).alias("items"))
+
+
+def q_exact_split_size(spark, sf):
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    return enc.exact_split(items, F.col("l_orderkey"), 0.2, 42).groupBy("held_out").agg(F.count(F.lit(1)).alias("items"))
+
+
+def q_category_vectors(spark, sf):
+    """The dummies as one sparse vector a row, added up slot by slot; every row has one slot set."""
+    clean, _ = _clean(spark, sf)
+    index = kept_table(enc.frequency_index(clean, "Category"), "category-index")
+    wide = enc.dummy_vectors(clean.select("App", "Reviews", "Category"), index, "Category", "dummies")
+    totals = wide.select(Summarizer.metrics("sum", "count").summary(F.col("dummies")).alias("s")).select(
+        F.col("s.count").alias("rows"), F.posexplode(vector_to_array("s.sum")).alias("index", "set"))
+    return totals.join(index, "index").select(F.concat(F.lit("cat_"), F.col("Category")).alias("dummy"),
+                                              F.col("set").cast("bigint").alias("set"), "rows")
+
+
+def q_scatter_points(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    return _r6(prof.scatter_sample(part, "p_size", "p_retailprice", "p_partkey", hue="p_type", k=3), "x", "y")
+
+
 def q_frequency_index(spark, sf):
     clean, _ = _clean(spark, sf)
     return enc.frequency_indexes(clean, cj.INDEXED).select("column", "value", "index")
@@ -496,6 +531,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "catalog_pair_grid": q_catalog_pair_grid,
         "top_rated_per_category": q_top_rated_per_category,
         "sorted_by_rating": q_sorted_by_rating,
+        "first_by_rating": q_first_by_rating,
         "catalog_preview": q_catalog_preview,
         "raw_preview": q_raw_preview,
         "review_records": q_review_records,
@@ -513,6 +549,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "subjectivity_histogram": q_subjectivity_histogram,
         "sentiment_scatter": q_sentiment_scatter,
         "split_and_folds": q_split_and_folds,
+        "exact_split": q_exact_split,
+        "exact_split_size": q_exact_split_size,
+        "category_vectors": q_category_vectors,
+        "scatter_points": q_scatter_points,
         "frequency_index": q_frequency_index,
         "build_features": q_build_features,
         "baseline_r2": q_baseline_r2,
@@ -686,6 +726,12 @@ SELECT rid, round(coalesce(CAST(p AS DOUBLE) / nullif(n, 0), 0.0), 6) + 0.0 AS "
 FROM walk JOIN toks USING (rid) WHERE i = len(w)"""
 
 
+# Only how many items of an order are held out is settled by the key: an order's items share its hash.
+EXACT_SPLIT = """
+SELECT l_orderkey, row_number() OVER (ORDER BY md5(CAST(l_orderkey AS VARCHAR) || ':42'), l_linenumber)
+                   <= (SELECT ceil(0.2 * count(*)) FROM lineitem) AS held_out FROM lineitem"""
+
+
 def _hist_sql(source: str, x: str, bins: int) -> str:
     return f"""
 v AS (SELECT CAST({x} AS DOUBLE) AS x FROM {source} WHERE {x} IS NOT NULL AND NOT isnan(CAST({x} AS DOUBLE))),
@@ -991,6 +1037,8 @@ SELECT "Category", "App", round("Rating", 6) AS "Rating" FROM (
         "sorted_by_rating": CATALOG + """
 SELECT "App", round("Rating", 6) AS "Rating",
        row_number() OVER (ORDER BY "Rating" DESC NULLS LAST, "App") - 1 AS position FROM apps_clean""",
+        "first_by_rating": CATALOG + """
+SELECT "App", round("Rating", 6) AS "Rating" FROM apps_clean ORDER BY "Rating" DESC NULLS LAST, "App" LIMIT 25""",
         "catalog_preview": CATALOG + """
 SELECT "App", "Category", round("Rating", 6) AS "Rating", "Reviews",
        round("Size", 6) AS "Size", "Installs", "Type", round("Price", 6) AS "Price",
@@ -1037,6 +1085,19 @@ SELECT p_partkey,
        substr(md5(CAST(p_partkey AS VARCHAR) || ':42'), 1, 8) < '33333333' AS is_test,
        CAST(('0x' || substr(md5(CAST(p_partkey AS VARCHAR) || ':155'), 1, 8))::BIGINT % 10 AS INTEGER) AS fold
 FROM part""",
+        "exact_split": "SELECT l_orderkey, held_out, count(*) AS items FROM (" + EXACT_SPLIT + ") GROUP BY ALL",
+        "exact_split_size": "SELECT held_out, count(*) AS items FROM (" + EXACT_SPLIT + ") GROUP BY ALL",
+        "category_vectors": CATALOG + """
+SELECT 'cat_' || "Category" AS dummy, count(*) AS "set", (SELECT count(*) FROM apps_clean) AS rows
+FROM apps_clean GROUP BY "Category" """,
+        "scatter_points": """
+WITH v AS (SELECT p_type, p_partkey, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y
+           FROM part WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL),""" +
+        _range_sql("sx", "x", "v") + "," + _range_sql("sy", "y", "v") + """,
+c AS (SELECT p_type, p_partkey, x, y, least(CAST(floor(20 * (x - sx.lo) / (sx.hi - sx.lo)) AS BIGINT) + 1, 20) AS bx,
+             least(CAST(floor(20 * (y - sy.lo) / (sy.hi - sy.lo)) AS BIGINT) + 1, 20) AS "by" FROM v, sx, sy)
+SELECT p_type, bx, "by", p_partkey, round(x, 6) AS x, round(y, 6) AS y FROM c
+QUALIFY row_number() OVER (PARTITION BY p_type, bx, "by" ORDER BY md5(CAST(p_partkey AS VARCHAR) || ':0'), x, y) <= 3""",
         "frequency_index": CATALOG + freq,
         "build_features": _features_sql() + features_sql,
         "corr_features": _features_sql() + " UNION ALL ".join(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,16 +12,20 @@ from applens.functions.names import quoted, unused
 from applens.operators.hot_keys import hot_values, salted_keys, salted_rows
 from applens.operators.windows import with_positions
 
+MOST_LEVELS = 10_000
+
 
-def dummy_levels(df: DataFrame, col: str) -> list:
+def dummy_levels(df: DataFrame, col: str, most: int = MOST_LEVELS) -> list:
     """Sorted distinct non-null values of a column: the names of its dummy columns.
 
-    For columns of few levels, as a wide table needs them on the driver; the
-    long form (``dummies_long``) takes any number.
+    A wide table needs them on the driver, so more than ``most`` levels are an error; the
+    vector (``dummy_vectors``) and the long form (``dummies_long``) take any number.
     """
-    rows = (df.where(F.col(f"`{col}`").isNotNull()).select(F.col(f"`{col}`").alias("v"))
-            .distinct().orderBy("v").collect())
-    return [r.v for r in rows]
+    rows = (df.where(F.col(quoted(col)).isNotNull()).select(F.col(quoted(col)).alias("v"))
+            .distinct().limit(most + 1).collect())
+    if len(rows) > most:
+        raise ValueError(f"{col} has more than {most} levels: use dummy_vectors or dummies_long")
+    return sorted(r.v for r in rows)
 
 
 def with_dummies(df: DataFrame, col: str, prefix: str = "cat",
@@ -41,6 +48,21 @@ def dummies_long(df: DataFrame, keys: list[str], col: str, prefix: str = "cat")
         *[F.col(f"`{k}`") for k in keys], F.concat(F.lit(f"{prefix}_"), c.cast("string")).alias("dummy"))
 
 
+def dummy_vectors(df: DataFrame, index: DataFrame, col: str, out: str) -> DataFrame:
+    """Add all dummy columns of a column as one sparse vector ``out``: slot ``index`` of the row's value is 1.
+
+    ``index`` is a fitted, stored index table ``(col, index)`` (see ``frequency_index``), which names the slots. A NULL or a
+    value it does not hold has no slot set. No level reaches the driver, only their number.
+    """
+    place, = unused(["place"], df)
+    n = index.count()
+    indexed = apply_index(df, index.select(col, F.col("index").alias(place)), col, place, F.lit(float(n)))
+    # One more category than levels, the last of which is dropped: the vector of rows without a level is empty.
+    last = df.sparkSession.range(0, 1, 1, 1).select(F.lit(float(n)).alias(place))
+    encoder = OneHotEncoder(inputCols=[place], outputCols=[out], dropLast=True).fit(last)
+    return encoder.transform(indexed).drop(place)
+
+
 def frequency_indexes(df: DataFrame, cols: list[str]) -> DataFrame:
     """Index the distinct non-null values of several columns by descending frequency, ties by value.
 
@@ -104,6 +126,58 @@ def is_held_out(key: Column, fraction: float = 0.2, seed: int = 42) -> Column:
     return _hash8(key, seed) < F.lit(split_threshold(fraction))
 
 
+DIGITS, MD5_DIGITS = 4, 32
+
+
+def _threshold(df: DataFrame, digest: Column, need: int) -> tuple[str, int, bool]:
+    """The prefix of the hex digests that the row of rank ``need`` (from 1) has, how many rows with that prefix belong
+    to the first ``need``, and whether these are all of them. A pass adds DIGITS digits."""
+    prefix, rows = "", 0
+    while len(prefix) < MD5_DIGITS:
+        digits = F.substring(digest, len(prefix) + 1, DIGITS).alias("digits")
+        counts = df.where(digest.startswith(prefix)).groupBy(digits).agg(F.count(F.lit(1)).alias("n")).collect()
+        for digit, rows in sorted(map(tuple, counts)):
+            if need <= rows:
+                prefix += digit
+                break
+            need -= rows
+        if need == rows:
+            return prefix, need, True
+    return prefix, need, False
+
+
+def exact_split(df: DataFrame, key: Column, fraction: float = 0.2, seed: int = 42, out: str = "held_out") -> DataFrame:
+    """Every row with ``out``: true for exactly ceil(fraction * rows) of them, those with the smallest hashes.
+
+    The same rows whatever the partitions: the order is that of the key's md5 (with the seed, as
+    ``is_held_out``), then of the whole row's; of rows alike in all columns any are taken. The threshold is selected,
+    not sorted for: a pass counts rows by the next hex digits (at most 65,536 counts reach the driver) and
+    goes on in the group that holds the wanted rank, until a group is taken whole.
+    """
+    digest, whole_row, place = unused(["digest", "row", "place"], df)
+    need = math.ceil(fraction * df.count())
+    if need <= 0:
+        return df.withColumn(out, F.lit(False))
+
+    def md5(text: Column) -> Column:
+        return F.md5(F.concat(F.coalesce(text, F.lit("\0")), F.lit(f":{seed}")))
+
+    row = F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns]), {"ignoreNullFields": "false"})
+    hashed = df.withColumns({digest: md5(key.cast("string")), whole_row: md5(row)})
+    first, need, whole = _threshold(hashed, F.col(digest), need)
+    start = F.substring(digest, 1, len(first))
+    held, alike = start < F.lit(first), start == F.lit(first)
+    if whole:
+        return hashed.withColumn(out, held | alike).drop(digest, whole_row)
+    second, need, whole = _threshold(hashed.where(alike), F.col(whole_row), need)
+    start = F.substring(whole_row, 1, len(second))
+    held, same = held | (alike & (start < F.lit(second))), alike & (start == F.lit(second))
+    if whole:
+        return hashed.withColumn(out, held | same).drop(digest, whole_row)
+    copies = with_positions(hashed.where(same), out=place).withColumn(out, F.col(place) < need).drop(place)
+    return hashed.where(~same).withColumn(out, held).unionByName(copies).drop(digest, whole_row)
+
+
 def fold_of(key: Column, folds: int = 10, seed: int = 155) -> Column:
     """Fold number 0..folds-1 from a hash of the key."""
     return (F.conv(_hash8(key, seed), 16, 10).cast("bigint") % folds).cast("int")

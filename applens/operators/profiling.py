@@ -15,7 +15,7 @@ from operator import add
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -343,6 +343,25 @@ def pair_bins(df: DataFrame, x: str, y: str, hue: str | None = None,
     return bound.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
+def scatter_sample(df: DataFrame, x: str, y: str, key: str, hue: str | None = None,
+                   bins: int = 20, k: int = 5, seed: int = 0) -> DataFrame:
+    """Real points beside the bin counts of ``pair_bins``: at most ``k`` rows of every cell.
+
+    ``[hue,] bx, by, key, x, y`` of the rows whose key has the smallest md5 (with the seed) in their cell; equal
+    hashes by x, then y. Such a sample is the same for any partitioning and merges by keeping the smallest:
+    every task sends at most ``k`` rows a cell, however many rows the cell has.
+    """
+    keep = [F.col(quoted(hue)).alias(hue)] if hue else []
+    vals = df.select(*keep, F.col(quoted(key)).alias(key), _value(df, x).alias("x"), _value(df, y).alias("y")).where(
+        F.col("x").isNotNull() & F.col("y").isNotNull())
+    bound = vals.withColumn("_r", _range_stats(vals, "x", "y"))
+    cells = bound.select(*([hue] if hue else []), _bucket(F.col("x"), *_range_of("_r", "x"), bins).alias("bx"),
+                         _bucket(F.col("y"), *_range_of("_r", "y"), bins).alias("by"), key, "x", "y")
+    digest = F.md5(F.concat(F.coalesce(F.col(quoted(key)).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    place = F.row_number().over(Window.partitionBy(*([quoted(hue)] if hue else []), "bx", "by").orderBy(digest, "x", "y"))
+    return cells.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+
+
 def pair_grid(df: DataFrame, cols: list[str], hue: str | None = None, bins: int = 20) -> DataFrame:
     """2-D binned counts of every column pair: ``[hue,] x_col, y_col, bx, by, count``.
 

@@ -37,11 +37,12 @@ def with_positions(df: DataFrame, *order, out: str = "position") -> DataFrame:
 
     The rows are sorted across the cluster and checkpointed, which fixes
     their partitions; a row's place is its place in its partition plus the
-    sizes of the partitions before it (one row per partition).
+    sizes of the partitions before it (one row per partition). Without an
+    order the rows are numbered as they lie.
     """
     ensure_checkpoint_dir(df.sparkSession)
     part, row, size, before = unused(["part", "row", "size", "before"], df)
-    ranked = df.orderBy(*order).checkpoint(eager=True)
+    ranked = (df.orderBy(*order) if order else df).checkpoint(eager=True)
     in_part = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     placed = ranked.withColumns({part: F.spark_partition_id(), row: in_part})
     sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias(size))
