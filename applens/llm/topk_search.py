@@ -11,11 +11,11 @@ a local list. Every query meets every shard, block by block.
 3. The scores of those are resolved exactly, in integers, and a shard sends its first k
    (a shard's own k-th is enough, however many are tied).
 
-Bounds come from a single-precision product and its rounding error, exact scores from
-64-bit integers. Components are floor(256 * x). Shorter vectors end in zeros. A vector
-that is NULL, holds a NULL or non-finite component or one whose integer does not fit in
-LIMIT (its score might not fit a long), or has no id, takes no part. Rows that repeat an id are
-candidates of their own; a query is asked once.
+Bounds come from a double-precision product and its rounding error, exact scores from 64-bit
+integers, or Python integers where a score might not fit. Components are floor(256 * x), of any
+size; a score beyond a long counts as the greatest one. Shorter vectors end in zeros. A vector
+that is NULL, holds a NULL or non-finite component, or has no id, takes no part. Rows that repeat an id are
+candidates of their own; a query is asked once (the row whose vector has the least bytes).
 """
 
 from __future__ import annotations
@@ -25,34 +25,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from applens.llm.exact import as_long, integers, rows_above
+
 SHARD_ROWS = 8192
 QUERY_ROWS = 512
-LIMIT = 1 << 26
+SCALE = 256
 
 ROWS = "vec_id bigint, payload binary"
 
 
 def integer_vectors(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id and the vector's integers (little-endian 32-bit) of the rows that take part."""
+    """vec_id and the vector (little-endian doubles, not yet made integers) of the rows that take part."""
     def run(batches):
         for batch in batches:
             ids, payloads = [], []
             for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if vec_id is None or not v.is_valid or v.values.null_count:
                     continue
-                x = np.floor(256 * v.values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if np.isfinite(x).all() and (np.abs(x) < LIMIT).all():
+                x = v.values.to_numpy(zero_copy_only=False).astype("<f8")
+                if np.isfinite(x).all():
                     ids.append(vec_id)
-                    payloads.append(x.astype("<i4").tobytes())
+                    payloads.append(x.tobytes())
             yield pa.RecordBatch.from_pydict({"vec_id": pa.array(ids, pa.int64()), "payload": pa.array(payloads, pa.binary())})
 
     return table.select(F.col(id_column).cast("long"), F.col(vector)).mapInArrow(run, ROWS)
 
 
 def _matrix(payloads: list[bytes], width: int) -> np.ndarray:
-    out = np.zeros((len(payloads), width), np.int32)
+    out = np.zeros((len(payloads), width))
     for i, p in enumerate(payloads):
-        out[i, :len(p) // 4] = np.frombuffer(p, "<i4")
+        out[i, :len(p) // 8] = np.frombuffer(p, "<f8")
+    return out
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products of the integers of row pairs, as longs (saturating)."""
+    bound = 2 ** ((61 - max(1, a.shape[1]).bit_length()) // 2)
+    x, y = integers(a, SCALE), integers(b, SCALE)
+    big = rows_above(x, bound) | rows_above(y, bound)
+    out = np.zeros(len(a), np.int64)
+    out[~big] = np.einsum("ij,ij->i", x[~big].astype(np.int64), y[~big].astype(np.int64))
+    if big.any():
+        out[big] = as_long((x[big].astype(object) * y[big].astype(object)).sum(axis=1))
     return out
 
 
@@ -63,22 +77,28 @@ class Shard:
         order = np.argsort(np.array(ids, np.int64), kind="stable")
         self.ids = np.array(ids, np.int64)[order]
         self.payloads = [payloads[i] for i in order]
-        self.width = max((len(p) // 4 for p in payloads), default=0)
-        self.exact = _matrix(self.payloads, self.width)
-        self.single = self.exact.astype(np.float32)
-        self.norms = np.sqrt((self.exact.astype(np.float64) ** 2).sum(1))
+        self.width = max((len(p) // 8 for p in payloads), default=0)
+        self.x = _matrix(self.payloads, self.width)
+        with np.errstate(over="ignore"):
+            self.floors = np.floor(self.x * SCALE)
+            self.norms = np.sqrt((self.floors ** 2).sum(1))
 
     def _bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores in single precision and how far off each may be."""
+        """Scores in double precision and how far off each may be (where they overflow: 0, without end)."""
         q = q[:, :self.width] if q.shape[1] >= self.width else np.pad(q, ((0, 0), (0, self.width - q.shape[1])))
-        s = q.astype(np.float32) @ self.single.T
-        off = (self.width + 3) * 2.0 ** -23 * np.sqrt((q.astype(np.float64) ** 2).sum(1))[:, None] * self.norms[None]
-        return s, off.astype(np.float32) + np.abs(s) * np.float32(2.0 ** -22)
+        with np.errstate(over="ignore", invalid="ignore"):
+            f = np.floor(q * SCALE)
+            s = f @ self.floors.T
+            # A saturated score is off by what it is cut.
+            off = (self.width + 3) * 2.0 ** -52 * np.sqrt((f ** 2).sum(1))[:, None] * self.norms[None] + np.abs(s) * 2.0 ** -50
+        lost = ~np.isfinite(s) | ~np.isfinite(off)
+        s[lost], off[lost] = 0.0, np.inf
+        return np.clip(s, -2.0 ** 63, 2.0 ** 63), off
 
     def lists(self, ids: np.ndarray, q: np.ndarray, most: int):
         """(query, lower bound): the greatest of this shard."""
         s, off = self._bounds(q)
-        low = np.where(self.ids[None] == ids[:, None], -np.inf, s - off).astype(np.float64)
+        low = np.where(self.ids[None] == ids[:, None], -np.inf, s - off)
         m = min(most, low.shape[1])
         top = -np.partition(-low, m - 1, axis=1)[:, :m]
         keep = np.isfinite(top)
@@ -87,14 +107,14 @@ class Shard:
     def entries(self, ids: np.ndarray, q: np.ndarray, cutoff: np.ndarray, k: int):
         """(query, vector, score) of the first k vectors that can reach the cutoff."""
         s, off = self._bounds(q)
-        can = (s + off).astype(np.float64) >= cutoff[:, None]
+        can = s + off >= cutoff[:, None]
         can &= self.ids[None] != ids[:, None]
         row, at = np.nonzero(can)
         score = np.empty(len(row), np.int64)
         n = min(self.width, q.shape[1])
         for i in range(0, len(row), 1 << 14):
             a, b = row[i:i + (1 << 14)], at[i:i + (1 << 14)]
-            score[i:i + len(a)] = np.einsum("ij,ij->i", q[a, :n].astype(np.int64), self.exact[b, :n].astype(np.int64))
+            score[i:i + len(a)] = _dots(q[a, :n], self.x[b, :n])
         order = np.lexsort((self.ids[at], -score, row))  # ties to the smaller id
         row, at, score = row[order], at[order], score[order]
         first = np.searchsorted(row, row)
@@ -120,7 +140,7 @@ def _against_shards(vectors: DataFrame, queries: DataFrame, shards: int, work, s
             nonlocal shard, block
             if block[0] and (vectors_here[0] or shard):
                 shard = shard or Shard(*vectors_here)
-                q = _matrix(block[1], max(len(p) // 4 for p in block[1]))
+                q = _matrix(block[1], max(len(p) // 8 for p in block[1]))
                 yield work(shard, np.array(block[0], np.int64), q, np.array(block[2], np.float64))
             block = ([], [], [])
 

@@ -1,21 +1,26 @@
 import math
 import random
+import struct
 
 import duckdb
+import numpy as np
 import pytest
 
 from applens.llm import topk_search as tk
+from applens.llm.exact import LARGEST
 
 
 def brute(rows, k=5):
     live = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            live.append((i, [math.floor(256 * x) for x in v]))
+            f = [float(np.float32(x)) for x in v]
+            live.append((i, [int(x) * 256 if abs(x) > 2 ** 53 else math.floor(256 * x) for x in f], struct.pack(f"<{len(f)}d", *f)))
     out = []
-    for q in sorted({i for i, _ in live if i % 50 == 0}):
-        qv = min((v for i, v in live if i == q), key=lambda v: b"".join((x & 0xFFFFFFFF).to_bytes(4, "little") for x in v))
-        s = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in live if i != q)[:k]
+    clip = lambda x: max(-LARGEST, min(LARGEST, x))
+    for q in sorted({i for i, *_ in live if i % 50 == 0}):
+        qv = min((p, v) for i, v, p in live if i == q)[1]
+        s = sorted((-clip(sum(a * b for a, b in zip(qv, v))), i) for i, v, _ in live if i != q)[:k]
         out += [(q, n + 1, i, -x) for n, (x, i) in enumerate(s)]
     return out
 
@@ -35,7 +40,15 @@ def test_against_brute_force(spark, monkeypatch, shard):
     rows += [(1000 + i, [0.5] * 6) for i in range(150)]                        # one very common vector
     rows += [(1500, None), (1550, [1.0, None]), (1600, [float("nan")]), (1650, [float("inf"), 1.0]), (None, [9.0] * 6),
              (1700, [1e6] * 6), (1750, []), (1800, [1.0, 2.0]), (50, rows[50][1])]
-    assert run(spark, rows) == sorted(brute([x for x in rows if x[0] != 1700] ))
+    assert run(spark, rows) == sorted(brute(rows))
+
+
+def test_components_of_any_size(spark):
+    assert run(spark, [(50, [1.0, 2.0]), (1, [300000.0, 1.0]), (2, [1.0, 1.0])])[0] == (50, 1, 1, 256 * 256 * 300002)
+    r = random.Random(4)
+    rows = [(25 * i, [r.choice([-1, 1]) * 10.0 ** r.choice([0, 5, 12, 30, 38]) * r.random() for _ in range(3)]) for i in range(60)]
+    rows += [(7 + 100 * i, [2.0 ** 40, float(i), 2.0 ** -8]) for i in range(9)]
+    assert run(spark, rows) == sorted(brute(rows))
 
 
 def test_few_rows_and_none(spark):
