@@ -6,8 +6,11 @@ crosses the cuts. Inside a chunk an agenda holds the candidate merges, best scor
 then leftmost. A candidate is skipped if the keyed hash of (seed, variant, its two
 pieces) falls below the dropout rate: merges are dropped by type, and what is built on them
 takes other ways. The variant is the crc32 of doc_id and seed: every document has merges dropped of its own,
-the same text and id always in the same way. A task remembers the undropped merging of a chunk
-for all documents; it holds for those that drop none of its merges.
+the same text and id always in the same way.
+
+A slice of documents is merged at once: the chunks of a length are rows of a matrix of symbols, every row with the key
+of its document, and a step makes the best merge of every row that has one left. Candidates are
+looked up in a table of all pairs of symbols that make a piece; a chunk that a document repeats is one row.
 
 Without dropout the ids are the library's. Characters that the vocabulary lacks, and a word mark that
 the text itself holds, become byte pieces, so decoding gives back the exact text.
@@ -18,8 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,15 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from applens.llm.common import quoted
+from applens.llm.common import mix, quoted
 
 MARK = "▁"
-CACHE = 400_000          # chunks whose undropped merging a task remembers
-PAIRS = 200_000          # pairs whose score and hash it remembers
+PAIRS = 200_000          # pairs whose score and hash a worker remembers
+SLOTS = 20               # bits of a slot number in the table of pairs
 SHORT = 24               # characters of a chunk whose agenda is a plain list
 NONE = float("-inf")
-CACHED_CHARS = 64
-SLICE = 256
+ROW_CHARS = 64           # longer chunks are merged by themselves
+SLICE, SLICE_CHARS = 512, 1 << 20
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -107,12 +112,14 @@ class Vocabulary:
         space = [p.replace(MARK, " ").encode("utf-8") for p in self.pieces]
         self.bytes_of = [bytes((self.byte_of[i],)) if i in self.byte_of else b for i, b in enumerate(space)]
         self.pairs: dict[tuple[str, str], tuple[float, int]] = {}
-        self.undropped = Merges(self.score, 0, 0, 0.0, self.pairs)
-        self.plain: dict[str, tuple[tuple[int, ...], list[tuple[str, str]]]] = {}
+        self.mark = [self.byte_id[b] for b in MARK.encode()]
+        self.pairs_table: Pairs | None = None
+
+    def chunk(self, chunk: str, merges: Merges) -> tuple[int, ...]:
+        """Ids of a chunk: merge the best candidate, leftmost first, until none is left."""
+        return self.ids((self._merged_by_agenda if len(chunk) > SHORT else self._merged)(chunk, merges))
 
-    def chunk(self, chunk: str, merges: Merges, made: list | None = None) -> tuple[int, ...]:
-        """Ids of a chunk: merge the best candidate, leftmost first, until none is left; `made` takes the merged pairs."""
-        symbols = (self._merged_by_agenda if len(chunk) > SHORT else self._merged)(chunk, merges, [] if made is None else made)
+    def ids(self, symbols: list[str]) -> tuple[int, ...]:
         try:
             return tuple(map(self.id.__getitem__, symbols))
         except KeyError:  # a character that the vocabulary lacks
@@ -120,7 +127,7 @@ class Vocabulary:
                 (self.id[s],) if s in self.id else map(self.byte_id.__getitem__, s.encode("utf-8", "surrogatepass"))))
 
     @staticmethod
-    def _merged(chunk: str, merges: Merges, made: list) -> list[str]:
+    def _merged(chunk: str, merges: Merges) -> list[str]:
         """A short chunk: its agenda is a plain list, one score for each pair."""
         symbols = list(chunk)
         scores = list(map(merges.__getitem__, zip(symbols, symbols[1:])))
@@ -129,7 +136,6 @@ class Vocabulary:
             if best == NONE:
                 break
             i = scores.index(best)
-            made.append((symbols[i], symbols[i + 1]))
             merged = symbols[i] + symbols[i + 1]
             symbols[i] = merged
             del symbols[i + 1], scores[i]
@@ -140,7 +146,7 @@ class Vocabulary:
         return symbols
 
     @staticmethod
-    def _merged_by_agenda(chunk: str, merges: Merges, made: list) -> list[str]:
+    def _merged_by_agenda(chunk: str, merges: Merges) -> list[str]:
         """A long chunk: a heap of candidates over linked symbols."""
         symbols: list[str | None] = list(chunk)
         n = len(symbols)
@@ -160,7 +166,6 @@ class Vocabulary:
             j = after[i]
             if symbols[i] != left or j >= n or symbols[j] != right:
                 continue  # one of the two has been merged since
-            made.append((left, right))
             symbols[i], symbols[j] = left + right, None
             after[i] = after[j]
             if after[j] < n:
@@ -170,40 +175,209 @@ class Vocabulary:
             offer(i)
         return [s for s in symbols if s is not None]
 
-    def _chunk_of(self, chunk: str, merges: Merges) -> tuple[int, ...]:
-        """`chunk`, by the undropped merging if none of its merges is dropped: then each was the best candidate here too."""
-        if len(chunk) > CACHED_CHARS:
-            return self.chunk(chunk, merges)
-        entry = self.plain.get(chunk)
-        if entry is None:
-            if len(self.plain) >= CACHE:
-                self.plain.clear()
-            made: list[tuple[str, str]] = []
-            entry = self.plain[chunk] = self.chunk(chunk, self.undropped, made), made
-        return self.chunk(chunk, merges) if NONE in map(merges.__getitem__, entry[1]) else entry[0]
-
     def encode(self, text: str, seed: int = 0, variant: int = 0, rate: float = 0.0) -> list[int]:
-        if not text:
-            return []
+        """Ids of one text, chunk by chunk."""
         merges = Merges(self.score, seed, variant, rate, self.pairs)
         known: dict[str, tuple[int, ...]] = {}
         ids: list[int] = []
-        for n, own in enumerate(text.split(MARK)):
-            if n:  # a word mark of the text itself: its bytes, which decode to no blank
-                ids += [self.byte_id[b] for b in MARK.encode()]
-            for c in _CHUNK.findall((MARK if n == 0 else "") + own.replace(" ", MARK)):
-                found = known.get(c)
-                if found is None:
-                    found = self._chunk_of(c, merges)
-                    if len(known) < CACHE:
-                        known[c] = found
-                ids += found
+        for c in self._chunks(text):
+            if c is None:
+                ids += self.mark
+            else:
+                if c not in known:
+                    known[c] = self.chunk(c, merges)
+                ids += known[c]
         return ids
 
+    @staticmethod
+    def _chunks(text: str) -> list[str | None]:
+        """The chunks of a text; None is a word mark of the text itself: its bytes, which decode to no blank."""
+        if not text:
+            return []
+        if MARK not in text:
+            return _CHUNK.findall(MARK + text.replace(" ", MARK))
+        out: list[str | None] = []
+        for n, own in enumerate(text.split(MARK)):
+            out += [None] * (n > 0) + _CHUNK.findall((MARK if n == 0 else "") + own.replace(" ", MARK))
+        return out
+
+    def encode_all(self, texts: list[str], keys: list[str], rate: float) -> Iterator[np.ndarray]:
+        """Ids of texts (as `encode`), each with the key "seed:variant", some texts at a time."""
+        at = 0
+        while at < len(texts):
+            end, chars = at, 0
+            while end < len(texts) and (end == at or chars + len(texts[end]) <= SLICE_CHARS):
+                chars += len(texts[end])
+                end += 1
+            yield from self._encode_some(texts[at:end], keys[at:end], rate)
+            at = end
+
+    def _encode_some(self, texts: list[str], keys: list[str], rate: float) -> Iterator[np.ndarray]:
+        if self.pairs_table is None:
+            self.pairs_table = Pairs(self)
+        table = self.pairs_table
+        chunks = Numbers()
+        words, counts = [], []
+        for text in texts:
+            here = self._chunks(text)
+            counts.append(len(here))
+            words += map(chunks.__getitem__, here)
+        # One row for a document and chunk.
+        doc = np.repeat(np.arange(len(texts)), counts)
+        rows, row_of = np.unique(doc * len(chunks) + np.array(words, np.int64), return_inverse=True)
+        doc, chunk = np.divmod(rows, max(1, len(chunks)))
+        hashes = np.array([_hash(k) for k in keys], np.uint64)[doc]
+        names = list(chunks)
+        sizes = np.array([0 if c is None else len(c) for c in names], np.int64)[chunk]
+        symbols = table.symbol_of[np.frombuffer("".join(c or "" for c in names).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        first = np.r_[0, np.cumsum([0 if c is None else len(c) for c in names])[:-1]].astype(np.int64)[chunk] if names else chunk
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # row numbers, lengths, symbols one after the other
+        for size in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == size)
+            if size == 0:
+                parts.append((own, np.ones(len(own), np.int64), np.full(len(own), table.base + ord(MARK))))
+            elif size > ROW_CHARS:
+                for r in own.tolist():
+                    ids = self.chunk(names[chunk[r]], Merges(self.score, *map(int, keys[doc[r]].split(":")), rate, self.pairs))
+                    parts.append((np.array([r]), np.array([len(ids)]), np.array(ids)))
+            else:
+                parts += table.merged(own, symbols[first[own][:, None] + np.arange(size)], hashes[own], rate)
+        flat, lengths = _ordered(parts, len(rows))
+        flat, lengths = table.as_ids(flat, lengths, self.byte_id)
+        lengths, flat = lengths[row_of], _gathered(flat, lengths, row_of)
+        bounds = np.r_[0, np.cumsum(lengths)][np.r_[0, np.cumsum(counts)].astype(np.int64)]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield flat[a:b]
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
+class Numbers(dict):
+    """Values numbered in the order in which they are first asked for."""
+
+    def __missing__(self, value) -> int:
+        n = self[value] = len(self)
+        return n
+
+
+def _gathered(flat: np.ndarray, lengths: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The stretches of `rows`, one after the other, of stretches of those lengths that lie one after the other."""
+    start = (np.cumsum(lengths) - lengths)[rows]
+    n = lengths[rows]
+    return flat[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def _ordered(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of symbols in the order of their rows, and their lengths."""
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    rows, lengths, flat = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    order = np.argsort(rows, kind="stable")
+    return _gathered(flat, lengths, order), lengths[order]
+
+
+class Pairs:
+    """All pairs of symbols that make a piece. A symbol is a piece's id, or `base` + code point of a character without
+    one. Ranks order the pieces by score, the best first; equal scores have the same rank."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.base = len(vocab.pieces)
+        self.symbol_of = np.arange(0x110000, dtype=np.int64) + self.base
+        for piece, i in vocab.id.items():
+            if len(piece) == 1:
+                self.symbol_of[ord(piece)] = i
+        rank_of = {v: i for i, v in enumerate(sorted(set(vocab.score.values()), reverse=True))}
+        symbol = lambda s: vocab.id.get(s, self.base + ord(s) if len(s) == 1 else None)
+        made = []
+        for piece, i in vocab.id.items():
+            for k in range(1, len(piece)):
+                left, right = symbol(piece[:k]), symbol(piece[k:])
+                if left is not None and right is not None:
+                    made.append((left << 21 | right, rank_of[vocab.score[piece]], i, pair_hash(piece[:k], piece[k:])))
+        made.sort()
+        self.key = np.array([m[0] for m in made] + [-1], np.int64)
+        self.rank = np.array([m[1] for m in made], np.int32)
+        self.piece = np.array([m[2] for m in made], np.int32)
+        self.hash = np.array([m[3] for m in made], np.uint64)
+        # The first key of a slot lies in it; the others of the slot are searched for.
+        slot = self._slot(self.key[:-1])
+        self.slot_pair = np.full(1 << SLOTS, len(made), np.int32)
+        taken, at = np.unique(slot, return_index=True)
+        self.slot_pair[taken] = at
+        self.shared = np.bincount(slot, minlength=1 << SLOTS) > 1
+        self.none = np.int32(len(rank_of))
+
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray, key: np.ndarray, least_kept: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rank and the piece that merging each pair makes; rank `none` if nothing, or if the document of that key drops it."""
+        pair = left << 21 | right
+        slot = self._slot(pair)
+        at = self.slot_pair[slot]
+        found = self.key[at] == pair
+        more = np.flatnonzero(~found & self.shared[slot])
+        if len(more):
+            at[more] = np.searchsorted(self.key[:-1], pair[more])
+            found[more] = self.key[at[more]] == pair[more]
+        rank, piece = np.full(len(pair), self.none, np.int32), np.zeros(len(pair), np.int32)
+        hit = np.flatnonzero(found)
+        at = at[hit]
+        if least_kept:
+            kept = mix(self.hash[at] ^ key[hit]) >= np.uint64(min(least_kept, (1 << 64) - 1))
+            if least_kept >= 1 << 64:
+                kept[:] = False
+            hit, at = hit[kept], at[kept]
+        rank[hit], piece[hit] = self.rank[at], self.piece[at]
+        return rank, piece
+
+    def merged(self, rows: np.ndarray, symbols: np.ndarray, key: np.ndarray, rate: float):
+        """Merge rows of one length until none has a candidate left: (row numbers, lengths, symbols) by final length."""
+        least_kept = math.ceil(rate * 2.0 ** 64)
+        out = []
+        n, size = symbols.shape
+        rank, piece = self.ranks(symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), np.repeat(key, size - 1), least_kept)
+        rank, piece = rank.reshape(n, size - 1), piece.reshape(n, size - 1)
+        while True:
+            size = symbols.shape[1]
+            best = rank.min(axis=1) if size > 1 else np.full(len(rows), self.none)
+            done = best == self.none
+            if done.any():
+                out.append((rows[done], np.full(int(done.sum()), size), symbols[done].ravel()))
+                go = ~done
+                rows, symbols, key, rank, piece = rows[go], symbols[go], key[go], rank[go], piece[go]
+            if not len(rows):
+                return out
+            at = rank.argmin(axis=1)  # the leftmost of equals
+            each = np.arange(len(rows))
+            made = piece[each, at].astype(np.int64)
+            symbols[each, at] = made
+            symbols = symbols[np.arange(size) != at[:, None] + 1].reshape(len(rows), size - 1)
+            rest = np.arange(size - 1) != at[:, None]
+            rank, piece = rank[rest].reshape(len(rows), size - 2), piece[rest].reshape(len(rows), size - 2)
+            before, after = np.flatnonzero(at > 0), np.flatnonzero(at < size - 2)
+            new = self.ranks(np.r_[symbols[before, at[before] - 1], made[after]], np.r_[made[before], symbols[after, at[after] + 1]],
+                             np.r_[key[before], key[after]], least_kept)
+            for matrix, values in ((rank, new[0]), (piece, new[1])):
+                matrix[before, at[before] - 1] = values[:len(before)]
+                matrix[after, at[after]] = values[len(before):]
+
+    def as_ids(self, flat: np.ndarray, lengths: np.ndarray, byte_id: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Characters without a piece as the ids of their bytes."""
+        odd = np.flatnonzero(flat >= self.base)
+        if not len(odd):
+            return flat, lengths
+        spelt = [[byte_id[b] for b in chr(c - self.base).encode("utf-8", "surrogatepass")] for c in flat[odd].tolist()]
+        many = np.ones(len(flat), np.int64)
+        many[odd] = [len(x) for x in spelt]
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        out = np.repeat(flat, many)
+        out[np.repeat(flat >= self.base, many)] = [b for x in spelt for b in x]
+        return out, np.bincount(owner, many, len(lengths)).astype(np.int64)
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     """One per worker."""
@@ -234,10 +408,14 @@ def encode(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_id
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 out: list[list] = [[] for _ in result]
-                for doc_id, text in zip(part.column(names.index("doc_id")).to_pylist(), part.column(names.index("text")).to_pylist(), strict=True):
-                    ids = None if text is None else vocab.encode(text, seed, variant_of(doc_id, seed), rate)
+                doc_ids = part.column(names.index("doc_id")).to_pylist()
+                texts = part.column(names.index("text")).to_pylist()
+                own = [i for i, t in enumerate(texts) if t is not None]
+                found = dict(zip(own, vocab.encode_all([texts[i] for i in own], [f"{seed}:{variant_of(doc_ids[i], seed)}" for i in own], rate)))
+                for i, text in enumerate(texts):
+                    ids = found.get(i)
                     row = (0, 0, None, None) if ids is None else (
-                        len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), vocab.decode(ids) == text, ids)
+                        len(ids), zlib.crc32(ids.astype("<u4").tobytes()), vocab.decode(ids.tolist()) == text, ids)
                     for o, v in zip(out, row, strict=False):
                         o.append(v)
                 columns = list(part.columns) if with_ids else [part.column(0)]

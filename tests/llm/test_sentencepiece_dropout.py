@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pytest
 import sentencepiece
 
 from applens.llm import sentencepiece_dropout as sd
@@ -52,6 +53,19 @@ def test_dropout_against_brute_force_and_round_trip(monkeypatch):
                 assert v.chunk(w, sd.Merges(v.score, 5, 2, rate)) == brute_chunk(v, w, 5, 2, rate)
 
 
+@pytest.mark.parametrize("slots, chars", [(20, 1 << 20), (9, 100)])
+def test_texts_together_equal_each_by_itself(monkeypatch, slots, chars):
+    monkeypatch.setattr(sd, "SLOTS", slots)
+    monkeypatch.setattr(sd, "SLICE_CHARS", chars)
+    v = sd.Vocabulary(PATH)
+    given = texts() + ["▁ a▁b ▁▁", "a▁", "▁" * 70, "é" * 65 + " " + "thinking" * 9, "", "internationalization " * 40]
+    for rate in (0.0, 0.1, 0.6, 1.0):
+        for first in (0, 5):
+            keys = [f"3:{first + i % 11}" for i in range(len(given))]
+            got = [list(x) for x in v.encode_all(given, keys, rate)]
+            assert got == [v.encode(t, 3, first + i % 11, rate) for i, t in enumerate(given)]
+
+
 def test_share_of_skipped_merges_is_the_rate():
     n = sum(sd.skipped(3, 1, f"a{i}", f"b{i % 7}", 0.1) for i in range(20_000))
     assert 0.09 < n / 20_000 < 0.11
