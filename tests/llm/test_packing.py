@@ -13,20 +13,22 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_equal_the_library():
     t, encode = library(), pk.encoder(PATH)
     r = random.Random(1)
-    texts = ["", " ", "a", "Hello world's", "<|endoftext|> x", "é▁\U0001F600\x00\r\n\t  x", "٣42 don't I'LL", "x" * 5000, "1" * 999, " " * 3000 + "a"]
+    texts = ["", " ", "a", "Hello world's", "<|endoftext|> x", "a <|endoftext|> b", "x  <|endoftext|><|endoftext|>  \n", "<|endoftext|", "<|endoftext|>", "é▁\U0001F600\x00\r\n\t  x", "٣42 don't I'LL", "x" * 5000, "1" * 999, " " * 3000 + "a"]
     texts += ["".join(r.choice("ab é1.,\n'中́ T-") for _ in range(80)) for _ in range(300)]
     for x in texts:
         assert encode(x) == t.encode(x, add_special_tokens=False).ids
 
 
+def test_added_tokens_keep_their_ids():
+    assert pk.encoder(PATH)("a <|endoftext|> b") == [64, 220, 50256, 275]
+
+
 def check(rows, texts, capacity=1024):
     t = library()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
