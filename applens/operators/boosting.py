@@ -73,7 +73,8 @@ def soft(g, l1: float):
 
 
 def _score(g, h, s: Settings):
-    return soft(g, s.l1) ** 2 / (h + s.l2)
+    with np.errstate(invalid="ignore", divide="ignore"):  # sides without rows are no options
+        return soft(g, s.l1) ** 2 / (h + s.l2)
 
 
 @dataclass
