@@ -296,9 +296,8 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
         met = rows.join(groups, (F.col("_by") == F.col("_0")) & (F.col("_salt") == F.col("_salt2")))
         own = [F.col("_by")]
     else:
-        # Each reference to a subquery runs it again: bind it to one column, then read it.
-        met = vals.withColumn("_s", st.select(F.struct(*stats)).scalar()).select(
-            "x", *[F.col("_s").getField(k).alias(k) for k in stats])
+        # One row of statistics, sent to every task.
+        met = vals.crossJoin(F.broadcast(st))
         own = []
     width = F.col("_h") / KDE_BINS
     binned = met.withColumn("_bin", F.floor(F.try_divide(F.col("x") - F.col("mn"), width)))
