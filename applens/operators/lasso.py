@@ -70,7 +70,7 @@ class _Problem:
         w, v = w.copy(), v.copy()
         numbers = [i for i in range(len(w)) if self.xx[i, i] > 1e-15]
         levels = [k for k in range(len(v)) if 0 < self.p[k] < 1]
-        var = self.p * (1 - self.p)
+        p, sd, var = self.p.tolist(), self.sd.tolist(), (self.p * (1 - self.p)).tolist()
         for _ in range(SWEEPS):
             moved = 0.0
             pull = self.xd.T @ v
@@ -78,13 +78,17 @@ class _Problem:
                 g = self.cx[i] - self.xx[i] @ w - pull[i] + self.xx[i, i] * w[i]
                 new = np.sign(g) * max(abs(g) - alpha * self.sx[i], 0.0) / self.xx[i, i]
                 moved, w[i] = max(moved, abs(new - w[i]) * self.sx[i]), new
-            free = self.cd - self.xd @ w
-            total = float(self.p @ v)
+            # Plain numbers: level by level, their arithmetic is several times faster than that of array entries.
+            free, held_v, total = (self.cd - self.xd @ w).tolist(), v.tolist(), float(self.p @ v)
             for k in levels:
-                g = free[k] - self.p[k] * (v[k] - total) + var[k] * v[k]
-                new = np.sign(g) * max(abs(g) - alpha * self.sd[k], 0.0) / var[k]
-                total += self.p[k] * (new - v[k])
-                moved, v[k] = max(moved, abs(new - v[k]) * self.sd[k]), new
+                was, share = held_v[k], p[k]
+                g = free[k] - share * (was - total) + var[k] * was
+                reach = abs(g) - alpha * sd[k]
+                new = 0.0 if reach <= 0 else (reach if g > 0 else -reach) / var[k]
+                if new != was:
+                    total += share * (new - was)
+                    moved, held_v[k] = max(moved, abs(new - was) * sd[k]), new
+            v = np.array(held_v)
             if levels:
                 # All levels moved alike change only the base: take the shift of the least penalty.
                 held = np.array(levels)
