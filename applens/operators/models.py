@@ -1,10 +1,9 @@
 """Feature assembly, model fitting, scoring and evaluation on pyspark.ml.
 
-Substitutions, by design: the application's boosted trees are xgboost; the
-Spark counterpart is ``GBTRegressor`` (no L1/L2 leaf penalty, no base score,
-no per-tree column sampling), so predictions differ numerically. Its
-L1-penalty grid search becomes a lasso (``LinearRegression`` with
-``elasticNetParam=1``) tuned by k-fold cross-validation on R^2.
+Substitutions, by design: the application's boosted trees come from another library. The default
+counterpart here is ``GBTRegressor`` (no leaf penalty, base score or side for missing values); ``operators.boosting``
+has those. Its L1-penalty grid search becomes a lasso tuned by k-fold cross-validation on R^2
+(``operators.lasso``); ``grid_search`` tunes any estimator of pyspark.ml that way.
 """
 
 from __future__ import annotations
