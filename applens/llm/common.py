@@ -70,11 +70,26 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet into the shared folder and read it back: cuts lineage durably."""
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_shared(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
+    """Write `df` as Parquet into the shared folder and read it back: cuts lineage durably.
+
+    `drop_shuffles` lets Spark remove the shuffle files of this job when the table stands.
+    """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    if drop_shuffles:
+        spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles and before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        elif drop_shuffles:
+            spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
