@@ -5,18 +5,21 @@ spans and never removes one. It is a bidirectional LSTM over character classes
 with a linear-chain CRF over begin/inside tags, written and trained in numpy on
 windows around the base spans of a bounded sample of documents (the SAMPLE rows
 with the smallest hash of doc_id among those with an at sign or four digits in a
-row, texts of up to SAMPLE_CHARS characters), with variants that the patterns miss: a phone without
-its plus, a card with other separators, blanks around an email's at sign.
+row, texts of up to SAMPLE_CHARS characters). Most windows hold what the patterns miss, planted at word edges of
+those texts: a phone without its plus, a card with other separators, blanks around an email's at sign; or
+near misses, which stay outside: years, dates, amounts, short numbers.
 
 Whole texts are cut into windows of WINDOW characters that overlap by half. Each
 window is decoded by Viterbi; a span that touches a window's edge is left to the
-window that holds it whole. The spans of all windows of a text are then
+window that holds it whole; where no window does, one twice as wide is decoded around it, until
+it lies inside or the text ends. The spans of all windows of a text are then
 reconciled together: the set without overlaps (and beside the base spans) whose
 summed score is greatest is kept. A span is accepted only with what its kind
-needs (an at sign, or its number of digits), so windows with neither a digit nor
+needs (an at sign and a dot, or its number of digits; a card's check digit, too), so windows with neither a digit nor
 an at sign can add nothing and are not decoded; the result is the same.
 
-Offsets are code points, ends exclusive. A NULL text is empty.
+Offsets are code points, ends exclusive. A NULL text is empty. Repeated rows are each tagged on their own; an empty table,
+or one without base spans, trains a tagger that adds nothing. Texts of any length are tagged whole.
 """
 
 from __future__ import annotations
@@ -37,9 +40,8 @@ KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)            # 0: outside; 1 + 2k: begin; 2 + 2k: inside
 HIDDEN, WINDOW, STRIDE = 10, 128, 64
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
-STEPS, BATCH, TRAIN_WINDOW = 220, 128, 64
-LEAST_SCORE = 2.0                    # of an added span against leaving it out (log odds)
-MAX_SPAN = STRIDE
+STEPS, BATCH, TRAIN_WINDOW = 600, 128, 64
+PLANTED = 3000                       # training windows with something planted
 
 # ------------------------------------------------------------- base patterns
 
@@ -281,7 +283,7 @@ def train(windows: np.ndarray, tags: np.ndarray, steps: int = STEPS, seed: int =
 
 
 def _examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Windows around spans (some rewritten as the patterns miss them) and around other digits."""
+    """Windows around base spans and other digits, and PLANTED ones with rewritten spans (which the patterns miss) and near misses."""
     r = np.random.default_rng(seed)
     rows, marks = [], []
 
@@ -299,28 +301,60 @@ def _examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
         rows.append(x)
         marks.append(y)
 
+    def group(digits, sizes, sep):
+        at = np.cumsum([0, *sizes])
+        return sep.join(p for p in (digits[i:j] for i, j in zip(at, [*at[1:], len(digits)], strict=True)) if p)
+
     def rewritten(kind, s):
+        """What the patterns miss: the same data, written otherwise."""
+        d = _digits(s)
         if kind == 0:
-            return s.replace("@", r.choice([" @ ", " @", "@ "]))
+            local, domain = s.split("@")
+            if words and r.random() < 0.7:
+                local = r.choice(words) + r.choice([".", "_", "-", ""]) + r.choice([r.choice(words), *local.split(".")])
+                domain = r.choice(words) + r.choice(["", "." + r.choice(words)]) + domain[domain.rindex("."):]
+            return local + r.choice([" @ ", " @", "@ "]) + domain
         if kind == 2:
-            d = _digits(s)
-            sep = r.choice([" ", "-", ".", ""])
-            return sep.join(d[i:i + 4] for i in range(0, len(d), 4))
-        return s[1:] if kind == 3 else s
-
+            return group(d, [4] * (len(d) // 4), r.choice([".", "/", ":", "_"]))
+        sizes = [[1, 3, 3], [2, 2, 4], [2, 3, 3], [3, 3], [1, 3, 4]][r.integers(5)]
+        phone = group(d, sizes, r.choice([" ", "-", "."]))
+        return phone if r.random() < 0.6 else f"{d[:1]} ({d[1:4]}) {group(d[4:], [3], r.choice(['-', ' ']))}"
+
+    def near_miss():
+        year, n = (lambda: str(r.integers(1900, 2100))), lambda k: str(r.integers(10 ** (k - 1), 10 ** k))
+        return [lambda: year(), lambda: f"{year()}-{n(2)}-{n(2)}", lambda: f"{n(2)}.{n(2)}.{year()}", lambda: f"{n(2)}:{n(2)}",
+                lambda: " ".join(year() for _ in range(r.integers(2, 5))), lambda: f"{n(1)},{n(3)},{n(3)}", lambda: n(r.integers(1, 9)),
+                lambda: f"{n(1)}.{n(1)}.", lambda: " ".join(n(2) for _ in range(r.integers(2, 8))), lambda: f"{n(3)}-{n(4)}",
+                lambda: f"@{r.choice(words) if words else ''}", lambda: f" @ {n(2)}"][r.integers(12)]()
+
+    found = []
+    words = []
     for text in texts:
+        words += [w for w in text.split() if w.isalpha() and w.isascii()][:20]
         spans = base_spans(text)
         taken = [(s, e) for _, s, e in spans]
-        for kind, s, e in spans[:8]:
+        found += [(k, text[s:e]) for k, s, e in spans[:8]]
+        for _, s, _ in spans[:8]:
             add(text, spans, s)
-            for new in {rewritten(kind, text[s:e]) for _ in range(3)} - {text[s:e]}:
-                around = text[max(0, s - 60):s] + new + text[e:e + 60]
-                at = min(s, 60)
-                near = [(k, a, b) for k, a, b in base_spans(around) if b <= at or a >= at + len(new)]
-                add(around, [*near, (kind, at, at + len(new))], at)
         for m in list(re.finditer(r"[0-9@]+", text))[:8]:
             if not any(s < m.end() and e > m.start() for s, e in taken):
                 add(text, spans, m.start())
+    by_kind = [[x for k, x in found if k == kind] for kind in range(len(KINDS))]
+    open_kinds = [k for k in (0, 2, 3) if by_kind[k]]
+    for _ in range(PLANTED if found else 0):
+        text = texts[r.integers(len(texts))]
+        at = text.find(" ", int(r.integers(len(text)))) + 1
+        draw = r.random()
+        kind = None if draw < 0.25 or not open_kinds else open_kinds[r.integers(len(open_kinds))]
+        own = near_miss() if kind is None else by_kind[kind][r.integers(len(by_kind[kind]))]
+        new = rewritten(kind, own) if kind is not None and draw < 0.85 else own
+        before, after = text[max(0, at - 60):at], text[at:at + 60]
+        mark = r.choice(["", "", "", ",", ".", ":"])
+        around = f"{before}{new}{mark} {after}"
+        at = len(before)
+        # What is planted has its kind; base spans are found as in any text.
+        near = [(k, a, b) for k, a, b in base_spans(around) if kind is None or b <= at or a >= at + len(new)]
+        add(around, [*near, (kind, at, at + len(new))] if kind is not None else near, at)
     return (np.array(rows, np.uint8).reshape(-1, TRAIN_WINDOW), np.array(marks, np.uint8).reshape(-1, TRAIN_WINDOW))
 
 
@@ -346,10 +380,10 @@ def _needed(kind: int, text: str, start: int, end: int) -> bool:
         return False
     n = len(_digits(s))
     if kind == 0:
-        return s.count("@") == 1 and "." in s.split("@")[1]
+        return s.count("@") == 1 and "." in s.split("@")[1].strip(" .") and not s.startswith(("@", " "))
     if kind == 1:
         return s.count(".") == 3 and all(p.isdigit() and len(p) <= 3 for p in s.split("."))
-    return 13 <= n <= 19 if kind == 2 else 9 <= n <= 15
+    return 13 <= n <= 19 and luhn(_digits(s)) if kind == 2 else 9 <= n <= 15
 
 
 def reconcile(spans: list[tuple[float, int, int, int]]) -> list[tuple[int, int, int]]:
@@ -395,32 +429,68 @@ def added_spans(tagger: Tagger, texts: list[str], base: list[list[tuple[int, int
     if not jobs:
         return [[] for _ in texts]
     every = np.concatenate(rows)
+    whole: list[list[tuple[int, int]]] = [[] for _ in texts]
+    cut: list[set[tuple[int, int]]] = [set() for _ in texts]
+
+    def keep(n, kind, start, end, score):
+        if score > 0 and _needed(kind, texts[n], start, end) and not any(s < end and b > start for _, s, b in base[n]):
+            found[n].append((round(score, 3), kind, start, end))
+
     for at in range(0, len(every), LANES):
         # Equal windows (copies, boilerplate) are decoded once.
         unique, back = np.unique(every[at:at + LANES], axis=0, return_inverse=True)
-        tags, gain = tagger.decode(np.ascontiguousarray(unique.T))
-        tags, gain, back = tags.T, gain.T, back.ravel()
-        sums = np.cumsum(gain, 1)
-        begins: dict[int, list[int]] = {}
-        for lane, t in zip(*np.nonzero(tags % 2 == 1), strict=True):
-            begins.setdefault(int(lane), []).append(int(t))
-        for lane, (n, offset) in zip(back, jobs[at:at + LANES], strict=True):
-            for t in begins.get(int(lane), ()):
-                kind = (int(tags[lane, t]) - 1) // 2
-                e = t + 1
-                while e < WINDOW and tags[lane, e] == 2 + 2 * kind:
-                    e += 1
-                start, end = offset + t, offset + e
-                whole = (t > 0 or offset == 0) and (e < WINDOW or end >= len(texts[n]))
-                after = e if e < WINDOW and tags[lane, e] == 0 else e - 1  # the way back to tag 0 counts
-                score = float(sums[lane, after] - (sums[lane, t - 1] if t else 0))
-                if whole and end <= len(texts[n]) and end - start <= MAX_SPAN and score >= LEAST_SCORE \
-                        and _needed(kind, texts[n], start, end) \
-                        and not any(s < end and b > start for _, s, b in base[n]):
-                    found[n].append((round(score, 3), kind, start, end))
+        runs = _runs(tagger, unique)
+        for lane, (n, offset) in zip(back.ravel(), jobs[at:at + LANES], strict=True):
+            for kind, t, e, score in runs.get(int(lane), ()):
+                start, end = offset + t, min(offset + e, len(texts[n]))
+                if (t > 0 or offset == 0) and (e < WINDOW or offset + e >= len(texts[n])):
+                    whole[n].append((start, end))
+                    keep(n, kind, start, end, score)
+                else:
+                    cut[n].add((start, end))
+    # Spans that no window holds whole: wider windows around them.
+    todo = [(n, s, e) for n in range(len(texts)) for s, e in sorted(cut[n]) if not any(a < e and b > s for a, b in whole[n])]
+    width = WINDOW
+    while todo:
+        width *= 2
+        left = []
+        for at in range(0, len(todo), step := max(1, LANES * WINDOW // width)):
+            some = todo[at:at + step]
+            x = np.zeros((len(some), width), np.uint8)
+            first = [max(0, (s + e) // 2 - width // 2) for _, s, e in some]
+            for row, (n, _, _), f in zip(x, some, first, strict=True):
+                piece = classes(texts[n][f:f + width])
+                row[:len(piece)] = piece
+            runs = _runs(tagger, x)
+            for lane, ((n, s, e), f) in enumerate(zip(some, first, strict=True)):
+                for kind, a, b, score in runs.get(lane, ()):
+                    start, end = f + a, min(f + b, len(texts[n]))
+                    if start >= e or end <= s:
+                        continue
+                    if (a > 0 or f == 0) and (b < width or f + b >= len(texts[n])):
+                        keep(n, kind, start, end, score)
+                    else:
+                        left.append((n, start, end))
+        todo = left
     return [reconcile(f) if f else [] for f in found]
 
 
+def _runs(tagger: Tagger, windows: np.ndarray) -> dict[int, list[tuple[int, int, int, float]]]:
+    """For each window (a row of classes) with spans: their kind, start, end and score against leaving them out."""
+    width = windows.shape[1]
+    tags, gain = tagger.decode(np.ascontiguousarray(windows.T))
+    tags, sums = tags.T, np.cumsum(gain.T, 1)
+    out: dict[int, list[tuple[int, int, int, float]]] = {}
+    for lane, t in zip(*(x.tolist() for x in np.nonzero(tags % 2 == 1)), strict=True):
+        kind = (int(tags[lane, t]) - 1) // 2
+        e = t + 1
+        while e < width and tags[lane, e] == 2 + 2 * kind:
+            e += 1
+        after = e if e < width and tags[lane, e] == 0 else e - 1  # the way back to tag 0 counts
+        out.setdefault(lane, []).append((kind, t, e, float(sums[lane, after] - (sums[lane, t - 1] if t else 0))))
+    return out
+
+
 SLICE = 256
 COLUMNS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "masked_text")
 

@@ -84,6 +84,60 @@ def test_tagger_finds_what_the_patterns_miss_and_leaves_the_rest():
     assert not any(pii._needed((int(v) - 1) // 2, "the and", 0, 7) for v in np.unique(tags) if v)
 
 
+def variants(clean, r):
+    """Clean texts, each with one thing planted that the patterns miss, and its span."""
+    d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    w = lambda: "".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(r.randint(3, 8)))
+    for x in clean:
+        kind = r.choice((0, 2, 3))
+        card = d(15)
+        card += next(c for c in "0123456789" if luhn(card + c))
+        new = {0: f"{w()}{r.choice(['.' + w(), '', d(2)])}{r.choice([' @ ', ' @', '@ '])}{w()}.{r.choice(['com', 'org', 'net', 'example.com'])}",
+               2: ".".join(card[i:i + 4] for i in range(0, 16, 4)),
+               3: r.choice([f"1 {d(3)} {d(3)} {d(4)}", f"1 ({d(3)}) {d(3)}-{d(4)}", f"44 20 {d(4)} {d(4)}", f"1-{d(3)}-{d(3)}-{d(4)}"])}[kind]
+        words = x.split(" ")
+        at = r.randrange(len(words))
+        before = " ".join(words[:at]) + " " * bool(at)
+        yield f"{before}{new} {' '.join(words[at:])}", (kind, len(before), len(before) + len(new))
+
+
+def test_fitted_on_the_table_it_finds_planted_variants(spark, docs_of):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    tagger = pii.fit(docs)
+    clean = [t for _, t in sorted(docs.select("doc_id", "text").filter("text != ''").collect()) if len(t) < 6000 and not pii.base_spans(t)][:300]
+    made = list(variants(clean, random.Random(9)))
+    texts, want = [x for x, _ in made], [w for _, w in made]
+    got = pii.added_spans(tagger, texts, [pii.base_spans(x) for x in texts])
+    hit, added = sum(w in g for w, g in zip(want, got)), sum(map(len, got))
+    assert hit >= 0.9 * len(want) and hit >= 0.9 * added
+    for kind in (0, 2, 3):
+        assert sum(w in g for w, g in zip(want, got) if w[0] == kind) >= 0.85 * sum(w[0] == kind for w in want)
+    assert sum(map(len, pii.added_spans(tagger, clean, [[]] * len(clean)))) <= 3
+    # The whole query carries what is added, beside the base spans.
+    rows = pii.find(docs_of(list(enumerate(texts[:60]))), tagger).collect()
+    assert sum(pii.written([want[r.doc_id]]) in r.spans.split(",") for r in rows) >= 54
+    near = ["in 1999 2000 2001 and", "on 2024-03-05 at 12:30", "costs 1,234,567 or 3.14", "room 555-0123", "at @ 12 and @ home"]
+    assert pii.added_spans(tagger, near, [[]] * len(near)) == [[]] * len(near)
+
+
+class Runs:
+    """Tags every run of digits and hyphens as a phone."""
+
+    def decode(self, x):
+        inside = (x == 1) | (x == 6 + pii._OWN.index("-"))
+        begin = inside & ~np.concatenate([np.zeros((1, x.shape[1]), bool), inside[:-1]])
+        return np.where(begin, 7, np.where(inside, 8, 0)).astype(np.uint8), inside.astype(np.float32)
+
+
+def test_spans_of_any_length_and_place_are_kept():
+    for length in (12, 63, 64, 65, 127, 128, 129, 500, 3000):
+        for start in (0, 1, 63, 64, 128, 200):
+            phone = "123" + "-" * (length - 9) + "456789"
+            for tail in ("", " and more of the text" * 9):
+                text = "x " * (start // 2) + " " * (start % 2) + phone + tail
+                assert pii.added_spans(Runs(), [text, "none"], [[], []]) == [[(3, start, start + length)], []]
+
+
 def test_gradient_matches_differences():
     r = np.random.default_rng(0)
     x = r.integers(0, pii.CLASSES, (6, 3)).astype(np.uint8)
