@@ -25,7 +25,7 @@ from applens.operators.profiling import (
 )
 from applens.operators.quantiles import exact_quantiles
 from applens.schemas import CLEAN, FEATURE_SLOTS
-from applens.session import ensure_checkpoint_dir, kept_table
+from applens.session import ensure_checkpoint_dir, kept_table, spread
 from applens.sources.catalog import feature_columns, type_raw
 
 DROPPED = ["Last Updated", "Current Ver", "Android Ver"]
@@ -161,6 +161,7 @@ def build_features(clean: DataFrame, test_fraction: float = 0.2, seed: int = 42)
     ``handleInvalid='keep'``). Returns ``(features13, model)``; ``features13``
     holds all rows (train and held-out) in the exported 13-column layout.
     """
+    clean = kept_table(clean, "clean")  # cleaned once: counts, sketches and joins read it
     model = FeatureModel.fit(clean.where(~is_held_out(F.col("App"), test_fraction, seed)))
     return feature_columns(model.transform(clean)), model
 

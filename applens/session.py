@@ -68,3 +68,20 @@ def kept_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     out = df.write.partitionBy(by) if by else df.write
     out.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+ROWS_A_TASK = 50_000
+
+
+def spread(df: DataFrame, keep_as: str | None = None) -> DataFrame:
+    """The same rows over as many partitions as their number asks for.
+
+    A small, well-packed file holds millions of rows in one or two row groups, each read by one task; all row-level
+    work, broadcast joins and fits after it would stay in these. Rows are dealt in turn, so copies and NULLs spread too.
+    ``keep_as`` writes the dealt rows (see ``kept_table``): filters and their expressions are not moved before the dealing.
+    """
+    tasks = -(-df.count() // ROWS_A_TASK)
+    if tasks <= 1:
+        return df
+    dealt = df.repartition(tasks)
+    return kept_table(dealt, keep_as) if keep_as else dealt

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from applens.schemas import LEXICON
+from applens.session import spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,8 @@ def apps_raw(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFram
     if stream:
         # A file stream watches a folder or glob; this glob matches the one file.
         p = spark.readStream.schema(p.schema).parquet(f"{sf_dir}/[p]art.parquet")
+    else:
+        p = spread(p, "part")
     k = F.col("p_partkey")
     size = F.col("p_size")
     return p.select(
