@@ -216,7 +216,7 @@ def _model_input(features13: DataFrame, test_fraction: float, seed: int):
     one-hot block of Category; held-out rows by the same hash of the app as
     ``build_features`` used, CV folds by another hash of it."""
     numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT)
-    df = features13.withColumns({
+    df = spread(kept_table(features13, "features")).withColumns({
         "_test": is_held_out(F.col("App_Label"), test_fraction, seed),
         "fold": fold_of(F.col("App_Label"), FOLDS, FOLD_SEED),
     })
