@@ -234,6 +234,7 @@ def tune_lasso(features13: DataFrame, test_fraction: float = 0.2, seed: int = 42
     Two passes over the training rows serve the whole grid (see ``operators.lasso``). Returns
     ``best_alpha``, ``grid`` (alpha, fold, r2), ``tuned_predictions`` and ``tuned_r2``.
     """
+    features13 = kept_table(features13, "features")
     numeric, label = xy(features13, "Rating", drop=NOT_MODEL_INPUT)
     held = is_held_out(F.col("App_Label"), test_fraction, seed)
     train = features13.where(~held).withColumn("fold", fold_of(F.col("App_Label"), FOLDS, FOLD_SEED))
