@@ -153,15 +153,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
-def _landmark_strings(texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
-    """Letter strings that tell the classes apart, each adding toxic texts to those the others find."""
-    if len(texts) >= 1 << 15:
-        raise ValueError("the training sample has too many texts")
-    letter, word, text = _encode(texts)
-    wide = letter.astype(np.int64)
-    n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    candidates: list[tuple[float, int, int, np.ndarray]] = []
-    for size in SIZES:
+def _strings_of(texts: list[str], numbers: np.ndarray, size: int):
+    """For SLICE texts at a time, their distinct (string, text) in one number each: a sample has fewer than 2**15 texts."""
+    for at in range(0, len(numbers), SLICE):
+        some = numbers[at:at + SLICE]
+        letter, word, text = _encode([texts[i] for i in some])
+        wide = letter.astype(np.int64)
         m = len(wide) - size + 1
         if m <= 0:
             continue
@@ -170,8 +167,25 @@ def _landmark_strings(texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
         for k in range(size):
             code = code << 6 | wide[k:k + m]
             ok &= wide[k:k + m] > 0
-        # Distinct (string, text) in one number each: the sample has fewer than 2**15 texts.
-        pairs = np.unique(code[ok] << 15 | text[:m][ok])
+        yield np.unique(code[ok] << 15 | some[text[:m][ok]])
+
+
+def _landmark_strings(texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
+    """Letter strings that tell the classes apart, each adding toxic texts to those the others find."""
+    if len(texts) >= 1 << 15:
+        raise ValueError("the training sample has too many texts")
+    n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+    candidates: list[tuple[float, int, int, np.ndarray]] = []
+    for size in SIZES:
+        # Only strings of LEAST_TEXTS toxic texts can gain: the clean texts are searched for these alone.
+        pairs = np.concatenate([np.zeros(0, np.int64), *_strings_of(texts, np.flatnonzero(toxic), size)])
+        pairs.sort()
+        codes, start = np.unique(pairs >> 15, return_index=True)
+        often = codes[np.diff(np.r_[start, len(pairs)]) >= LEAST_TEXTS]
+        pairs = pairs[np.isin(pairs >> 15, often)]
+        clean = [p[np.isin(p >> 15, often)] for p in _strings_of(texts, np.flatnonzero(~toxic), size)]
+        pairs = np.concatenate([pairs, *clean])
+        pairs.sort()
         owner = pairs & (1 << 15) - 1
         codes, start = np.unique(pairs >> 15, return_index=True)
         ends = np.r_[start, len(pairs)][1:]
